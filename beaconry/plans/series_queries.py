@@ -257,26 +257,26 @@ def scoring_log_rows(t):
 
 
 @query("drift_daily", "M15", f"""
-WITH {LOG_SQL} SELECT scored_at::DATE AS window_start, round(avg(pred_lapse), 9) AS mean_score, count(*) AS n,
- round((SELECT avg(pred_lapse) FROM log), 9) AS baseline_mean, round(avg(pred_lapse) - (SELECT avg(pred_lapse) FROM log), 9) AS difference_of_means
+WITH {LOG_SQL} SELECT scored_at::DATE AS window_start, round(avg(pred_lapse), 11) AS mean_score, count(*) AS n,
+ round((SELECT avg(pred_lapse) FROM log), 11) AS baseline_mean, round(avg(pred_lapse) - (SELECT avg(pred_lapse) FROM log), 11) AS difference_of_means
 FROM log GROUP BY 1""")
 def drift_daily(t):
     log = scoring_log(t)
     out = mon.drift_of_means(log, log, "pred_lapse", "scored_at")
     out = out.withColumn("window_start", F.to_date("window_start"))
-    return rounded(out, {"mean_score": 9, "baseline_mean": 9, "difference_of_means": 9})
+    return rounded(out, {"mean_score": 11, "baseline_mean": 11, "difference_of_means": 11})
 
 
 @query("drift_by_region", "M16", f"""
 WITH {LOG_SQL}, b AS (SELECT region, avg(pred_lapse) AS bm FROM log GROUP BY 1)
-SELECT scored_at::DATE AS window_start, region, round(avg(pred_lapse), 9) AS mean_score, count(*) AS n,
- round(any_value(bm), 9) AS baseline_mean, round(avg(pred_lapse) - any_value(bm), 9) AS difference_of_means
+SELECT scored_at::DATE AS window_start, region, round(avg(pred_lapse), 11) AS mean_score, count(*) AS n,
+ round(any_value(bm), 11) AS baseline_mean, round(avg(pred_lapse) - any_value(bm), 11) AS difference_of_means
 FROM log JOIN b USING (region) GROUP BY 1, 2""")
 def drift_by_region(t):
     log = scoring_log(t)
     out = mon.drift_of_means(log, log, "pred_lapse", "scored_at", ["region"])
     out = out.withColumn("window_start", F.to_date("window_start"))
-    return rounded(out, {"mean_score": 9, "baseline_mean": 9, "difference_of_means": 9})
+    return rounded(out, {"mean_score": 11, "baseline_mean": 11, "difference_of_means": 11})
 
 
 F1_SQL = f"""
