@@ -190,12 +190,11 @@ def driver_lapse_rate(t):
 
 def briefing(flagged_rows: DataFrame, drivers: DataFrame, generated_at: str) -> DataFrame:
     """One JSON cell with the top 10 flagged rows and the top 15 drivers."""
-    number = "decimal(18,3)"
     top = flagged_rows.withColumn("_d", F.round("distance", 2)).orderBy(F.desc("_d"), "user_id", "ts").limit(10)
     stores = F.array_sort(F.collect_list(F.struct(
         (-F.col("_d")).alias("o"), "user_id", "ts",
-        F.struct("user_id", "metro", "region", F.col("y").cast(number).alias("actual_rate"),
-                 F.col("forecast").cast(number).alias("expected_rate")).alias("v"))))
+        F.struct("user_id", "metro", "region", F.round("y", 3).alias("actual_rate"),
+                 F.round("forecast", 3).alias("expected_rate")).alias("v"))))
     causes = F.array_sort(F.collect_list(F.struct(
         "rank", F.struct("segment", F.round("surprise", 0).cast("long").alias("surprise")).alias("v"))))
     spark = flagged_rows.sparkSession
@@ -211,8 +210,8 @@ WITH {ENRICHED_SQL}, {RETURNS_SQL},
  a AS (SELECT *, row_number() OVER (ORDER BY round(distance, 2) DESC, user_id, ts) AS rn FROM enriched),
  b AS (SELECT *, row_number() OVER (ORDER BY round(abs(surprise), 0) DESC, segment) AS rn FROM drv)
 SELECT to_json({{'generated_at': (SELECT strftime(max(ts), '%Y-%m-%d') FROM events),
-  'flagged_stores': (SELECT list({{'user_id': user_id, 'metro': metro, 'region': region, 'actual_rate': y::DECIMAL(18,3),
-      'expected_rate': forecast::DECIMAL(18,3)}} ORDER BY rn) FROM a WHERE rn <= 10),
+  'flagged_stores': (SELECT list({{'user_id': user_id, 'metro': metro, 'region': region, 'actual_rate': round(y, 3),
+      'expected_rate': round(forecast, 3)}} ORDER BY rn) FROM a WHERE rn <= 10),
   'top_drivers': (SELECT list({{'segment': segment, 'surprise': round(surprise, 0)::BIGINT}} ORDER BY rn) FROM b WHERE rn <= 15)}})::VARCHAR AS briefing_json""")
 def proactive_briefing(t):
     when = latest(t.events, "ts").date().isoformat()
@@ -339,7 +338,7 @@ DRIVER_TEXT = ("concat('recency ', recency_days, 'd; gifts_12m ', frequency_last
 
 def scored_customers(t: Tables) -> DataFrame:
     return scorecard(training(t)).withColumns({
-        "churn_probability": F.round("pred_lapse", 4).cast("decimal(6,4)"),
+        "churn_probability": F.round("pred_lapse", 4),
         "risk_drivers": F.expr(DRIVER_TEXT), "recommended_action": F.expr(ACTION_SQL)})
 
 
@@ -354,7 +353,7 @@ def top_risk(scored: DataFrame, segment: str, n: int) -> DataFrame:
 
 @query("top_risk_json", "M19 R1 F2 E5", f"""
 WITH {LOG_SQL}, r AS (SELECT * FROM log WHERE donor_segment = 'MACHINERY' ORDER BY pred_lapse DESC, c_custkey LIMIT 5)
-SELECT to_json(list({{'c_custkey': c_custkey, 'region': region, 'churn_probability': round(pred_lapse, 4)::DECIMAL(6,4),
+SELECT to_json(list({{'c_custkey': c_custkey, 'region': region, 'churn_probability': round(pred_lapse, 4),
  'risk_drivers': {DRIVER_TEXT}, 'recommended_action': {ACTION_SQL}}} ORDER BY pred_lapse DESC, c_custkey))::VARCHAR AS top_risk FROM r""")
 def top_risk_json(t):
     return top_risk(scored_customers(t), "MACHINERY", 5)
