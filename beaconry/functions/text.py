@@ -35,11 +35,6 @@ def term_hits(words: Column, terms: list[str]) -> Column:
     return F.size(F.array_intersect(words, term_array(terms)))
 
 
-def term_frequency(words: Column, term: str) -> Column:
-    """Occurrences of one term in a token array."""
-    return F.size(words) - F.size(F.array_remove(words, term))
-
-
 def best_label(scores: dict[str, Column], default: str) -> Column:
     """Label of the highest score; the first wins a tie, none above 0 → default."""
     top = F.greatest(*scores.values()) if len(scores) > 1 else next(iter(scores.values()))

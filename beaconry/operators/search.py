@@ -1,9 +1,9 @@
 """Keyword, vector and hybrid retrieval with attribute filters.
 
-A query is a handful of terms and one vector, so a search is one scan: corpus
-statistics are a one-row aggregate, scores are computed where the text is read,
-and only the best k rows of each task travel. A stored index turns the scan
-into reading the postings of the query terms.
+A query is a handful of terms and one vector, so a search is one scan: words
+outside the query are dropped where they are read, what travels is one short row
+of counts per document, and the top k is taken per task first. A stored index
+turns the scan into reading the postings of the query terms.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beaconry.functions.text import once, term_frequency, tokens
+from beaconry.functions.text import once, tokens
 from beaconry.operators.ordering import global_row_number
 
 K1, B = 1.2, 0.75  # usual BM25 constants
@@ -39,36 +39,54 @@ def matches(frame: DataFrame, filters: dict[str, str]) -> DataFrame:
     return frame
 
 
-def bm25_scores(docs: DataFrame, text: str, query: str, filters: dict[str, str] | None = None) -> DataFrame:
+def term_counts(docs: DataFrame, key: str, text: str, terms: list[str], carry: list[str]) -> DataFrame:
+    """One row per document: length and the count of every query term.
+
+    The text is split once. Words outside the query are dropped where they are
+    read; a NULL word per document keeps those without any hit.
+    """
+    words = once(docs.select(key, text, *carry), "_w", tokens(F.col(text)))
+    rows = words.select(key, *carry, F.size("_w").alias("_len"),
+                        F.explode(F.concat(F.array(F.lit(None).cast("string")), F.col("_w"))).alias("_t"))
+    return (rows.filter(F.col("_t").isNull() | F.col("_t").isin(terms)).groupBy(key).agg(
+        F.first("_len").alias("_len"), *[F.first(c).alias(c) for c in carry],
+        *[F.count_if(F.col("_t") == t).alias(f"_tf{i}") for i, t in enumerate(terms)]))
+
+
+def bm25_scores(docs: DataFrame, key: str, text: str, query: str, columns: list[str] = (),
+                filters: dict[str, str] | None = None) -> DataFrame:
     """Documents with a positive BM25 score in ``keyword_score``.
 
     Statistics come from the whole corpus, filters only limit the candidates.
+    Both read the same per-document counts, whose shuffle Spark reuses.
     """
     terms = query_terms(query)
-    words = tokens(F.col(text))
-    stats = once(docs, "_w", words).agg(F.struct(
-        F.count("*").alias("n"), F.avg(F.size("_w")).alias("mean"),
-        *[F.count_if(F.array_contains("_w", t)).alias(f"df{i}") for i, t in enumerate(terms)])).scalar()
-    held = once(matches(docs, filters or {}), "_w", words).withColumn("_s", stats)
+    carry = list(dict.fromkeys([*columns, *(filters or {})]))
+    counts = term_counts(docs, key, text, terms, carry)
+    stats = counts.agg(F.struct(
+        F.count("*").alias("n"), F.avg("_len").alias("mean"),
+        *[F.count_if(F.col(f"_tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))])).scalar()
+    hit = F.greatest(F.lit(0), *[F.col(f"_tf{i}") for i in range(len(terms))]) > 0
+    held = matches(counts, filters or {}).filter(hit).withColumn("_s", stats)
     score = F.lit(0.0)
-    for i, term in enumerate(terms):
-        part = _saturated(term_frequency(F.col("_w"), term), F.size("_w"), F.col("_s.mean"))
+    for i in range(len(terms)):
+        part = _saturated(F.col(f"_tf{i}"), F.col("_len"), F.col("_s.mean"))
         score = score + _idf(F.col("_s.n"), F.col(f"_s.df{i}")) * part
-    return once(held, "keyword_score", score).filter("keyword_score > 0").drop("_w", "_s")
+    return held.select(key, *carry, score.alias("keyword_score"))
 
 
 def keyword_search(docs: DataFrame, key: str, text: str, query: str, k: int, columns: list[str],
                    filters: dict[str, str] | None = None, digits: int = 6) -> DataFrame:
-    hits = bm25_scores(docs, text, query, filters).select(
+    hits = bm25_scores(docs, key, text, query, columns, filters).select(
         key, *columns, F.round("keyword_score", digits).alias("keyword_score"))
     return hits.orderBy(F.desc("keyword_score"), key).limit(k)
 
 
 def build_index(docs: DataFrame, key: str, text: str) -> DataFrame:
     """Inverted index: term, document, term frequency, document length."""
-    rows = docs.select(key, tokens(F.col(text)).alias("_w")).select(
+    rows = once(docs.select(key, text), "_w", tokens(F.col(text))).select(
         key, F.size("_w").alias("doc_len"), F.explode("_w").alias("term"))
-    return rows.groupBy("term", key).agg(F.count("*").cast("int").alias("tf"), F.first("doc_len").alias("doc_len"))
+    return rows.groupBy("term", key, "doc_len").agg(F.count("*").cast("int").alias("tf"))
 
 
 def corpus_size(docs: DataFrame, text: str) -> DataFrame:
@@ -121,15 +139,19 @@ def hybrid_search(docs: DataFrame, key: str, text: str, vector: str, query: str,
     Both rankings are total orders over range slices, so no list is cut short
     and no task sorts the corpus.
     """
-    words = bm25_scores(docs, text, query, filters).select(key, F.round("keyword_score", 6).alias("_k"))
+    words = bm25_scores(docs, key, text, query, filters=filters).select(
+        key, F.round("keyword_score", 6).alias("_k"))
     near = vector_scores(matches(docs, filters or {}), vector, query_vector).select(
-        key, *columns, F.round("vector_score", 6).alias("_v"))
+        key, F.round("vector_score", 6).alias("_v"))
     by_word = global_row_number(words, [F.desc("_k"), F.col(key)], "keyword_rank").select(key, "keyword_rank")
     by_vector = global_row_number(near, [F.desc("_v"), F.col(key)], "vector_rank").drop("_v")
     fused = F.coalesce(1 / (RRF + F.col("keyword_rank")), F.lit(0.0)) + 1 / (RRF + F.col("vector_rank"))
-    return (by_vector.join(by_word, key, "left")
-            .select(key, *columns, "keyword_rank", "vector_rank", F.round(fused, 8).alias("score"))
+    best = (by_vector.join(by_word, key, "left")
+            .select(key, "keyword_rank", "vector_rank", F.round(fused, 8).alias("score"))
             .orderBy(F.desc("score"), key).limit(k))
+    # The k hits fetch their columns at the end, so texts are never sorted.
+    return (docs.select(key, *columns).join(F.broadcast(best), key)
+            .orderBy(F.desc("score"), key))
 
 
 def cited_context(hits: DataFrame, label: str, key: str, text: str, order: list[str]) -> DataFrame:

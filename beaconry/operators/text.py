@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beaconry.functions.text import term_array, term_hits, token_set, tokens
+from beaconry.functions.text import once, term_array, term_hits, token_set, tokens
 from beaconry.operators.ordering import top_per_group
 
 
@@ -57,13 +57,13 @@ def overall_sentiment(texts: DataFrame, keys: list[str], text: str, lexicon: Dat
 def aspect_sentiment(texts: DataFrame, key: str, text: str, aspects: dict[str, list[str]],
                      lexicon: DataFrame) -> DataFrame:
     """Sentiment per aspect from the sentences that mention it; else unknown."""
-    def words_about(terms: list[str]) -> Column:
-        hit = F.filter(F.split(F.col(text), r"[.\n]+"),
-                       lambda s: F.arrays_overlap(tokens(s), term_array(terms)))
-        return F.flatten(F.transform(hit, token_set))
-
-    about = F.array(*[F.struct(F.lit(a).alias("aspect"), words_about(w).alias("found")) for a, w in aspects.items()])
-    rows = texts.select(key, F.inline(about)).select(key, "aspect", F.explode_outer("found").alias("token"))
+    sentences = texts.select(key, F.explode(F.split(F.col(text), r"[.\n]+")).alias("_s"))
+    words = once(sentences, "_w", token_set(F.col("_s")))
+    about = F.array(*[F.struct(
+        F.lit(a).alias("aspect"), F.when(F.arrays_overlap("_w", term_array(terms)), F.col("_w")).alias("found"))
+        for a, terms in aspects.items()])
+    # A sentence without the aspect leaves one NULL word, so every aspect keeps its row.
+    rows = words.select(key, F.inline(about)).select(key, "aspect", F.explode_outer("found").alias("token"))
     return (rows.join(lexicon, "token", "left").groupBy(key, "aspect").agg(
         F.count("token").alias("words"), F.count_if(F.col("polarity") == 1).alias("pos"),
         F.count_if(F.col("polarity") == -1).alias("neg"))
@@ -84,12 +84,11 @@ def labels_above(scores: dict[str, Column], threshold: int) -> Column:
 
 def group_themes(texts: DataFrame, group: str, text: str, k: int, min_chars: int = 4) -> DataFrame:
     """Top ``k`` words per group by tf · ln(N / df); one row per (group, word)."""
-    words = F.filter(tokens(F.col(text)), lambda w: F.char_length(w) >= min_chars)
-    uses = F.concat(F.transform(words, lambda w: F.struct(w.alias("token"), F.lit(1).alias("tf"), F.lit(0).alias("df"))),
-                    F.transform(F.array_distinct(words), lambda w: F.struct(w.alias("token"), F.lit(0).alias("tf"), F.lit(1).alias("df"))))
-    per_group = texts.select(group, F.inline(uses)).groupBy(group, "token").agg(
-        F.sum("tf").alias("tf"), F.sum("df").alias("_df"))
-    spread = per_group.groupBy("token").agg(F.sum("_df").alias("df"))
+    long_enough = F.char_length("token") >= min_chars
+    per_group = (texts.select(group, F.explode(tokens(F.col(text))).alias("token")).filter(long_enough)
+                 .groupBy(group, "token").agg(F.count("*").alias("tf")))
+    spread = (texts.select(F.explode(token_set(F.col(text))).alias("token")).filter(long_enough)
+              .groupBy("token").agg(F.count("*").alias("df")))
     size = texts.agg(F.count("*")).scalar()
     scored = per_group.join(spread, "token").withColumn("_n", size).select(
         group, "token", "tf", "df", F.round(F.col("tf") * F.log(F.col("_n") / F.col("df")), 4).alias("weight"))
@@ -106,7 +105,7 @@ def extractive_summary(texts: DataFrame, key: str, text: str, sentences: int, ke
     whole = texts.select(F.lit("all").alias("corpus"), text)
     top = group_themes(whole, "corpus", text, keywords).select("token", F.col("weight").alias("_w"))
     parts = texts.select(key, F.posexplode(F.split(F.col(text), r"[.\n]+")).alias("sentence_no", "sentence"))
-    rows = parts.withColumn("_words", tokens(F.col("sentence"))).filter(F.size("_words") >= min_words)
+    rows = once(parts, "_words", tokens(F.col("sentence"))).filter(F.size("_words") >= min_words)
     scored = (rows.select(key, "sentence_no", "sentence", F.size("_words").alias("_n"),
                           F.explode(F.array_distinct("_words")).alias("token"))
               .join(F.broadcast(top), "token")
