@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("metric_queries", "feature_queries", "relational_queries", "series_queries", "usage_eval_queries", "text_queries", "ingest_queries")
+MODULES = ("metric_queries", "feature_queries", "relational_queries", "series_queries", "usage_eval_queries", "text_queries", "ingest_queries", "model_queries", "stream_queries")
 
 
 def load_all():
