@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from beaconry.operators.metrics import check_enums, check_keys, query as ask
+from beaconry.operators.metrics import catalog, check_enums, check_keys, query as ask
 from beaconry.plans import models as md
 from beaconry.plans.registry import query
 from beaconry.session import rounded
@@ -298,3 +298,20 @@ def enum_violations(t):
         Dimension("customers", "segment", "c_mktsegment",
                   enum=("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD")),))
     return check_enums(model)
+
+
+@query("metric_catalog_sizes", "K9 K12", """
+WITH s(table_name, rows) AS (SELECT 'reps', count(*) FROM customer UNION ALL SELECT 'emails', count(*) FROM orders
+  UNION ALL SELECT 'outcomes', count(*) FROM lineitem UNION ALL SELECT 'geography', count(*) FROM nation),
+ c(kind, name, table_name, synonyms) AS (VALUES ('dimension', 'quality_tier', 'emails', ''), ('dimension', 'sent_month', 'emails', ''), ('dimension', 'team', 'reps', ''),
+  ('dimension', 'region', 'geography', ''), ('metric', 'email_count', 'emails', ''), ('metric', 'open_rate', 'emails', ''), ('metric', 'reply_rate', 'emails', ''),
+  ('metric', 'meeting_rate', 'emails', ''), ('metric', 'avg_intent', 'emails', ''), ('metric', 'win_rate', 'outcomes', ''), ('metric', 'total_revenue', 'outcomes', ''))
+SELECT kind, name, table_name, synonyms, rows FROM c JOIN s USING (table_name)""")
+def metric_catalog_sizes(t):
+    """Declared names and synonyms with the size of the table each one is read from."""
+    from functools import reduce
+    model = md.gtm_model(t)
+    sizes = reduce(lambda a, b: a.unionByName(b), [
+        table.frame.agg(F.count("*").alias("rows")).withColumn("table_name", F.lit(table.name)) for table in model.tables])
+    return catalog(t.spark, model).join(sizes, "table_name").withColumn(
+        "synonyms", F.array_join("synonyms", ", "))
