@@ -30,10 +30,12 @@ def asof_join(spine: DataFrame, features: DataFrame, entity: list[str], spine_ts
         *[F.col(e) for e in entity], F.col(feature_ts).alias("_ts"), F.lit(0).alias("_kind"),
         F.struct(*[F.col(e) for e in entity],
                  F.struct(*columns).alias("value")).alias("_feature"))
-    stacked = left.unionByName(right, allowMissingColumns=True)
+    # The id only spreads rows that tie on everything else over several slices.
+    stacked = left.unionByName(right, allowMissingColumns=True).withColumn(
+        "_tie", F.monotonically_increasing_id())
     keys = [F.col(e) for e in entity]
     sliced = range_slices(
-        stacked, keys + [F.col("_ts"), F.col("_kind"), F.col("_feature")], slices)
+        stacked, keys + [F.col("_ts"), F.col("_kind"), F.col("_feature"), F.col("_tie")], slices)
 
     running = W.partitionBy("_slice").orderBy("_pos").rowsBetween(W.unboundedPreceding, 0)
     earlier = W.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)

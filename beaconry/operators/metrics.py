@@ -146,13 +146,19 @@ def resolve_path(model: Model, start: str, goal: str,
 
 _PARTS = {"sum": ("sum",), "count": ("count",), "avg": ("sum", "count"),
           "min": ("min",), "max": ("max",)}
-_FOLD = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
+# Every part of a row is itself a partial aggregate, so any number of folds may follow.
+_ROW = {"sum": lambda c: c, "count": lambda c: F.when(c.isNotNull(), 1).otherwise(0).cast("long"),
+        "min": lambda c: c, "max": lambda c: c}
 _MERGE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
 
 
 def _branch(model: Model, table_name: str, metrics: list[Metric],
             dims: list[Dimension], via: tuple[str, ...]) -> DataFrame:
-    """Partial aggregates of one table's metrics with the dimensions attached."""
+    """Partial aggregates of one table's metrics with the dimensions attached.
+
+    Without a large parent on the way this is a plain projection: the merge over
+    all branches combines its rows map-side.
+    """
     table = model.table(table_name)
     edges: list[Relationship] = []
     for dim in dims:
@@ -168,23 +174,17 @@ def _branch(model: Model, table_name: str, metrics: list[Metric],
         return columns
 
     facts = {f.name: F.expr(f.expr) for f in model.facts if f.table == table_name}
-    parts = {f"{m.name}.{p}": (p, facts.get(m.of, F.col(m.of)))
+    parts = {f"{m.name}.{p}": (p, _ROW[p](facts.get(m.of, F.col(m.of))))
              for m in metrics for p in _PARTS[m.agg]}
     frame = table.frame.select(
         *[c.alias(n) for n, c in needed(table_name).items()],
         *[c.alias(n) for n, (_, c) in parts.items()])
     carried = list(needed(table_name))
-    folded = False
-
-    def fold(frame: DataFrame, folded: bool) -> DataFrame:
-        combine = _MERGE if folded else _FOLD
-        return frame.groupBy(*[f"`{c}`" for c in carried]).agg(
-            *[combine[p](F.col(f"`{n}`")).alias(n) for n, (p, _) in parts.items()])
-
     for edge in edges:
         parent = model.table(edge.parent)
         if not parent.bounded:
-            frame, folded = fold(frame, folded), True
+            frame = frame.groupBy(*[f"`{c}`" for c in carried]).agg(
+                *[_MERGE[p](F.col(f"`{n}`")).alias(n) for n, (p, _) in parts.items()])
         extra = needed(edge.parent)
         keys = [f"{edge.name}.key{i}" for i in range(len(parent.key))]
         side = parent.frame.select(
@@ -194,8 +194,6 @@ def _branch(model: Model, table_name: str, metrics: list[Metric],
         on = [F.col(f"`{f}`") == F.col(f"`{k}`") for f, k in zip(fks, keys)]
         frame = frame.join(side, on, "left").drop(*keys, *fks)
         carried = [c for c in carried if c not in fks] + list(extra)
-    if not folded:
-        frame = fold(frame, False)
     return frame
 
 

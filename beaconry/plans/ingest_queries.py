@@ -97,17 +97,19 @@ def landing_file_listing(t):
 
 
 @query("transcript_lines_by_file", "A3 A4", """
-SELECT conv_id // 10 AS file_no, count(*) AS lines, sum(length(line))::BIGINT AS chars FROM (
+SELECT conv_id // 10 AS file_no, count(*) AS lines, max(length(line)) AS longest, sum(length(line))::BIGINT AS chars FROM (
  SELECT conv_id, unnest(string_split(text, chr(10))) AS line FROM conversations) GROUP BY 1""")
 def transcript_lines_by_file(t):
     """Dialogue files (ten calls each) written as text, read back as numbered lines."""
     path = scratch_path(t.spark, "transcripts")
     said = t.conversations.select(F.floor(F.col("conv_id") / 10).alias("file_no"), F.col("text").alias("value"))
     (said.repartition("file_no").write.mode("overwrite").partitionBy("file_no").text(path))
-    whole = (t.spark.read.option("wholetext", True).option("pathGlobFilter", "*.txt").text(path))
+    whole = t.spark.read.option("pathGlobFilter", "*.txt").text(path, wholetext=True)
     lines = whole.select(F.col("file_no").cast("long").alias("file_no"),
-                         F.posexplode(F.split(F.rtrim("value", F.lit("\n")), "\n")).alias("pos", "line"))
-    return lines.groupBy("file_no").agg(F.count("*").alias("lines"), F.sum(F.char_length("line")).alias("chars"))
+                         F.posexplode(F.split(F.regexp_replace("value", r"\n\z", ""), "\n")).alias("pos", "line"))
+    size = F.char_length("line").cast("long")
+    return lines.groupBy("file_no").agg((F.max("pos") + 1).cast("long").alias("lines"), F.max(size).alias("longest"),
+                                        F.sum(size).alias("chars"))
 
 
 @query("manifest_csv", "A5", """

@@ -12,9 +12,9 @@ def read_lines(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     Spark has no file row number, so a file is read as one value and split in
     place. Meant for transcript-sized files, one document each.
     """
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", pattern).text(path)
+    files = spark.read.option("pathGlobFilter", pattern).text(path, wholetext=True)
     lines = files.select(F.col("_metadata.file_name").alias("file_name"),
-                         F.posexplode(F.split(F.rtrim("value", F.lit("\n")), "\n")).alias("pos", "line"))
+                         F.posexplode(F.split(F.regexp_replace("value", r"\n\z", ""), "\n")).alias("pos", "line"))
     return lines.select("file_name", (F.col("pos") + 1).cast("long").alias("row_num"), "line")
 
 
