@@ -35,9 +35,9 @@ WITH o AS (SELECT c_mktsegment AS segment, sum(o_totalprice) AS rev
      e AS (SELECT c_mktsegment AS segment, count(*) AS sends
            FROM events JOIN customer ON c_custkey = user_id GROUP BY 1),
      c AS (SELECT c_mktsegment AS segment, count(*) AS subs FROM customer GROUP BY 1)
-SELECT segment, round(rev, 2) AS attributed_revenue, sends AS send_count,
+SELECT segment, round(rev, 2) AS attributed_revenue, coalesce(sends, 0) AS send_count,
        subs AS subscriber_count,
-       round(CASE WHEN sends = 0 THEN 0 ELSE rev / sends END, 4) AS revenue_per_send,
+       round(CASE WHEN coalesce(sends, 0) = 0 THEN 0 ELSE rev / sends END, 4) AS revenue_per_send,
        round(CASE WHEN subs = 0 THEN 0 ELSE rev / subs END, 4) AS subscriber_ltv
 FROM c LEFT JOIN o USING (segment) LEFT JOIN e USING (segment)""")
 def ltv_by_segment(t):
@@ -196,7 +196,7 @@ WITH {LABEL_SQL}, {GEO_SQL},
  e AS (SELECT region, donor_segment, count(*) AS ec FROM lineitem JOIN orders ON l_orderkey = o_orderkey
        JOIN cu ON c_custkey = o_custkey GROUP BY ALL),
  l AS (SELECT region, donor_segment, sum(is_lapsed) AS ld, count(*) AS n FROM lab JOIN cu USING (c_custkey) GROUP BY ALL)
-SELECT region, donor_segment, donor_count, round(tg, 2) AS total_giving, round(ag, 4) AS avg_gift,
+SELECT region, donor_segment, donor_count, round(tg, 2) AS total_giving, round(ag, 6) AS avg_gift,
   gc AS gift_count, ec AS engagement_count, ld::BIGINT AS lapsed_donors, round(ld / n, 6) AS lapse_rate
 FROM c JOIN d USING (region, donor_segment) JOIN e USING (region, donor_segment)
 JOIN l USING (region, donor_segment)""")
@@ -204,7 +204,7 @@ def donor_by_region_segment(t):
     out = ask(md.donor_model(t), ["donor_count", "total_giving", "avg_gift", "gift_count",
                                   "engagement_count", "lapsed_donors", "lapse_rate"],
               ["region", "segment"])
-    return rounded(out, {"total_giving": 2, "avg_gift": 4, "lapse_rate": 6})
+    return rounded(out, {"total_giving": 2, "avg_gift": 6, "lapse_rate": 6})
 
 
 @query("metric_donor_verified_segment", "K7 K11", f"""

@@ -12,7 +12,7 @@ DATA = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session(8, shuffle_partitions=8, app="tests")
+    session = build_session(8, shuffle_partitions=4, app="tests")
     yield session
     session.stop()
 
