@@ -29,7 +29,10 @@ def _rank(ts: Column, bounds: list[datetime], inclusive: bool) -> Column:
 
 def snapshot_deltas(facts: DataFrame, key: str, ts: str, calendar: list[datetime],
                     trailing_months: int, amount: str | None = None) -> DataFrame:
-    """Summed deltas per (key, slot); facts after the last snapshot are not read."""
+    """Deltas (key, slot) of each fact; facts after the last snapshot are not read.
+
+    They are summed by ``snapshot_features``, or by ``through_link`` before its join.
+    """
     n = len(calendar)
     value = F.col(amount).cast("double") if amount else F.lit(0.0)
     enter = F.struct(F.col("_in").alias("slot"), F.lit(1).alias("n"), F.col("_amount").alias("amount"),
@@ -50,7 +53,7 @@ def snapshot_deltas(facts: DataFrame, key: str, ts: str, calendar: list[datetime
                                      .when(F.col("_out") >= n, F.array(enter))
                                      .otherwise(F.array(enter, leave))).alias("d"))
             .select("key", "d.*"))
-    return sum_deltas(rows)
+    return rows
 
 
 def sum_deltas(rows: DataFrame) -> DataFrame:
@@ -115,10 +118,10 @@ def engagement_view(entities: DataFrame, deltas: DataFrame, key: str, started: s
 
 
 def through_link(deltas: DataFrame, link: DataFrame, link_key: str, owner: str) -> DataFrame:
-    """Move deltas from a child key to its owner (order → customer)."""
-    moved = (deltas.join(link.select(F.col(link_key).alias("key"), F.col(owner).alias("_owner")), "key")
+    """Move deltas from a child key to its owner (order → customer), summed per child first."""
+    moved = (sum_deltas(deltas).join(link.select(F.col(link_key).alias("key"), F.col(owner).alias("_owner")), "key")
              .drop("key").withColumnRenamed("_owner", "key"))
-    return sum_deltas(moved)
+    return moved
 
 
 def forward_label(entities: DataFrame, facts: DataFrame, key: str, started: str, fact_key: str,
