@@ -68,11 +68,13 @@ def recursive_chunks(docs: DataFrame, keys: list[str], text: str, size: int = 12
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            batch["chunk_text"] = [[v[a:b] for a, b in chunk_spans(v, size, overlap)]
-                                   for v in batch.pop(text)]
-            out = batch.explode("chunk_text", ignore_index=False)
-            out.insert(len(keys), "chunk_index", out.groupby(level=0).cumcount().astype("int32"))
-            yield out
+            for start in range(0, len(batch), 256):  # bounds the output held at once
+                part = batch.iloc[start:start + 256].reset_index(drop=True)
+                part["chunk_text"] = [[v[a:b] for a, b in chunk_spans(v, size, overlap)]
+                                      for v in part.pop(text)]
+                out = part.explode("chunk_text")
+                out.insert(len(keys), "chunk_index", out.groupby(level=0).cumcount().astype("int32"))
+                yield out
 
     return docs.select(*keys, text).filter(F.char_length(text) > 0).mapInPandas(run, schema)
 

@@ -65,7 +65,7 @@ def training(t: Tables, as_of=None) -> DataFrame:
     """Donor-style training base over customers at ``as_of``."""
     as_of = as_of or md.churn_as_of(t)
     who = md.customers_started(t).join(
-        F.broadcast(md.geography(t)), F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
+        md.geography(t), F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
         "c_custkey", F.col("r_name").alias("region"), F.col("c_mktsegment").alias("donor_segment"),
         F.col("c_acctbal").alias("wealth_signal_score"), "started")
     return ft.training_base(who, t.orders, engagement_at(t, as_of), "c_custkey", "started",

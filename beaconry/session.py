@@ -46,6 +46,20 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def texts(self) -> DataFrame:
+        """Documents, spread over the cores for work on their texts."""
+        return spread(self.documents, "doc_id")
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Share CPU-bound rows among the cores when the input has too few splits.
+
+    A table of many files has more splits than cores and passes unchanged; a
+    single small file would otherwise keep one core busy and the others idle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() * 2 > cores else df.repartition(cores, key)
+
 
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
