@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
-from beaconry.operators.metrics import catalog, check_enums, check_keys, query as ask
+from beaconry.operators.metrics import Dimension, Model, Table, catalog, check_enums, check_keys
+from beaconry.operators.metrics import query as ask
 from beaconry.plans import models as md
 from beaconry.plans.registry import query
 from beaconry.session import rounded
@@ -293,7 +296,6 @@ def key_checks(t):
 SELECT 'segment' AS dimension, c_mktsegment AS value, count(*) AS rows FROM customer
 WHERE c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD') GROUP BY ALL""")
 def enum_violations(t):
-    from beaconry.operators.metrics import Dimension, Model, Table
     model = Model("customers", (Table("customers", t.customer, ("c_custkey",)),), dimensions=(
         Dimension("customers", "segment", "c_mktsegment",
                   enum=("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD")),))
@@ -309,7 +311,6 @@ WITH s(table_name, rows) AS (SELECT 'reps', count(*) FROM customer UNION ALL SEL
 SELECT kind, name, table_name, synonyms, rows FROM c JOIN s USING (table_name)""")
 def metric_catalog_sizes(t):
     """Declared names and synonyms with the size of the table each one is read from."""
-    from functools import reduce
     model = md.gtm_model(t)
     sizes = reduce(lambda a, b: a.unionByName(b), [
         table.frame.agg(F.count("*").alias("rows")).withColumn("table_name", F.lit(table.name)) for table in model.tables])

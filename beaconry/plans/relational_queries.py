@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from beaconry.functions import sampling as sp
-from beaconry.functions.dates import add_months, bucket, month_starts, ntz, sunday_zero_weekday
+from beaconry.functions.dates import bucket, ntz, sunday_zero_weekday
 from beaconry.functions.safe import clamp, div0, parse_score, rate
 from beaconry.operators.ordering import global_row_number, top_per_group
 from beaconry.plans import models as md
 from beaconry.plans.registry import query
-from beaconry.session import Tables, latest
+from beaconry.session import latest
 
 
 def md5_bucket(key: str, salt: str, n: int = 100) -> str:
@@ -283,7 +285,6 @@ SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty, round(sum(l_exten
   count(*) FILTER (WHERE l_discount > 0.05) AS discounted
 FROM lineitem WHERE l_shipdate <= DATE '2001-09-02' GROUP BY ALL""")
 def aggregate_pricing_summary(t):
-    from datetime import datetime
     return t.lineitem.filter(F.col("l_shipdate") <= ntz(datetime(2001, 9, 2))).groupBy(
         "l_returnflag", "l_linestatus").agg(
         F.sum("l_quantity").alias("sum_qty"), F.round(F.sum("l_extendedprice"), 2).alias("sum_price"),
@@ -317,7 +318,6 @@ def having_group_and_global(t):
 def ordered_objects(df: DataFrame, keys: list[str], order: list[Column], fields: list[str],
                     name: str, n: int) -> DataFrame:
     """Top ``n`` rows per group as one JSON array in the given order."""
-    from pyspark.sql import Window as W
     ranked = (df.withColumn("_rn", F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
               .filter(F.col("_rn") <= n))
     items = F.array_sort(F.collect_list(F.struct("_rn", F.struct(*fields).alias("v"))))
@@ -479,7 +479,6 @@ def scalar_numbers(t):
 SELECT event_type, count(*) AS n FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 7 DAY GROUP BY 1""")
 def as_of_window(t):
     """'Now' is the newest time in the data, never the wall clock."""
-    from datetime import timedelta
     since = latest(t.events, "ts") - timedelta(days=7)
     return t.events.filter(F.col("ts") >= ntz(since)).groupBy("event_type").agg(F.count("*").alias("n"))
 

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from beaconry.functions.sampling import stable_bucket
 from beaconry.operators import evals as ev
 from beaconry.operators import usage as us
+from beaconry.plans import models as md
 from beaconry.plans.registry import query
-from beaconry.plans.relational_queries import md5_bucket
+from beaconry.plans.relational_queries import md5_bucket, optional_filter
 from beaconry.session import Tables, latest, rounded, values
 
 # Illustrative credits per million tokens and price per credit.
@@ -317,8 +318,6 @@ def eval_data_checks(t):
 
 def team_performance(t: Tables, region: str | None = None) -> DataFrame:
     """Governed aggregate for one region (or all) as a single JSON array."""
-    from beaconry.plans import models as md
-    from beaconry.plans.relational_queries import optional_filter
     reps = optional_filter(t.customer.join(md.geography(t), F.col("c_nationkey") == F.col("n_nationkey")), "r_name", region)
     lines = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.count_if(F.col("l_returnflag") == "N").alias("won"), F.count("*").alias("n"))

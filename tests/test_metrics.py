@@ -1,6 +1,5 @@
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
 
 from beaconry.operators.metrics import (Dimension, Fact, Metric, MetricModelError, Model, Ratio,
                                         Relationship, Table, catalog, check_enums, check_keys,

@@ -12,7 +12,7 @@ from beaconry.functions import sampling as sp
 from beaconry.session import scratch_path, shared_root
 from beaconry.sources import files, landing, tables
 from beaconry.streaming import jobs
-from beaconry.streaming.sinks import batch_folders, run_available
+from beaconry.streaming.sinks import batch_folders
 
 
 def put(folder, name, text):
@@ -159,3 +159,23 @@ def test_evaluation_edges(spark):
     facts = spark.range(1).select(F.lit(3).alias("n"))
     got = rows(ev.check_rows([(facts, {"some": F.col("n") > 0, "null_fails": F.lit(None).cast("boolean"), "none": F.col("n") > 9})]))
     assert got == [("none", "FAIL"), ("null_fails", "FAIL"), ("some", "PASS")]
+
+
+def test_events_behind_the_watermark_are_dropped(spark, tmp_path):
+    """The policy is one hour: later than that, a closed day does not change any more."""
+    schema = "event_id long, user_id long, ts timestamp_ntz, value double"
+    inbox, table, cp = (str(tmp_path / n) for n in ("in", "table", "cp"))
+    out = None
+    for e in (event(1, 1, "2024-01-01 10:00", 5.0), event(2, 1, "2024-01-05 10:00", 7.0), event(3, 1, "2024-01-01 11:00", 100.0)):
+        spark.createDataFrame([e], schema).coalesce(1).write.mode("append").parquet(inbox)
+        out = jobs.daily_spend(spark, inbox, spark.read.parquet(inbox).schema, "user_id", "ts", "value", table, cp)
+    assert sorted((r["day"].day, r["spend"]) for r in out.collect()) == [(1, 5.0), (5, 7.0)]
+
+
+def test_spread_only_when_cores_idle(spark, tmp_path):
+    from beaconry.session import spread
+    path = str(tmp_path / "t")
+    spark.range(100).coalesce(1).write.parquet(path)
+    assert spread(spark.read.parquet(path), "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = spark.range(0, 100, 1, 64)
+    assert spread(many, "id") is many
