@@ -20,16 +20,22 @@ def slice_count(df: DataFrame, slices: int | None) -> int:
 
 
 def range_slices(df: DataFrame, order: list[Column], slices: int | None = None) -> DataFrame:
-    """Sorted slices in ``_slice`` (ascending) with the row's place in ``_pos``."""
+    """Sorted slices in ``_slice`` (ascending) with the row's place in ``_pos``.
+
+    Rows that tie on the whole order are told apart by an id, so that a third of
+    the rows being alike still spreads over a third of the slices.
+    """
     shared_root(df.sparkSession)
+    tied = df.withColumn("_tie", F.monotonically_increasing_id())
+    total = [*order, F.col("_tie")]
     # The id is (partition << 33) + position within the partition.
     row_id = F.col("_row_id")
-    return (df.repartitionByRange(slice_count(df, slices), *order)
-            .sortWithinPartitions(*order)
+    return (tied.repartitionByRange(slice_count(df, slices), *total)
+            .sortWithinPartitions(*total)
             .withColumn("_row_id", F.monotonically_increasing_id())
             .withColumn("_slice", F.shiftright(row_id, 33))
             .withColumn("_pos", row_id.bitwiseAND(F.lit((1 << 33) - 1)))
-            .drop("_row_id")
+            .drop("_row_id", "_tie")
             .checkpoint())
 
 

@@ -22,8 +22,15 @@ def file_stream(spark: SparkSession, path: str, schema: StructType, files_per_ba
 
 
 def event_time(stream: DataFrame, ts: str, lateness: str = LATENESS) -> DataFrame:
-    """Watermarks need a zoned timestamp; the column is cast and named ``event_time``."""
-    return stream.withColumn("event_time", F.col(ts).cast("timestamp")).withWatermark("event_time", lateness)
+    """Watermarks need a zoned timestamp: the clock time of ``ts`` read as UTC, whatever
+    the session zone, in ``event_time``."""
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(ts))
+    return stream.withColumn("event_time", F.timestamp_micros(micros)).withWatermark("event_time", lateness)
+
+
+def window_day(window: str) -> Column:
+    """Date of a one-day window of ``event_time``."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(F.col(f"{window}.start")) / 86400).cast("int"))
 
 
 def land_files(spark: SparkSession, inbox: str, table: str, checkpoint: str, loaded_at: Column) -> DataFrame:
@@ -56,7 +63,7 @@ def daily_spend(spark: SparkSession, inbox: str, schema: StructType, user: str,
     """Running spend per user and day; a day leaves the state once the watermark passes it."""
     rows = event_time(file_stream(spark, inbox, schema), ts)
     spend = (rows.groupBy(user, F.window("event_time", "1 day").alias("w")).agg(F.sum(amount).alias("spend"))
-             .select(user, F.to_date("w.start").alias("day"), "spend"))
+             .select(user, window_day("w").alias("day"), "spend"))
     run_available(spend, batch_folders(table), checkpoint, "update")
     return latest_per_key(spark, table, [user, "day"], ["spend"])
 
@@ -75,7 +82,7 @@ def window_means(spark: SparkSession, inbox: str, schema: StructType, ts: str, v
     rows = event_time(file_stream(spark, inbox, schema), ts)
     means = (rows.groupBy(F.window("event_time", "1 day").alias("w")).agg(
         F.avg(value).alias("mean_value"), F.count("*").alias("n"))
-        .select(F.to_date("w.start").alias("window_start"), "mean_value", "n"))
+        .select(window_day("w").alias("window_start"), "mean_value", "n"))
     run_available(means, batch_folders(table), checkpoint, "update")
     return latest_per_key(spark, table, ["window_start"], ["mean_value", "n"])
 

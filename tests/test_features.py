@@ -102,6 +102,13 @@ def test_global_row_number(spark):
     assert {r["id"]: r["rn"] for r in out} == {i: n for n, (_, i) in enumerate(want, 1)}
 
 
+def test_ties_spread_over_slices(spark):
+    from beaconry.operators.ordering import range_slices
+    df = spark.range(4000).select(F.lit(1).alias("k"))
+    sizes = [r["count"] for r in range_slices(df, [F.col("k")], 8).groupBy("_slice").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 1500
+
+
 def test_top_per_group(spark):
     df = spark.createDataFrame([(1, 5), (1, 7), (1, 6), (2, 1)], "k int, v int")
     assert rows(top_per_group(df, ["k"], [F.desc("v")], 2)) == [(1, 6), (1, 7), (2, 1)]

@@ -172,6 +172,19 @@ def test_events_behind_the_watermark_are_dropped(spark, tmp_path):
     assert sorted((r["day"].day, r["spend"]) for r in out.collect()) == [(1, 5.0), (5, 7.0)]
 
 
+def test_days_do_not_depend_on_the_session_zone(spark, tmp_path):
+    schema = "event_id long, user_id long, ts timestamp_ntz, value double"
+    inbox, table, cp = (str(tmp_path / n) for n in ("in", "table", "cp"))
+    e = [event(1, 1, "2024-01-01 00:30", 5.0), event(2, 1, "2024-01-01 23:30", 7.0)]
+    spark.createDataFrame(e, schema).coalesce(1).write.parquet(inbox)
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        got = jobs.daily_spend(spark, inbox, spark.read.parquet(inbox).schema, "user_id", "ts", "value", table, cp)
+        assert [(str(r["day"]), r["spend"]) for r in got.collect()] == [("2024-01-01", 12.0)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_spread_only_when_cores_idle(spark, tmp_path):
     from beaconry.session import spread
     path = str(tmp_path / "t")
