@@ -64,16 +64,16 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only where the session names none (unit tests) is a local one set.
+    A cluster must name one. Only a one-machine session (``local[...]``, as in
+    tests) that names none gets a folder of this machine.
     """
+    context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(configured)
-        return configured.rstrip("/")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="beaconry-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    if not configured and not context.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="beaconry-"))
+    return (configured or context.getCheckpointDir()).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
