@@ -4,15 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconry.llm import simhash
+from beaconry.llm import simhash, token_counts
 from beaconry.llm.common import documents
 
 ORACLES: dict[str, str] = {}
 
 
+def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, folder),
+                                     public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     groups = simhash.simhash_groups(documents(spark, folder), words=4, distance=4)
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -20,5 +26,6 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
     "op10_simhash": op10_simhash,
 }
