@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconry.llm import simhash, token_counts
+from beaconry.llm import byte_bpe, simhash, token_counts
 from beaconry.llm.common import documents
 
 ORACLES: dict[str, str] = {}
@@ -19,6 +19,16 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
                                      public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    coded = byte_bpe.encode(documents(spark, folder), ranks, pattern)
+    decimal = F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    hashed = coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                          F.sha2(decimal, 256).alias("ids_sha256"), "ids")
+    return (byte_bpe.decode(hashed, ranks, pattern)
+            .select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")))
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     groups = simhash.simhash_groups(documents(spark, folder), words=4, distance=4)
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -27,5 +37,6 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op9_byte_bpe": op9_byte_bpe,
     "op10_simhash": op10_simhash,
 }
