@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconry.llm import byte_bpe, simhash, token_counts
+from beaconry.llm import byte_bpe, mixing, sharding, simhash, token_counts
 from beaconry.llm.common import documents
 
 ORACLES: dict[str, str] = {}
@@ -19,6 +19,17 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
                                      public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    placed, pieces = mixing.mix(documents(spark, folder))
+    return mixing.taken(placed, pieces).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard_records(documents(spark, folder), shards=24).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
+
+
 def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     coded = byte_bpe.encode(documents(spark, folder), ranks, pattern)
@@ -37,6 +48,8 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op5_mixing": op5_mixing,
+    "op7_sharding": op7_sharding,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_simhash": op10_simhash,
 }
