@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconry.llm import byte_bpe, mixing, sharding, simhash, token_counts
+from beaconry.llm import byte_bpe, language_id, mixing, sharding, simhash, token_counts
 from beaconry.llm.common import documents
+from beaconry.session import shared_root
 
 ORACLES: dict[str, str] = {}
 
@@ -19,6 +20,15 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
                                      public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    shared_root(spark)
+    model = language_id.learn(docs.filter(language_id.fold_of("doc_id") != 2))
+    return language_id.identify(docs.select("doc_id", "text"), model).select(
+        F.col("id").alias("doc_id"), (language_id.fold_of("id") == 2).alias("held_out"),
+        "lang_pred", "score", "cost", "accepted")
+
+
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     placed, pieces = mixing.mix(documents(spark, folder))
     return mixing.taken(placed, pieces).select("doc_id", "size", "source_size", "target", "taken")
@@ -48,6 +58,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op4_language_id": op4_language_id,
     "op5_mixing": op5_mixing,
     "op7_sharding": op7_sharding,
     "op9_byte_bpe": op9_byte_bpe,
