@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconry.llm import byte_bpe, language_id, mixing, sharding, simhash, token_counts
+from beaconry.llm import byte_bpe, language_id, mixing, phrases, sharding, simhash, token_counts
 from beaconry.llm.common import documents
 from beaconry.session import shared_root
 
@@ -34,6 +34,10 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken(placed, pieces).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.fingerprints(documents(spark, folder))
+
+
 def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_records(documents(spark, folder), shards=24).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op4_language_id": op4_language_id,
     "op5_mixing": op5_mixing,
+    "op6_phrases": op6_phrases,
     "op7_sharding": op7_sharding,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_simhash": op10_simhash,
