@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "float": pa.float32(),
          "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary(),
          "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64()),
-         "array<double>": pa.list_(pa.float64())}
+         "array<double>": pa.list_(pa.float64()), "array<string>": pa.list_(pa.string())}
 #: Rows that a task holds as Python objects at a time; texts may be long.
 SLICE_ROWS = 256
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconry.llm import byte_bpe, language_id, mixing, phrases, sharding, simhash, token_counts
+from beaconry.llm import byte_bpe, language_id, mixing, phrases, secrets, sharding, simhash, token_counts
 from beaconry.llm.common import documents
 from beaconry.session import shared_root
 
@@ -44,6 +44,23 @@ def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
 
 
+def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    found = secrets.scan(docs, secrets.train(docs))
+
+    def joined(spans):
+        return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(
+            ":", s["kinds"], s["starts"].cast("string"), s["ends"].cast("string"))))
+
+    def number(kind):
+        return F.size(F.filter("kinds", lambda k: k == kind)).cast("long").alias(f"n_{kind}")
+
+    spans = F.arrays_zip("kinds", "starts", "ends")
+    base = F.filter(spans, lambda s: s["kinds"] != "learned")
+    return found.select("doc_id", number("assign"), number("access"), number("hex"),
+                        F.sha2(joined(base), 256).alias("base_sha256"), joined(spans).alias("spans"))
+
+
 def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     coded = byte_bpe.encode(documents(spark, folder), ranks, pattern)
@@ -66,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": op5_mixing,
     "op6_phrases": op6_phrases,
     "op7_sharding": op7_sharding,
+    "op8_secrets": op8_secrets,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_simhash": op10_simhash,
 }
