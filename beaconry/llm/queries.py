@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconry.llm import byte_bpe, language_id, mixing, phrases, secrets, sharding, simhash, token_counts
+from beaconry.llm import byte_bpe, embedding_dedup, language_id, mixing, phrases, secrets, sharding, simhash, token_counts
 from beaconry.llm.common import documents
 from beaconry.session import shared_root
 
@@ -20,6 +20,10 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
                                      public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+def op3_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
 def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     shared_root(spark)
@@ -79,6 +83,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_language_id": op4_language_id,
     "op5_mixing": op5_mixing,
     "op6_phrases": op6_phrases,
