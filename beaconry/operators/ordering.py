@@ -22,11 +22,12 @@ def slice_count(df: DataFrame, slices: int | None) -> int:
 def range_slices(df: DataFrame, order: list[Column], slices: int | None = None) -> DataFrame:
     """Sorted slices in ``_slice`` (ascending) with the row's place in ``_pos``.
 
-    Rows that tie on the whole order are told apart by an id, so that a third of
-    the rows being alike still spreads over a third of the slices.
+    Rows that tie on the order follow by a hash of their whole content, so a task
+    that runs again cuts its rows the same way; rows alike in every column are
+    interchangeable.
     """
     shared_root(df.sparkSession)
-    tied = df.withColumn("_tie", F.monotonically_increasing_id())
+    tied = df.withColumn("_tie", F.xxhash64(*df.columns))
     total = [*order, F.col("_tie")]
     # The id is (partition << 33) + position within the partition.
     row_id = F.col("_row_id")
