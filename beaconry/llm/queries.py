@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconry.llm import byte_bpe, embedding_dedup, language_id, mixing, phrases, secrets, sharding, simhash, token_counts
+from beaconry.llm import byte_bpe, embedding_dedup, language_id, mixing, phrases, secrets, sharding, simhash, substring_dedup, token_counts
 from beaconry.llm.common import documents
 from beaconry.session import shared_root
 
@@ -20,10 +20,43 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
                                      public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substring_dedup.remove_repeated(documents(spark, folder), length=35)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLES["op2_substring_dedup"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+     p AS (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d),
+     k AS (SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS k FROM p),
+     again AS (SELECT r, i FROM k QUALIFY count(*) OVER (PARTITION BY k) > 1),
+     gone AS (SELECT r, list(DISTINCT j) AS js
+              FROM (SELECT r, unnest(range(i, i + 35)) AS j FROM again) GROUP BY r),
+     kept AS (SELECT doc_id, w, coalesce(js, []) AS js FROM d LEFT JOIN gone USING (r))
+SELECT doc_id, len(w)::BIGINT AS n_words, len(js)::BIGINT AS n_removed,
+       sha256(array_to_string(list_filter(w, lambda x, i: NOT list_contains(js, i)), ' ')) AS kept_sha256
+FROM kept
+"""
+
+
 def op3_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dedup.near_duplicates(spark.read.parquet(f"{folder}/embeddings.parquet"))
 
 
+ORACLES["op3_embedding_dedup"] = """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+     links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+               WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+     reach AS (SELECT vec_id AS x, vec_id AS y FROM v
+               UNION SELECT reach.x, links.b FROM reach JOIN links ON reach.y = links.a),
+     root AS (SELECT x AS vec_id, min(y) AS component_id FROM reach GROUP BY x),
+     n AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM root LEFT JOIN n USING (vec_id)
+"""
+
+
 def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     shared_root(spark)
@@ -83,6 +116,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_language_id": op4_language_id,
     "op5_mixing": op5_mixing,
