@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from beaconry.llm.common import SLICE_ROWS, Memo, keyed_texts
+from beaconry.llm.common import SLICE_ROWS, Memo
 
 #: Entries of the per-task cache, and the longest unit it holds.
 CACHED, CACHED_CHARS = 400_000, 48
@@ -124,35 +124,37 @@ def coder(path: str, pattern: str) -> ByteBpe:
     return ByteBpe(path, pattern)
 
 
-def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
-           text_col: str = "text", offsets: bool = False) -> DataFrame:
-    """``(doc_id, ids array<int>)`` per row, with ``offsets`` also ``starts`` and ``ends``.
+def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text",
+           keep: tuple[str, ...] = ("doc_id",), offsets: bool = False) -> DataFrame:
+    """The columns ``keep`` and ``ids array<int>`` per row, with ``offsets`` also ``starts``
+    and ``ends``: the characters that each token touches.
 
     No special tokens: their strings are ordinary text. Null and empty texts
     give an empty array. Null ids, ties and repeated rows stay, an empty table
     gives no rows; other columns are not read.
     """
     kind = pa.list_(pa.int32())
-    extra = ["starts", "ends"] if offsets else []
-    out = pa.schema([("doc_id", pa.int64()), ("ids", kind)] + [(c, kind) for c in extra])
+    added = ["ids", *(["starts", "ends"] if offsets else [])]
+    rows = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").cast("string").alias("_text"))
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
+                       + [f"{c} array<int>" for c in added])
 
     def run(batches):
         model = coder(ranks_path, pattern)
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(start, SLICE_ROWS)
-                texts = part.column(1).to_pylist()
+                texts = part.column(len(keep)).to_pylist()
                 packed = model.encode(texts)
                 ends = np.cumsum([0] + [len(p) // 4 for p in packed]).astype(np.int32)
                 ids = pa.array(np.frombuffer(b"".join(packed), dtype=np.int32))
-                columns = [part.column(0), pa.ListArray.from_arrays(pa.array(ends), ids)]
+                columns = [*part.columns[:-1], pa.ListArray.from_arrays(pa.array(ends), ids)]
                 if offsets:
                     spans = [model.offsets(t) for t in texts]
                     columns += [pa.array([[s[k] for s in row] for row in spans], kind) for k in (0, 1)]
-                yield pa.RecordBatch.from_arrays(columns, schema=out)
+                yield pa.RecordBatch.from_arrays(columns, names=[*keep, *added])
 
-    return keyed_texts(df, id_col, text_col).mapInArrow(
-        run, "doc_id long, ids array<int>" + "".join(f", {c} array<int>" for c in extra))
+    return rows.mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids",

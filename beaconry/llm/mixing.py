@@ -11,6 +11,8 @@ sizes. All draws follow from the seed, so a rerun agrees.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -263,3 +265,63 @@ def taken(placed: DataFrame, pieces: DataFrame) -> DataFrame:
     got = got.select(F.col("source_no").alias("_no"), F.col("offset").alias("_offset"), "taken")
     return (some.join(got, (some["source_no"] == got["_no"]) & (some["_at"] == got["_offset"]), "left")
             .withColumn("taken", F.coalesce("taken", F.lit(0))).drop("_at", "_no", "_offset"))
+
+
+def mixed_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    source_col: str = "source", length_col: str | None = "n_chars", **how) -> DataFrame:
+    """The documents of a mix: the columns of ``df``, a row per document and lap.
+
+    A document that the mix takes whole appears unchanged, once or twice. One that it
+    takes in part appears with the words taken: neighbouring words keep what
+    stands between them, pieces that are apart are joined by a line break. What
+    the mix does not take is gone. ``length_col`` gets the new number of characters.
+    """
+    placed, pieces = mix(df, id_col, text_col, source_col, **how)
+    # Repeated rows have one id and text: the n-th place belongs to the n-th row.
+    nth = W.partitionBy("doc_id", "text_key").orderBy("source_no", "offset")
+    numbers = (placed.filter("size > 0").withColumn("_turn", F.row_number().over(nth))
+               .select("source_no", "offset", "_turn"))
+    wanted = (pieces.join(numbers, ["source_no", "offset"])
+              .groupBy("doc_id", "text_key", "_turn")
+              .agg(F.collect_list(F.struct("lap", "first_word", "n_words")).alias("_cuts"))
+              .withColumnsRenamed({"doc_id": "_wanted", "text_key": "_text"}))
+    own = W.partitionBy("_own", "_hash").orderBy("_own")
+    rows = (df.withColumns({"_own": F.col(f"`{id_col}`").cast("long"), "_hash": F.xxhash64(F.col(f"`{text_col}`").cast("string"))})
+            .withColumn("_nth", F.row_number().over(own)))
+    joined = rows.join(wanted, rows["_own"].eqNullSafe(F.col("_wanted")) & (rows["_hash"] == F.col("_text"))
+                       & (rows["_nth"] == F.col("_turn"))).select(*[F.col(f"`{c}`") for c in df.columns], "_cuts")
+    at = df.columns.index(text_col)
+    size = df.columns.index(length_col) if length_col else None
+    schema, word = df.schema, re.compile(WORD)
+
+    def run(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                rows_, texts = [], []
+                for i, (text, cuts) in enumerate(zip(part.column(at).to_pylist(), part.column(len(schema)).to_pylist(), strict=True)):
+                    spans = [m.span() for m in word.finditer(text)]
+                    for lap in sorted({c["lap"] for c in cuts}):
+                        rows_.append(i)
+                        texts.append(_taken_text(text, spans, sorted(
+                            (c["first_word"], c["n_words"]) for c in cuts if c["lap"] == lap)))
+                columns = [c.take(pa.array(rows_, pa.int64())) for c in part.columns[:-1]]
+                columns[at] = pa.array(texts, columns[at].type)
+                if size is not None:
+                    columns[size] = pa.array([len(t) for t in texts], columns[size].type)
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return joined.mapInArrow(run, schema)
+
+
+def _taken_text(text: str, spans: list[tuple[int, int]], pieces: list[tuple[int, int]]) -> str:
+    """The words of ``pieces`` (first word, number of words; ascending) of a text."""
+    runs: list[list[int]] = []
+    for first, n in pieces:
+        if runs and runs[-1][1] == first:
+            runs[-1][1] = first + n
+        else:
+            runs.append([first, first + n])
+    if runs == [[0, len(spans)]]:
+        return text
+    return "\n".join(text[spans[a][0]:spans[b - 1][1]] for a, b in runs)

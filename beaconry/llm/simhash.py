@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from beaconry.llm.common import arrow_schema, keyed_texts, map_rows
@@ -30,11 +31,11 @@ SEED = 42
 LARGE_BUCKET = 20_000
 
 
-def fingerprint(text: str | None, words: int) -> int:
-    """Majority bits over the XXH64 of all word shingles, repeats included."""
+def shingle_bytes(text: str | None, words: int) -> np.ndarray:
+    """XXH64 of each word shingle of a text as rows of 8 bytes, repeats included."""
     tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not tokens:
-        return 0
+        return np.zeros((0, 8), dtype=np.uint8)
     joined = b" ".join(tokens)
     ends = np.cumsum(np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
@@ -42,13 +43,22 @@ def fingerprint(text: str | None, words: int) -> int:
     digest = xxhash.xxh64_digest
     raw = b"".join([digest(joined[s:e], SEED)
                     for s, e in zip(starts[:len(starts) - last].tolist(), ends[last:].tolist())])
-    rows = np.frombuffer(raw, dtype=np.uint8).reshape(-1, 8)
+    return np.frombuffer(raw, dtype=np.uint8).reshape(-1, 8)
+
+
+def majority(rows: np.ndarray) -> int:
+    """Bits set in over half the hashes, as a signed number; 0 without any."""
     counts = np.zeros(BITS, dtype=np.int64)
     for at in range(0, len(rows), 1 << 15):
         counts += np.unpackbits(rows[at:at + (1 << 15)], axis=1).sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(counts * 2 > len(rows)).tobytes(), "big", signed=True)
 
 
+def fingerprint(text: str | None, words: int) -> int:
+    """Majority bits over the XXH64 of all word shingles, repeats included."""
+    return majority(shingle_bytes(text, words))
+
+
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  words: int = 4) -> DataFrame:
     """``(doc_id, fp)`` per row, fp a signed long.
@@ -115,11 +125,12 @@ def bucket_pairs(p: np.ndarray, t: int) -> float:
 
 
 def allocate(n: int, joint: np.ndarray, distance: int,
-             probe_cost: float = 40.0) -> list[tuple[list[int], int]]:
+             probe_cost: float = 2_000.0) -> list[tuple[list[int], int]]:
     """Parts and thresholds of least estimated work: ``[(bits, t), ...]``, t >= 0.
 
     Work of a part at t: its candidate pairs by the bit rates of all
-    fingerprints, plus what its masks cost to emit. The dynamic program runs
+    fingerprints, plus what its masks cost to emit (a row is worth about as much
+    as ``probe_cost`` comparisons). The dynamic program runs
     over parts and the thresholds left; -1 leaves a part out.
     """
     p = np.diag(joint) / max(n, 1)
@@ -291,3 +302,72 @@ def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     least = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     named = classes.join(least, "root").select("fp", "component_id")
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+#: Smallest shingle hashes kept to verify the similarity of candidates.
+SKETCH = 128
+
+
+def sketch(rows: np.ndarray) -> bytes:
+    """The SKETCH smallest distinct shingle hashes, ascending."""
+    return np.unique(rows.view(">u8").ravel().astype(np.uint64))[:SKETCH].tobytes()
+
+
+def similarity(a: bytes, b: bytes) -> float:
+    """Jaccard similarity of two shingle sets, estimated from their smallest hashes;
+    exact for sets that the sketches hold whole. Two empty sets are alike."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    if not len(x) or not len(y):
+        return float(len(x) == len(y))
+    least = np.union1d(x, y)[:SKETCH]
+    return float(np.isin(least, np.intersect1d(x, y, assume_unique=True), assume_unique=True).mean())
+
+
+def similar_edges(edges: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
+    """The edges whose ends have similar shingle sets. sketches: ``(fp, sketch)``."""
+    one = sketches.select(F.col("fp").alias("a"), F.col("sketch").alias("x"))
+    two = sketches.select(F.col("fp").alias("b"), F.col("sketch").alias("y"))
+    both = edges.join(one, "a").join(two, "b").select("a", "b", "x", "y")
+
+    def run(batches):
+        for batch in batches:
+            a, b, x, y = batch.columns
+            keep = [similarity(p, q) >= least for p, q in zip(x.to_pylist(), y.to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.mapInArrow(run, "a long, b long")
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
+             distance: int = 12, least: float = 0.8) -> DataFrame:
+    """One row of each near-duplicate group of ``df``, all columns unchanged.
+
+    Texts link when their fingerprints differ in at most ``distance`` bits and their
+    word shingles have a Jaccard similarity of ``least`` or more, estimated from the
+    smallest SKETCH hashes. Texts of equal fingerprint are one group. The row with
+    the smallest id stays (null ids last, then by text hash). Texts without words
+    are one group; an empty table gives no rows.
+    """
+    shared_root(df.sparkSession)
+    text = F.col(f"`{text_col}`").cast("string")
+    keyed = df.select(F.xxhash64(text).alias("text_key"), F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+                      text.alias("text"))
+
+    def work(keys, ids, texts):
+        hashed = [shingle_bytes(t, words) for t in texts]
+        return keys, ids, [majority(h) for h in hashed], [sketch(h) for h in hashed]
+
+    prints = map_rows(keyed, work, "text_key long, doc_id long, fp long, sketch binary").checkpoint()
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    classes = prints.groupBy("fp").agg(F.min(first).alias("first"), F.min("sketch").alias("sketch")).checkpoint()
+    edges = link_fingerprints(classes.select("fp"), distance)
+    roots = components(similar_edges(edges, classes.select("fp", "sketch"), least))
+    kept = (classes.join(roots, classes["fp"] == roots["node"], "left")
+            .groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+            .select(F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key")))
+    # A repeated row has the same id and text as the one that stays: number them.
+    turn = W.partitionBy("_own", "_hash").orderBy("_own")
+    numbered = (df.withColumns({"_own": F.col(f"`{id_col}`").cast("long"), "_hash": F.xxhash64(text)})
+                .join(kept, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_key")))
+                .withColumn("_turn", F.row_number().over(turn)))
+    return numbered.filter("_turn = 1").select(*[F.col(f"`{c}`") for c in df.columns])
