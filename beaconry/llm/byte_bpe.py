@@ -135,6 +135,8 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text",
     """
     kind = pa.list_(pa.int32())
     added = ["ids", *(["starts", "ends"] if offsets else [])]
+    if set(added) & set(keep):
+        raise ValueError(f"kept columns may not be called {added}")
     rows = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").cast("string").alias("_text"))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
                        + [f"{c} array<int>" for c in added])
