@@ -79,10 +79,10 @@ def recursive_chunks(docs: DataFrame, keys: list[str], text: str, size: int = 12
     return docs.select(*keys, text).filter(F.char_length(text) > 0).mapInPandas(run, schema)
 
 
-def reassemble(lines: DataFrame, key: str, row: str, line: str, text: str) -> DataFrame:
-    """Lines of each document joined in row order."""
-    return lines.groupBy(key).agg(
-        F.expr(f"listagg({line}, '\\n') WITHIN GROUP (ORDER BY {row})").alias(text))
+def reassemble(lines: DataFrame, key: str, order: list[str], line: str, text: str) -> DataFrame:
+    """Lines of each document joined in the order of the columns ``order``."""
+    items = F.array_sort(F.collect_list(F.struct(*order, F.col(line).alias("_line"))))
+    return lines.groupBy(key).agg(F.array_join(F.transform(items, lambda x: x["_line"]), "\n").alias(text))
 
 
 # Call type by id prefix.

@@ -12,27 +12,31 @@ from beaconry.functions.safe import rate
 
 
 def key_drivers(rows: DataFrame, metric: str, label: str, dims: list[str],
-                max_depth: int = 2) -> DataFrame:
-    """Every segment of up to ``max_depth`` dimensions with its share of the change.
+                max_depth: int | None = None) -> DataFrame:
+    """Every segment of the dimensions, up to ``max_depth`` of them (default: all),
+    with its share of the change.
 
     ``label`` is true for the test group. Rows are first summed per full
     dimension combination; only those sums are expanded into grouping sets, so
     the data itself is shuffled once and never multiplied.
 
     surprise = test − control × (total test / total control): what the segment
-    moved beyond the overall change. Dimensions must not be NULL.
+    moved beyond the overall change. A NULL value of a dimension is a value of
+    its own, written ``dimension=NULL``.
     """
     test = F.col(label)
     cells = rows.groupBy(*dims).agg(
         F.coalesce(F.sum(F.when(~test, F.col(metric))), F.lit(0)).alias("_control"),
         F.coalesce(F.sum(F.when(test, F.col(metric))), F.lit(0)).alias("_test"))
-    sets = [list(c) for n in range(1, max_depth + 1) for c in combinations(dims, n)]
+    sets = [list(c) for n in range(1, (max_depth or len(dims)) + 1) for c in combinations(dims, n)]
     segments = cells.groupingSets([[F.col(d) for d in s] for s in sets], *dims).agg(
-        F.sum("_control").alias("metric_control"), F.sum("_test").alias("metric_test"))
+        F.sum("_control").alias("metric_control"), F.sum("_test").alias("metric_test"),
+        *[F.grouping(d).alias(f"_out_{d}") for d in dims])
     control_all = cells.agg(F.sum("_control")).scalar()
     test_all = cells.agg(F.sum("_test")).scalar()
     name = F.concat_ws(" & ", *[
-        F.when(F.col(d).isNotNull(), F.concat(F.lit(f"{d}="), F.col(d).cast("string"))) for d in dims])
+        F.when(F.col(f"_out_{d}") == 0, F.concat(F.lit(f"{d}="), F.coalesce(F.col(d).cast("string"), F.lit("NULL"))))
+        for d in dims])
     control, seen = F.col("metric_control"), F.col("metric_test")
     return (segments
             .withColumn("_c", control_all).withColumn("_t", test_all)

@@ -120,14 +120,16 @@ def _find(items, name: str, kind: str):
     return found[0]
 
 
-def paths(model: Model, start: str, goal: str) -> list[tuple[Relationship, ...]]:
-    """All many-to-one paths from one table to another."""
+def paths(model: Model, start: str, goal: str, seen: tuple[str, ...] = ()) -> list[tuple[Relationship, ...]]:
+    """All many-to-one paths from one table to another; a cycle is an error."""
+    if start in seen:
+        raise MetricModelError(f"relationships form a cycle: {' > '.join([*seen, start])}")
     if start == goal:
         return [()]
     found = []
     for rel in model.relationships:
         if rel.child == start:
-            found += [(rel, *rest) for rest in paths(model, rel.parent, goal)]
+            found += [(rel, *rest) for rest in paths(model, rel.parent, goal, (*seen, start))]
     return found
 
 

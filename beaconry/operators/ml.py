@@ -19,9 +19,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from beaconry.operators.ordering import global_row_number
 from beaconry.session import values
 from beaconry.sources.tables import append_rows
 
+# The nine numeric features.
 FEATURES = ["wealth_signal_score", "tenure_days", "frequency_lifetime", "frequency_last_12m",
             "monetary_total", "avg_gift_amount", "recency_days", "engagement_count", "engagement_last_6m"]
 
@@ -32,7 +34,7 @@ def baseline_stages(categorical: list[str], numeric: list[str], label: str) -> P
         StringIndexer(inputCols=categorical, outputCols=[f"{c}_ix" for c in categorical], handleInvalid="keep"),
         OneHotEncoder(inputCols=[f"{c}_ix" for c in categorical], outputCols=[f"{c}_oh" for c in categorical]),
         VectorAssembler(inputCols=[f"{c}_oh" for c in categorical] + numeric, outputCol="features"),
-        LogisticRegression(featuresCol="features", labelCol=label, maxIter=30, standardization=True)])
+        LogisticRegression(featuresCol="features", labelCol=label, maxIter=100, standardization=True)])
 
 
 def boosted_stages(label: str, features: list[str] = FEATURES, n_trees: int = 20, max_depth: int = 4,
@@ -85,8 +87,9 @@ def grid_search(train: DataFrame, label: str, grid: dict[str, list], folds: int
     f1 = MulticlassClassificationEvaluator(labelCol=label, metricName="fMeasureByLabel", metricLabel=1.0)
     cv = CrossValidator(estimator=stages, estimatorParamMaps=maps, evaluator=f1, numFolds=folds,
                         parallelism=parallelism, seed=42).fit(train)
-    top = max(cv.avgMetrics)
-    rows = [tuple(m[names[n]] for n in grid) + (float(v), v == top) for m, v in zip(maps, cv.avgMetrics)]
+    best = cv.avgMetrics.index(max(cv.avgMetrics))  # the one that was refitted
+    rows = [tuple(m[names[n]] for n in grid) + (float(v), i == best)
+            for i, (m, v) in enumerate(zip(maps, cv.avgMetrics))]
     return cv.bestModel, values(train.sparkSession, rows, ", ".join([*grid, "f1", "is_best"]))
 
 
@@ -113,25 +116,27 @@ def load_default(spark: SparkSession, root: str, name: str) -> PipelineModel:
 
 
 def sampled_attribution(model: PipelineModel, rows: DataFrame, background: DataFrame, key: str,
-                        features: list[str], draws: int = 4, background_rows: int = 32) -> DataFrame:
+                        features: list[str], draws: int = 16) -> DataFrame:
     """Shapley values by sampled feature orders, for any model.
 
     Each draw switches the features of a background row to those of the
     explained row, one by one in a hashed order; the change of the prediction at
     each switch is credited to that feature. The values of a row add up to its
     prediction minus the mean prediction of the background rows drawn for it.
-    ``background_rows`` bounds the broadcast side.
+    Draws come from all of ``background``, numbered in a hashed order; more draws
+    bring the values closer to those relative to its mean.
     """
     d = len(features)
-    base = (background.orderBy(F.xxhash64(key), key).limit(background_rows)
-            .select(F.array(*[F.col(f).cast("double") for f in features]).alias("_bg"), F.lit(1).alias("_one")))
-    base = base.withColumn("_pick", F.row_number().over(W.orderBy("_bg")) - 1).drop("_one")
-    size = base.agg(F.count("*")).scalar()
+    numbered = global_row_number(
+        background.select(key, F.array(*[F.col(f).cast("double") for f in features]).alias("_bg")),
+        [F.xxhash64(key), F.col(key)], "_place")
+    base = numbered.select((F.col("_place") - 1).alias("_pick"), "_bg")
+    size = background.agg(F.count("*")).scalar()
     drawn = (rows.select(key, F.array(*[F.col(f).cast("double") for f in features]).alias("_x"))
              .select("*", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))).alias("_draw"))
              .withColumn("_n", size)
-             .withColumn("_pick", F.pmod(F.xxhash64(key, "_draw"), F.col("_n")).cast("int"))
-             .join(F.broadcast(base), "_pick"))
+             .withColumn("_pick", F.pmod(F.xxhash64(key, "_draw"), F.col("_n")))
+             .join(base, "_pick"))
     places = F.array(*[F.struct(F.xxhash64(F.col(key), F.col("_draw"), F.lit(i)).alias("h"), F.lit(i).alias("i"))
                        for i in range(d)])
     ordered = drawn.withColumn("_order", F.transform(F.array_sort(places), lambda p: p["i"]))
@@ -148,18 +153,19 @@ def sampled_attribution(model: PipelineModel, rows: DataFrame, background: DataF
             .agg((F.sum("_delta") / draws).alias("phi")))
 
 
-def hashed_embedding(rows: DataFrame, words: str, out: str, dims: int = 64) -> DataFrame:
-    """tf-idf vector of hashed words as array<float>."""
+def hashed_embedding(rows: DataFrame, words: str, out: str, dims: int) -> DataFrame:
+    """tf-idf vector of hashed words as array<float>; words share a slot when ``dims``
+    is small, so the width is the caller's choice."""
     counted = HashingTF(inputCol=words, outputCol="_tf", numFeatures=dims).transform(rows)
     weighted = IDF(inputCol="_tf", outputCol="_v").fit(counted).transform(counted)
     return weighted.withColumn(out, vector_to_array("_v", "float32")).drop("_tf", "_v")
 
 
-def text_classifier(words: str, label: str, dims: int = 4096) -> Pipeline:
+def text_classifier(words: str, label: str, dims: int = 1 << 18) -> Pipeline:
     return Pipeline(stages=[
         HashingTF(inputCol=words, outputCol="_tf", numFeatures=dims),
         IDF(inputCol="_tf", outputCol="features"),
-        LogisticRegression(featuresCol="features", labelCol=label, maxIter=30, regParam=0.01)])
+        LogisticRegression(featuresCol="features", labelCol=label, maxIter=100, regParam=0.01)])
 
 
 def nearest_hashed(vectors: DataFrame, key: str, vector: str, query: list[float], k: int,

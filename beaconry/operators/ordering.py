@@ -15,8 +15,16 @@ from pyspark.sql import functions as F
 from beaconry.session import shared_root
 
 
+#: Rows of a slice beyond which there are more slices than shuffle partitions.
+SLICE_ROWS = 2_000_000
+
+
 def slice_count(df: DataFrame, slices: int | None) -> int:
-    return slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Shuffle partitions of the session, or more where slices would outgrow SLICE_ROWS."""
+    if slices:
+        return slices
+    least = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    return max(int(least) if least.isdigit() else 1, -(-df.count() // SLICE_ROWS))
 
 
 def range_slices(df: DataFrame, order: list[Column], slices: int | None = None) -> DataFrame:

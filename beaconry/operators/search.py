@@ -1,8 +1,8 @@
 """Keyword, vector and hybrid retrieval with attribute filters.
 
-A query is a handful of terms and one vector, so a search is one scan: words
-outside the query are dropped where they are read, what travels is one short row
-of counts per document, and the top k is taken per task first. A stored index
+A query is a handful of terms and one vector, so a search is a scan: words
+of the query are counted in the row that holds them, only sums and the top k of
+each task travel. A stored index
 turns the scan into reading the postings of the query terms.
 """
 
@@ -40,17 +40,13 @@ def matches(frame: DataFrame, filters: dict[str, str]) -> DataFrame:
 
 
 def term_counts(docs: DataFrame, key: str, text: str, terms: list[str], carry: list[str]) -> DataFrame:
-    """One row per document: length and the count of every query term.
+    """One row per document: length and the count of every query term, in the row itself."""
+    def times(term: str) -> Column:
+        return F.size(F.filter("_w", lambda w: w == term))
 
-    The text is split once. Words outside the query are dropped where they are
-    read; a NULL word per document keeps those without any hit.
-    """
     words = once(docs.select(key, text, *carry), "_w", tokens(F.col(text)))
-    rows = words.select(key, *carry, F.size("_w").alias("_len"),
-                        F.explode(F.concat(F.array(F.lit(None).cast("string")), F.col("_w"))).alias("_t"))
-    return (rows.filter(F.col("_t").isNull() | F.col("_t").isin(terms)).groupBy(key).agg(
-        F.first("_len").alias("_len"), *[F.first(c).alias(c) for c in carry],
-        *[F.count_if(F.col("_t") == t).alias(f"_tf{i}") for i, t in enumerate(terms)]))
+    return words.select(key, *carry, F.greatest(F.size("_w"), F.lit(0)).alias("_len"),
+                        *[times(q).alias(f"_tf{i}") for i, q in enumerate(terms)])
 
 
 def bm25_scores(docs: DataFrame, key: str, text: str, query: str, columns: list[str] = (),
@@ -58,7 +54,7 @@ def bm25_scores(docs: DataFrame, key: str, text: str, query: str, columns: list[
     """Documents with a positive BM25 score in ``keyword_score``.
 
     Statistics come from the whole corpus, filters only limit the candidates.
-    Both read the same per-document counts, whose shuffle Spark reuses.
+    No row is shuffled; the statistics are one row.
     """
     terms = query_terms(query)
     carry = list(dict.fromkeys([*columns, *(filters or {})]))
@@ -106,23 +102,22 @@ def search_index(index: DataFrame, size: DataFrame, key: str, query: str, k: int
             .orderBy(F.desc("keyword_score"), key).limit(k))
 
 
-def cosine(a: Column, b: Column) -> Column:
-    """Cosine similarity of two float arrays, in double precision."""
-    def total(x: Column, y: Column) -> Column:
-        pairs = F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double"))
-        return F.aggregate(pairs, F.lit(0.0), lambda acc, v: acc + v)
-
-    return F.try_divide(total(a, b), F.sqrt(total(a, a)) * F.sqrt(total(b, b)))
+def _total(x: Column, y: Column) -> Column:
+    pairs = F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double"))
+    return F.aggregate(pairs, F.lit(0.0), lambda acc, v: acc + v)
 
 
 def vector_of(vectors: DataFrame, key: str, vector: str, value: int) -> Column:
-    """One stored vector as a one-value subquery."""
-    return vectors.filter(F.col(key) == value).select(vector).limit(1).scalar()
+    """One stored vector, scaled to length 1, as a one-value subquery."""
+    one = vectors.filter(F.col(key) == value).limit(1)
+    length = F.sqrt(_total(F.col(vector), F.col(vector)))
+    return one.select(F.transform(vector, lambda v: F.try_divide(v.cast("double"), length))).scalar()
 
 
 def vector_scores(vectors: DataFrame, vector: str, query_vector: Column) -> DataFrame:
-    held = vectors.withColumn("_q", query_vector)
-    return once(held, "vector_score", cosine(F.col(vector), F.col("_q"))).drop("_q")
+    """Cosine with a query vector of length 1, in double precision."""
+    held, v = vectors.withColumn("_q", query_vector), F.col(vector)
+    return once(held, "vector_score", F.try_divide(_total(v, F.col("_q")), F.sqrt(_total(v, v)))).drop("_q")
 
 
 def vector_search(vectors: DataFrame, key: str, vector: str, query_vector: Column, k: int,
@@ -132,26 +127,33 @@ def vector_search(vectors: DataFrame, key: str, vector: str, query_vector: Colum
     return scored.orderBy(F.desc("vector_score"), key).limit(k)
 
 
-def hybrid_search(docs: DataFrame, key: str, text: str, vector: str, query: str, query_vector: Column,
-                  k: int, columns: list[str], filters: dict[str, str] | None = None) -> DataFrame:
+def hybrid_search(docs: DataFrame, vectors: DataFrame, key: str, text: str, vector: str, query: str,
+                  query_vector: Column, k: int, columns: list[str],
+                  filters: dict[str, str] | None = None) -> DataFrame:
     """Reciprocal-rank fusion of the complete keyword and vector rankings.
 
-    Both rankings are total orders over range slices, so no list is cut short
-    and no task sorts the corpus.
+    A document counts in each ranking it occurs in: one without a vector is found
+    by its words, one without a query word by its vector. Filters limit both
+    rankings before they are numbered. Both are total orders over range slices,
+    so no list is cut short and no task sorts the corpus.
     """
     words = bm25_scores(docs, key, text, query, filters=filters).select(
         key, F.round("keyword_score", 6).alias("_k"))
-    near = vector_scores(matches(docs, filters or {}), vector, query_vector).select(
+    held = matches(docs, filters or {}).select(key)
+    near = vector_scores(vectors.select(key, vector).join(held, key), vector, query_vector).select(
         key, F.round("vector_score", 6).alias("_v"))
     by_word = global_row_number(words, [F.desc("_k"), F.col(key)], "keyword_rank").select(key, "keyword_rank")
-    by_vector = global_row_number(near, [F.desc("_v"), F.col(key)], "vector_rank").drop("_v")
-    fused = F.coalesce(1 / (RRF + F.col("keyword_rank")), F.lit(0.0)) + 1 / (RRF + F.col("vector_rank"))
-    best = (by_vector.join(by_word, key, "left")
-            .select(key, "keyword_rank", "vector_rank", F.round(fused, 8).alias("score"))
+    by_vector = global_row_number(near, [F.desc("_v"), F.col(key)], "vector_rank").select(key, "vector_rank")
+
+    def part(rank: str) -> Column:
+        return F.coalesce(1 / (RRF + F.col(rank)), F.lit(0.0))
+
+    best = (by_word.join(by_vector, key, "full")
+            .select(key, "keyword_rank", "vector_rank",
+                    F.round(part("keyword_rank") + part("vector_rank"), 8).alias("score"))
             .orderBy(F.desc("score"), key).limit(k))
     # The k hits fetch their columns at the end, so texts are never sorted.
-    return (docs.select(key, *columns).join(F.broadcast(best), key)
-            .orderBy(F.desc("score"), key))
+    return docs.select(key, *columns).join(best, key).orderBy(F.desc("score"), key)
 
 
 def cited_context(hits: DataFrame, label: str, key: str, text: str, order: list[str]) -> DataFrame:

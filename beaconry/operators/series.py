@@ -66,8 +66,10 @@ def detect_anomalies(series: DataFrame, keys: list[str], ts: str, target: str, c
                      season: Column | None = None, interval: float = 0.99) -> DataFrame:
     """Train strictly before ``cut``, score from ``cut`` on.
 
-    The forecast is the training mean of the same (series, season); the spread
-    is pooled over the seasons of the series. Distance counts spreads.
+    The forecast is the training mean of the same (series, season), else of the
+    series (``basis`` tells which); the spread is pooled over the seasons of the
+    series. Distance counts spreads. Every recent point is kept: without any
+    training row of its series basis is ``none`` and the findings are NULL.
     """
     keyed = series.withColumn("_season", season if season is not None else F.lit(0))
     when = F.col(ts)
@@ -76,13 +78,17 @@ def detect_anomalies(series: DataFrame, keys: list[str], ts: str, target: str, c
         F.avg(target).alias("forecast"), F.var_samp(target).alias("_v"), F.count("*").alias("_n"))
     spread = stats.groupBy(*keys).agg(
         F.sqrt(F.try_divide(F.sum(F.col("_v") * (F.col("_n") - 1)), F.sum(F.col("_n") - 1))).alias("_sd"))
+    whole = stats.groupBy(*keys).agg((F.sum(F.col("forecast") * F.col("_n")) / F.sum("_n")).alias("_mean"))
     z = z_value(interval)
-    y, mean, sd = F.col("y"), F.col("forecast"), F.coalesce("_sd", F.lit(0.0))
+    y, mean = F.col("y"), F.col("forecast")
+    sd = F.when(mean.isNotNull(), F.coalesce("_sd", F.lit(0.0)))
+    basis = F.when(F.col("_own").isNotNull(), "season").when(F.col("_mean").isNotNull(), "series").otherwise("none")
     scored = (recent.withColumnRenamed(target, "y")
-              .join(stats.select(*keys, "_season", "forecast"), [*keys, "_season"])
-              .join(spread, keys))
+              .join(stats.select(*keys, "_season", F.col("forecast").alias("_own")), [*keys, "_season"], "left")
+              .join(spread.join(whole, keys), keys, "left")
+              .withColumn("forecast", F.coalesce("_own", "_mean")).withColumn("basis", basis))
     return scored.select(
-        *keys, F.col(ts).alias("ts"), "y", "forecast", (mean - z * sd).alias("lower_bound"),
+        *keys, F.col(ts).alias("ts"), "y", "basis", "forecast", (mean - z * sd).alias("lower_bound"),
         (mean + z * sd).alias("upper_bound"),
-        F.coalesce(F.try_divide(y - mean, sd), F.lit(0.0)).alias("distance"),
+        F.when(mean.isNotNull(), F.coalesce(F.try_divide(y - mean, sd), F.lit(0.0))).alias("distance"),
         ((y < mean - z * sd) | (y > mean + z * sd)).alias("is_anomaly"))

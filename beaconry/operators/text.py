@@ -1,8 +1,8 @@
 """Sentiment, topics, themes and gates over text columns.
 
-Scoring never joins documents with each other. Words are exploded per document
-and partially aggregated in the task that read it, so the shuffle carries at
-most one row per (document, key), and a frequent word is one row per task.
+Scoring never joins documents with each other. Word counts of a row come from its
+own array; only words of the lexicon go on after the join with it. Per-group counts
+are summed in the task that read the text, so a frequent word is one row per task.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from beaconry.operators.ordering import top_per_group
 
 
 def learn_polarity(docs: DataFrame, labels: DataFrame, key: str, text: str, negative: str,
-                   min_docs: int = 5, lift: int = 2) -> DataFrame:
+                   min_docs: int = 1, lift: int = 2) -> DataFrame:
     """Word polarity (+1 / -1) from labelled documents.
 
     A word is negative when its document rate among negative documents is more
@@ -44,10 +44,13 @@ def sentiment_label(pos: Column, neg: Column, words: Column) -> Column:
 
 def word_polarity_counts(texts: DataFrame, keys: list[str], text: str, lexicon: DataFrame) -> DataFrame:
     """Words, positive and negative hits per key; a word counts once per text row."""
-    rows = texts.select(*keys, F.explode_outer(token_set(F.col(text))).alias("token"))
-    return (rows.join(lexicon, "token", "left").groupBy(*keys).agg(
-        F.count("token").alias("words"), F.count_if(F.col("polarity") == 1).alias("pos"),
-        F.count_if(F.col("polarity") == -1).alias("neg")))
+    rows = once(texts.select(*keys, text), "_w", token_set(F.col(text)))
+    words = rows.groupBy(*keys).agg(F.coalesce(F.sum(F.greatest(F.size("_w"), F.lit(0))), F.lit(0)).alias("words"))
+    hits = (rows.select(*keys, F.explode("_w").alias("token")).join(lexicon, "token").groupBy(*keys).agg(
+        F.count_if(F.col("polarity") == 1).alias("pos"), F.count_if(F.col("polarity") == -1).alias("neg")))
+    zero = F.lit(0).cast("long")
+    return words.join(hits, keys, "left").select(
+        *keys, "words", F.coalesce("pos", zero).alias("pos"), F.coalesce("neg", zero).alias("neg"))
 
 
 def overall_sentiment(texts: DataFrame, keys: list[str], text: str, lexicon: DataFrame) -> DataFrame:
@@ -83,37 +86,47 @@ def labels_above(scores: dict[str, Column], threshold: int) -> Column:
     return F.transform(F.filter(pairs, lambda p: p["score"] >= threshold), lambda p: p["label"])
 
 
-def group_themes(texts: DataFrame, group: str, text: str, k: int, min_chars: int = 4) -> DataFrame:
-    """Top ``k`` words per group by tf · ln(N / df); one row per (group, word)."""
-    long_enough = F.char_length("token") >= min_chars
-    per_group = (texts.select(group, F.explode(tokens(F.col(text))).alias("token")).filter(long_enough)
-                 .groupBy(group, "token").agg(F.count("*").alias("tf")))
-    spread = (texts.select(F.explode(token_set(F.col(text))).alias("token")).filter(long_enough)
-              .groupBy("token").agg(F.count("*").alias("df")))
+def theme_weights(texts: DataFrame, group: str | None, text: str, min_chars: int = 1) -> DataFrame:
+    """tf · ln(N / df) of every word, per group or for the whole corpus (None).
+
+    The text is split and exploded once: each word of a row gives one count of its
+    use, each distinct word one of the row, summed together before the shuffle.
+    """
+    keys = [group] if group else []
+    rows = once(texts.select(*keys, text), "_w", tokens(F.col(text)))
+
+    def counted(words: Column, tf: int, df: int) -> Column:
+        return F.transform(words, lambda w: F.struct(w.alias("token"), F.lit(tf).alias("tf"), F.lit(df).alias("df")))
+
+    both = F.concat(counted(F.col("_w"), 1, 0), counted(F.array_distinct("_w"), 0, 1))
+    per = (rows.select(*keys, F.inline(both)).filter(F.char_length("token") >= min_chars)
+           .groupBy(*keys, "token").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df")))
     size = texts.agg(F.count("*")).scalar()
-    scored = per_group.join(spread, "token").withColumn("_n", size).select(
-        group, "token", "tf", "df", F.round(F.col("tf") * F.log(F.col("_n") / F.col("df")), 4).alias("weight"))
-    return top_per_group(scored, [group], [F.desc("weight"), F.col("token")], k)
+    if group:
+        whole = per.groupBy("token").agg(F.sum("df").alias("_df"))
+        per = per.join(whole, "token").drop("df").withColumnRenamed("_df", "df")
+    return per.withColumn("_n", size).select(
+        *keys, "token", "tf", "df", F.round(F.col("tf") * F.log(F.col("_n") / F.col("df")), 4).alias("weight"))
 
 
-def extractive_summary(texts: DataFrame, key: str, text: str, sentences: int, keywords: int = 100,
-                       min_words: int = 5) -> DataFrame:
-    """The sentences that carry most keyword weight per word.
+def group_themes(texts: DataFrame, group: str, text: str, k: int, min_chars: int = 1) -> DataFrame:
+    """Top ``k`` words per group by weight; one row per (group, word)."""
+    return top_per_group(theme_weights(texts, group, text, min_chars), [group], [F.desc("weight"), F.col("token")], k)
 
-    Keywords are the corpus words with the largest tf · idf: a list of fixed
-    length, the only thing sent to every task.
-    """
-    whole = texts.select(F.lit("all").alias("corpus"), text)
-    top = group_themes(whole, "corpus", text, keywords).select("token", F.col("weight").alias("_w"))
+
+def extractive_summary(texts: DataFrame, key: str, text: str, sentences: int, min_words: int = 1) -> DataFrame:
+    """The sentences that carry most weight per word, over all words of the corpus."""
+    weights = theme_weights(texts, None, text).select("token", F.col("weight").alias("_w"))
     parts = texts.select(key, F.posexplode(F.split(F.col(text), r"[.\n]+")).alias("sentence_no", "sentence"))
     rows = once(parts, "_words", tokens(F.col("sentence"))).filter(F.size("_words") >= min_words)
-    scored = (rows.select(key, "sentence_no", "sentence", F.size("_words").alias("_n"),
+    scored = (rows.select(key, "sentence_no", F.size("_words").alias("_n"),
                           F.explode(F.array_distinct("_words")).alias("token"))
-              .join(F.broadcast(top), "token")
-              .groupBy(key, "sentence_no").agg(
-                  F.min("sentence").alias("sentence"),
-                  F.round(F.sum("_w") / F.min("_n"), 2).alias("weight")))
-    return scored.orderBy(F.desc("weight"), key, "sentence_no").limit(sentences)
+              .join(weights, "token")
+              .groupBy(key, "sentence_no").agg(F.round(F.sum("_w") / F.min("_n"), 2).alias("weight")))
+    best = scored.orderBy(F.desc("weight"), key, "sentence_no").limit(sentences)
+    # The few sentences that stay fetch their text at the end.
+    return (parts.join(best, [key, "sentence_no"]).select(key, "sentence_no", "sentence", "weight")
+            .orderBy(F.desc("weight"), key, "sentence_no"))
 
 
 def gate_volume(texts: DataFrame, sample: DataFrame, flagged: Column) -> DataFrame:
@@ -147,11 +160,14 @@ def write_back(rows: DataFrame, scored: DataFrame, key: str, column: str) -> Dat
     return rows.join(new, key, "left").withColumn(column, F.coalesce("_new", column)).drop("_new")
 
 
-def pareto_frontier(candidates: DataFrame, cost: str, quality: str) -> DataFrame:
+def pareto_frontier(candidates: DataFrame, cost: str, quality: str, most: int = 100_000) -> DataFrame:
     """Candidates not beaten by a cheaper or equally cheap one.
 
-    A candidate list has one row per model, so its single sorted window is small.
+    One sorted window holds the list, one row per model; a list of more than
+    ``most`` rows is an error.
     """
+    if candidates.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} candidates")
     before = W.orderBy(cost, F.desc(quality)).rowsBetween(W.unboundedPreceding, -1)
     best = F.max(quality).over(before)
     return candidates.withColumn("on_frontier", best.isNull() | (F.col(quality) > best))

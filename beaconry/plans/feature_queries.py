@@ -11,7 +11,7 @@ from beaconry.operators.asof import asof_join, latest_features
 from beaconry.plans import models as md
 from beaconry.plans.metric_queries import LABEL_SQL
 from beaconry.plans.registry import query
-from beaconry.session import Tables, latest, rounded
+from beaconry.session import Tables, rounded
 
 CALENDAR_SQL = """
 top AS (SELECT max(o_orderdate) AS m FROM orders),
@@ -36,7 +36,7 @@ eng AS (SELECT g.o_custkey AS c_custkey, as_of_ts, count(l_orderkey) AS engageme
 
 
 def calendar(t: Tables):
-    return month_starts(latest(t.orders, "o_orderdate"), 18)
+    return month_starts(t.latest("orders", "o_orderdate"), 18)
 
 
 def rfm(t: Tables, cal) -> DataFrame:
@@ -143,7 +143,7 @@ WITH {RFM_SQL} SELECT as_of_ts, count(*) AS donors, round(avg(frequency_last_12m
 FROM rfm WHERE as_of_ts IN ((SELECT min(as_of_ts) FROM cal), (SELECT max(as_of_ts) FROM cal)) GROUP BY 1""")
 def point_in_time_proof(t):
     cal = calendar(t)
-    return rfm(t, cal).filter(F.col("as_of_ts").isin(ntz(cal[0]), ntz(cal[-1]))).groupBy("as_of_ts").agg(
+    return rfm(t, [cal[0], cal[-1]]).groupBy("as_of_ts").agg(
         F.count("*").alias("donors"), F.round(F.avg("frequency_last_12m"), 2).alias("avg_gifts_12m"),
         F.round(F.avg("recency_days"), 2).alias("avg_recency_days"),
         F.round(F.avg("monetary_total"), 1).alias("avg_lifetime_giving"))
@@ -161,13 +161,16 @@ FROM spine s ASOF LEFT JOIN rfm r ON r.c_custkey = s.c_custkey AND s.as_of_ts >=
 ASOF LEFT JOIN eng e ON e.c_custkey = s.c_custkey AND s.as_of_ts >= e.as_of_ts
 LEFT JOIN customer c ON c.c_custkey = s.c_custkey""")
 def training_set(t):
-    cal = calendar(t)
-    spine = md.lapse_labels(t)
-    key, ts = ["c_custkey"], "as_of_ts"
-    out = asof_join(spine, rfm(t, cal), key, ts, ts, [
-        "tenure_days", "frequency_lifetime", "frequency_last_12m", "monetary_total", "recency_days"])
-    out = asof_join(out, engagement(t, cal), key, ts, ts, ["engagement_count", "engagement_last_6m"])
-    out = out.join(static_view(t), "c_custkey", "left").drop("as_of_ts")
+    """The views lie on a calendar, so the newest snapshot at or before a spine time is
+    known without looking: plain equality on (entity, snapshot)."""
+    cal = [c for c in calendar(t) if c <= md.churn_as_of(t)][-1:]
+    at = F.array_max(F.filter(F.array(*[ntz(c) for c in cal]), lambda c: c <= F.col("as_of_ts")))
+    spine = md.lapse_labels(t).withColumn("as_of_ts", at)
+    seen = rfm(t, cal).select("c_custkey", "as_of_ts", "tenure_days", "frequency_lifetime", "frequency_last_12m",
+                              "monetary_total", "recency_days")
+    out = (spine.join(seen, ["c_custkey", "as_of_ts"], "left")
+           .join(engagement(t, cal), ["c_custkey", "as_of_ts"], "left")
+           .join(static_view(t), "c_custkey", "left").drop("as_of_ts"))
     return rounded(out, {"monetary_total": 2})
 
 
@@ -190,7 +193,7 @@ WITH {RFM_SQL} SELECT c_custkey, as_of_ts, frequency_lifetime, recency_days FROM
 WHERE as_of_ts = (SELECT max(as_of_ts) FROM cal)""")
 def latest_for_serving(t):
     cal = calendar(t)
-    return latest_features(rfm(t, cal), ["c_custkey"], "as_of_ts", cal[-1],
+    return latest_features(rfm(t, cal[-1:]), ["c_custkey"], "as_of_ts", cal[-1],
                            ["as_of_ts", "frequency_lifetime", "recency_days"])
 
 
@@ -199,5 +202,5 @@ WITH {RFM_SQL} SELECT c_custkey, frequency_lifetime, recency_days FROM rfm
 WHERE as_of_ts = (SELECT max(as_of_ts) FROM cal) AND c_custkey = 42""")
 def latest_one_entity(t):
     cal = calendar(t)
-    return latest_features(rfm(t, cal).filter("c_custkey = 42"), ["c_custkey"], "as_of_ts", cal[-1],
+    return latest_features(rfm(t, cal[-1:]).filter("c_custkey = 42"), ["c_custkey"], "as_of_ts", cal[-1],
                            ["frequency_lifetime", "recency_days"])

@@ -111,14 +111,14 @@ def model_refresh_job(t):
 @query("text_embedding_hashed", "N10")
 def text_embedding_hashed(t):
     rows = t.documents.select("doc_id", tokens(F.col("text")).alias("words"))
-    return ml.hashed_embedding(rows, "words", "embedding").select("doc_id", "embedding")
+    return ml.hashed_embedding(rows, "words", "embedding", 256).select("doc_id", "embedding")
 
 
 @query("text_enriched_rows", "N30 N5 N10")
 def text_enriched_rows(t):
     """Extracted fields and vector per document, ready to be indexed."""
     rows = t.documents.select("doc_id", "lang", "text", extract_fields(F.col("text")).alias("f"), tokens(F.col("text")).alias("words"))
-    return ml.hashed_embedding(rows, "words", "body_vec").select("doc_id", "lang", "f.*", "text", "body_vec")
+    return ml.hashed_embedding(rows, "words", "body_vec", 256).select("doc_id", "lang", "f.*", "text", "body_vec")
 
 
 @query("text_toxic_trained", "N3 N23")

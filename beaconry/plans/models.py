@@ -10,7 +10,7 @@ from beaconry.functions.sampling import stable_bucket
 from beaconry.operators import features as ft
 from beaconry.operators.metrics import (Dimension, Fact, Metric, Model, Ratio, Relationship,
                                         Table, query)
-from beaconry.session import Tables, latest, values
+from beaconry.session import Tables, values
 
 # Campaign id, type, theme and owning brand (nation) of the five
 # campaigns that stand in for order priorities and event types.
@@ -46,7 +46,7 @@ def customers_started(t: Tables) -> DataFrame:
 
 
 def churn_as_of(t: Tables):
-    return add_months(latest(t.orders, "o_orderdate"), -12)
+    return add_months(t.latest("orders", "o_orderdate"), -12)
 
 
 def lapse_labels(t: Tables, customers: DataFrame | None = None) -> DataFrame:

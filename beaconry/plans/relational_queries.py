@@ -78,7 +78,7 @@ WITH {RECUR_SQL} SELECT o_custkey, due::DATE AS due FROM r""")
 def recurrence_expansion(t):
     """One row per cadence step from the first order to the bound."""
     started = t.orders.groupBy("o_custkey").agg(F.to_date(F.min("o_orderdate")).alias("started"))
-    until = F.to_date(ntz(latest(t.orders, "o_orderdate")))
+    until = F.to_date(ntz(t.latest("orders", "o_orderdate")))
     step = F.make_interval(months=F.pmod("o_custkey", F.lit(6)).cast("int") + 1)
     return started.select("o_custkey", F.explode(F.sequence("started", until, step)).alias("due"))
 
@@ -479,7 +479,7 @@ def scalar_numbers(t):
 SELECT event_type, count(*) AS n FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 7 DAY GROUP BY 1""")
 def as_of_window(t):
     """'Now' is the newest time in the data, never the wall clock."""
-    since = latest(t.events, "ts") - timedelta(days=7)
+    since = t.latest("events", "ts") - timedelta(days=7)
     return t.events.filter(F.col("ts") >= ntz(since)).groupBy("event_type").agg(F.count("*").alias("n"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beaconry.functions.dates import add_months, bucket, ntz, sunday_zero_weekday
@@ -14,7 +14,7 @@ from beaconry.operators.series import detect_anomalies, forecast
 from beaconry.plans import models as md
 from beaconry.plans.feature_queries import BASE_SQL, training
 from beaconry.plans.registry import query
-from beaconry.session import Tables, latest, rounded
+from beaconry.session import Tables, rounded
 
 Z99, Z95 = 2.5758293035489004, 1.959963984540054
 
@@ -60,9 +60,9 @@ WITH w AS (SELECT date_trunc('week', o_orderdate)::DATE AS ts, sum(o_totalprice)
 SELECT ts, round(y, 2) AS y, round(m, 2) AS forecast, round(m - {Z99} * sd, 0) AS lower_bound, round(m + {Z99} * sd, 0) AS upper_bound,
  round((y - m) / sd, 4) AS distance, (y < m - {Z99} * sd OR y > m + {Z99} * sd) AS is_anomaly FROM w, f, c WHERE ts >= cut""")
 def anomaly_weekly_volume(t):
-    cut = add_months(latest(t.orders, "o_orderdate"), -6)
+    cut = add_months(t.latest("orders", "o_orderdate"), -6)
     weeks = weekly_volume(t).withColumn("series", F.lit("all"))
-    out = detect_anomalies(weeks, ["series"], "week_ts", "total_amount", cut).drop("series")
+    out = detect_anomalies(weeks, ["series"], "week_ts", "total_amount", cut).drop("series", "basis")
     return rounded(out, {"y": 2, "forecast": 2, "lower_bound": 0, "upper_bound": 0, "distance": 4})
 
 
@@ -71,9 +71,13 @@ day AS (SELECT user_id, ts::DATE AS d, avg(CASE WHEN event_type = 'error' THEN 1
 c AS (SELECT max(ts)::DATE - 14 AS cut FROM events),
 f AS (SELECT user_id, dayofweek(d) AS dow, avg(r) AS m, var_samp(r) AS v, count(*) AS n FROM day, c WHERE d < cut GROUP BY ALL),
 p AS (SELECT user_id, CASE WHEN sum(n - 1) = 0 THEN NULL ELSE sqrt(sum(v * (n - 1)) / sum(n - 1)) END AS sd FROM f GROUP BY 1),
-found AS (SELECT day.user_id, d AS ts, r AS y, m AS forecast, m - {Z99} * coalesce(sd, 0) AS lower_bound,
-  m + {Z99} * coalesce(sd, 0) AS upper_bound, CASE WHEN coalesce(sd, 0) = 0 THEN 0 ELSE (r - m) / sd END AS distance
-  FROM day CROSS JOIN c JOIN f ON f.user_id = day.user_id AND f.dow = dayofweek(d) JOIN p ON p.user_id = day.user_id WHERE d >= cut)"""
+fm AS (SELECT user_id, sum(m * n) / sum(n) AS um FROM f GROUP BY 1),
+rec AS (SELECT day.user_id, d AS ts, r AS y, CASE WHEN m IS NOT NULL THEN 'season' WHEN um IS NOT NULL THEN 'series' ELSE 'none' END AS basis,
+  coalesce(m, um) AS forecast, sd FROM day CROSS JOIN c LEFT JOIN f ON f.user_id = day.user_id AND f.dow = dayofweek(d)
+  LEFT JOIN p ON p.user_id = day.user_id LEFT JOIN fm ON fm.user_id = day.user_id WHERE d >= cut),
+found AS (SELECT user_id, ts, y, basis, forecast, forecast - {Z99} * coalesce(sd, 0) AS lower_bound,
+  forecast + {Z99} * coalesce(sd, 0) AS upper_bound,
+  CASE WHEN forecast IS NULL THEN NULL WHEN coalesce(sd, 0) = 0 THEN 0 ELSE (y - forecast) / sd END AS distance FROM rec)"""
 
 
 def daily_error_share(t: Tables) -> DataFrame:
@@ -82,7 +86,7 @@ def daily_error_share(t: Tables) -> DataFrame:
 
 
 def error_findings(t: Tables) -> DataFrame:
-    end = latest(t.events, "ts").replace(hour=0, minute=0, second=0, microsecond=0)
+    end = t.latest("events", "ts").replace(hour=0, minute=0, second=0, microsecond=0)
     return detect_anomalies(daily_error_share(t), ["user_id"], "day", "rate", end - timedelta(days=14),
                             season=sunday_zero_weekday(F.col("day")), interval=0.99)
 
@@ -91,7 +95,7 @@ ROUND_FOUND = {"y": 6, "forecast": 6, "lower_bound": 6, "upper_bound": 6, "dista
 
 
 @query("anomaly_many_series", "M12 I9", f"""
-WITH {DAILY_SQL} SELECT user_id, ts, round(y, 6) AS y, round(forecast, 6) AS forecast, round(lower_bound, 6) AS lower_bound,
+WITH {DAILY_SQL} SELECT user_id, ts, round(y, 6) AS y, basis, round(forecast, 6) AS forecast, round(lower_bound, 6) AS lower_bound,
  round(upper_bound, 6) AS upper_bound, round(distance, 4) AS distance, (y < lower_bound OR y > upper_bound) AS is_anomaly FROM found""")
 def anomaly_many_series(t):
     return rounded(error_findings(t), ROUND_FOUND)
@@ -125,21 +129,20 @@ def anomaly_top_flagged(t):
 
 RETURNS_SQL = """
 cut AS (SELECT max(l_shipdate) - INTERVAL 250 DAY AS c FROM lineitem),
-ret AS (SELECT l_extendedprice::DECIMAL(12,2) AS m, l_shipdate >= c AS label, p_type, p_brand, n_name AS metro, r_name AS region
+ret AS (SELECT l_extendedprice::DECIMAL(12,2) AS m, l_shipdate >= c AS label, p_type, p_brand, n_name AS metro, r_name AS region, l_suppkey AS store
   FROM lineitem CROSS JOIN cut JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey
   JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey WHERE l_returnflag = 'R'),
 tot AS (SELECT sum(m) FILTER (WHERE NOT label)::DOUBLE AS tc, sum(m) FILTER (WHERE label)::DOUBLE AS tt FROM ret),
-seg AS (SELECT concat_ws(' & ', 'region=' || region, 'metro=' || metro, 'p_type=' || p_type, 'p_brand=' || p_brand) AS segment,
+seg AS (SELECT concat_ws(' & ', 'region=' || region, 'metro=' || metro, 'store=' || store, 'p_type=' || p_type, 'p_brand=' || p_brand) AS segment,
    coalesce(sum(m) FILTER (WHERE NOT label), 0)::DOUBLE AS mc, coalesce(sum(m) FILTER (WHERE label), 0)::DOUBLE AS mt FROM ret
-   GROUP BY GROUPING SETS ((region), (metro), (p_type), (p_brand), (region, metro), (region, p_type), (region, p_brand),
-     (metro, p_type), (metro, p_brand), (p_type, p_brand))),
+   GROUP BY CUBE (region, metro, store, p_type, p_brand) HAVING grouping_id(region, metro, store, p_type, p_brand) < 31),
 drv AS (SELECT segment, mc, mt, mt - mc AS contribution, (mt - mc) / (tt - tc) AS rel, (mt - mc) / nullif(mc, 0) AS gr,
    mt - mc * (tt / tc) AS surprise FROM seg, tot)"""
 
 
 def return_rows(t: Tables) -> DataFrame:
     """Returned lines: refund, dimensions and the test-window label."""
-    cut = latest(t.lineitem, "l_shipdate") - timedelta(days=250)
+    cut = t.latest("lineitem", "l_shipdate") - timedelta(days=250)
     stores = t.supplier.join(md.geography(t), F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.col("s_suppkey").alias("l_suppkey"), F.col("n_name").alias("metro"), F.col("r_name").alias("region"))
     parts = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_brand")
@@ -148,10 +151,10 @@ def return_rows(t: Tables) -> DataFrame:
                     (F.col("l_shipdate") >= ntz(cut)).alias("label"))
             # One row per (store, part, label) before the dimension joins.
             .groupBy("l_suppkey", "l_partkey", "label").agg(F.sum("metric").alias("metric"))
-            .join(stores, "l_suppkey").join(parts, "l_partkey"))
+            .join(stores, "l_suppkey").join(parts, "l_partkey").withColumnRenamed("l_suppkey", "store"))
 
 
-DRIVER_DIMS = ["region", "metro", "p_type", "p_brand"]
+DRIVER_DIMS = ["region", "metro", "store", "p_type", "p_brand"]
 
 
 def return_drivers(t: Tables) -> DataFrame:
@@ -214,7 +217,7 @@ SELECT to_json({{'generated_at': (SELECT strftime(max(ts), '%Y-%m-%d') FROM even
       'expected_rate': round(forecast, 3)}} ORDER BY rn) FROM a WHERE rn <= 10),
   'top_drivers': (SELECT list({{'segment': segment, 'surprise': round(surprise, 0)::BIGINT}} ORDER BY rn) FROM b WHERE rn <= 15)}})::VARCHAR AS briefing_json""")
 def proactive_briefing(t):
-    when = latest(t.events, "ts").date().isoformat()
+    when = t.latest("events", "ts").date().isoformat()
     return briefing(flagged(t), ranked_drivers(return_drivers(t), 15), when)
 
 
@@ -332,14 +335,30 @@ def linear_attribution(df: DataFrame, key: str, weights: dict[str, float]) -> Da
 
 ACTION_SQL = ("CASE WHEN recency_days > 400 THEN 'personal call' WHEN frequency_last_12m = 0 THEN 'win-back appeal' "
               "WHEN engagement_last_6m = 0 THEN 'event invitation' ELSE 'thank-you note' END")
-DRIVER_TEXT = ("concat('recency ', recency_days, 'd; gifts_12m ', frequency_last_12m, '; engagement_6m ', "
-               "engagement_last_6m)")
+# The two features that move a customer's score most, with what they add to it.
+DRIVER_SQL = ("array_to_string(list_transform(list_reverse_sort(["
+              + ", ".join(f"{{'size': abs(round({n} * {w}, 2)), 'name': '{n}', 'adds': round({n} * {w}, 2)}}"
+                          for n, w in SCORE_WEIGHTS.items())
+              + "])[1:2], lambda d: d.name || format(' {:+.2f}', d.adds)), ', ')")
+
+
+def driver_text(weights: dict[str, float], n: int = 2) -> Column:
+    """The ``n`` largest contributions ``weight × value`` of a row, as text."""
+    def adds(name: str, weight: float) -> Column:
+        return F.round(F.col(name) * weight, 2)
+
+    parts = F.array(*[F.struct(F.abs(adds(f, w)).alias("size"), F.lit(f).alias("name"), adds(f, w).alias("adds"))
+                      for f, w in weights.items()])
+    top = F.slice(F.sort_array(parts, asc=False), 1, n)
+    return F.array_join(F.transform(top, lambda d: F.concat(d["name"], F.format_string(" %+.2f", d["adds"]))), ", ")
+
+
 
 
 def scored_customers(t: Tables) -> DataFrame:
     return scorecard(training(t)).withColumns({
         "churn_probability": F.round("pred_lapse", 4),
-        "risk_drivers": F.expr(DRIVER_TEXT), "recommended_action": F.expr(ACTION_SQL)})
+        "risk_drivers": driver_text(SCORE_WEIGHTS), "recommended_action": F.expr(ACTION_SQL)})
 
 
 def top_risk(scored: DataFrame, segment: str, n: int) -> DataFrame:
@@ -354,13 +373,13 @@ def top_risk(scored: DataFrame, segment: str, n: int) -> DataFrame:
 @query("top_risk_json", "M19 R1 F2 E5", f"""
 WITH {LOG_SQL}, r AS (SELECT * FROM log WHERE donor_segment = 'MACHINERY' ORDER BY pred_lapse DESC, c_custkey LIMIT 5)
 SELECT to_json(list({{'c_custkey': c_custkey, 'region': region, 'churn_probability': round(pred_lapse, 4),
- 'risk_drivers': {DRIVER_TEXT}, 'recommended_action': {ACTION_SQL}}} ORDER BY pred_lapse DESC, c_custkey))::VARCHAR AS top_risk FROM r""")
+ 'risk_drivers': {DRIVER_SQL}, 'recommended_action': {ACTION_SQL}}} ORDER BY pred_lapse DESC, c_custkey))::VARCHAR AS top_risk FROM r""")
 def top_risk_json(t):
     return top_risk(scored_customers(t), "MACHINERY", 5)
 
 
 @query("one_customer_risk", "M20 R2", f"""
-WITH {LOG_SQL} SELECT c_custkey, round(pred_lapse, 4) AS churn_probability, {DRIVER_TEXT} AS risk_drivers FROM log WHERE c_custkey = 42""")
+WITH {LOG_SQL} SELECT c_custkey, round(pred_lapse, 4) AS churn_probability, {DRIVER_SQL} AS risk_drivers FROM log WHERE c_custkey = 42""")
 def one_customer_risk(t):
     return scored_customers(t).filter("c_custkey = 42").select(
         "c_custkey", F.round("pred_lapse", 4).alias("churn_probability"), "risk_drivers")

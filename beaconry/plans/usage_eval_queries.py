@@ -13,7 +13,7 @@ from beaconry.operators import usage as us
 from beaconry.plans import models as md
 from beaconry.plans.registry import query
 from beaconry.plans.relational_queries import md5_bucket, optional_filter
-from beaconry.session import Tables, latest, rounded, values
+from beaconry.session import Tables, rounded, values
 
 # Illustrative credits per million tokens and price per credit.
 RATES = [("llama-small", 0.19), ("llama-medium", 1.21), ("frontier", 2.55)]
@@ -48,7 +48,7 @@ def users(t: Tables) -> DataFrame:
 WITH {USAGE_SQL} SELECT start_time::DATE AS usage_date, function_name, model_name, round(sum(credits), 2) AS total_credits,
  count(DISTINCT query_id) AS query_count FROM h WHERE start_time >= (SELECT max(start_time) FROM h) - INTERVAL 30 DAY GROUP BY ALL""")
 def usage_daily_credits(t):
-    return rounded(us.daily_credits(usage(t), latest(t.events, "ts")), {"total_credits": 2})
+    return rounded(us.daily_credits(usage(t), t.latest("events", "ts")), {"total_credits": 2})
 
 
 @query("usage_monthly_consumers", "O2 D1", f"""
@@ -56,7 +56,7 @@ WITH {USAGE_SQL} SELECT user_id, c_name AS user_name, date_trunc('month', start_
  round(sum(credits), 2) AS total_credits, count(DISTINCT query_id) AS query_count FROM h JOIN customer ON c_custkey = user_id
 WHERE start_time >= (SELECT max(start_time) FROM h) - INTERVAL 3 MONTH GROUP BY ALL""")
 def usage_monthly_consumers(t):
-    return rounded(us.monthly_consumers(usage(t), users(t), latest(t.events, "ts")), {"total_credits": 2})
+    return rounded(us.monthly_consumers(usage(t), users(t), t.latest("events", "ts")), {"total_credits": 2})
 
 
 @query("usage_still_running", "O3 E4 E7 E8 D2", f"""
@@ -65,7 +65,7 @@ WITH {USAGE_SQL}, q AS (SELECT query_id, min(user_id) AS user_id, string_agg(DIS
   GROUP BY 1 HAVING NOT bool_or(is_completed))
 SELECT user_id, query_id, functions, round(c, 2) AS credits_so_far, started_at, c_name AS user_name FROM q LEFT JOIN customer ON c_custkey = user_id""")
 def usage_still_running(t):
-    return rounded(us.still_running(usage(t), users(t), latest(t.events, "ts")), {"credits_so_far": 2})
+    return rounded(us.still_running(usage(t), users(t), t.latest("events", "ts")), {"credits_so_far": 2})
 
 
 @query("token_counts", "N27", """
@@ -111,7 +111,7 @@ def cost_reconciled(t):
 SELECT round(coalesce(sum(value), 0), 2) AS spend, coalesce(sum(value), 0) > 500 AS alert FROM events
 WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-02-01'""")
 def budget_monthly_alert(t):
-    month = latest(t.events, "ts").replace(day=1, hour=0, minute=0, second=0, microsecond=0)
+    month = t.latest("events", "ts").replace(day=1, hour=0, minute=0, second=0, microsecond=0)
     return rounded(us.monthly_budget_alert(usage(t), month, 500), {"spend": 2})
 
 

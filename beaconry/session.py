@@ -40,25 +40,18 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._latest: dict[tuple[str, str], datetime] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def texts(self) -> DataFrame:
-        """Documents, spread over the cores for work on their texts."""
-        return spread(self.documents, "doc_id")
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Share CPU-bound rows among the cores when the input has too few splits.
-
-    A table of many files has more splits than cores and passes unchanged; a
-    single small file would otherwise keep one core busy and the others idle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() * 2 > cores else df.repartition(cores, key)
+    def latest(self, table: str, column: str) -> datetime:
+        """Newest timestamp of a table's column: the default ``as_of``, read once."""
+        if (table, column) not in self._latest:
+            self._latest[table, column] = latest(getattr(self, table), column)
+        return self._latest[table, column]
 
 
 def shared_root(spark: SparkSession) -> str:

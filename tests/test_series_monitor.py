@@ -33,10 +33,13 @@ def test_anomalies(spark):
     data += [("flat", day + timedelta(days=i), 5.0) for i in range(40)]
     data[38] = ("a", day + timedelta(days=38), 50.0)
     data[-1] = ("flat", day + timedelta(days=39), 6.0)
-    data.append(("new", day + timedelta(days=39), 1.0))  # no training data: not scored
+    data.append(("new", day + timedelta(days=39), 1.0))  # no training data: kept, not judged
     df = spark.createDataFrame(data, "k string, ts timestamp_ntz, y0 double")
     out = detect_anomalies(df, ["k"], "ts", "y0", day + timedelta(days=30)).collect()
-    assert len(out) == 20
+    assert len(out) == 21
+    new = next(r for r in out if r["k"] == "new")
+    assert (new["basis"], new["forecast"], new["is_anomaly"]) == ("none", None, None)
+    assert all(r["basis"] == "season" for r in out if r["k"] != "new")
     assert {(r["k"], r["ts"].day) for r in out if r["is_anomaly"]} == {("a", 8), ("flat", 9)}
     assert all(r["distance"] == 0.0 for r in out if r["k"] == "flat")
 
@@ -59,6 +62,23 @@ def test_drivers_equal_brute_force(spark):
     assert sorted(r["rank"] for r in top) == [1, 2, 3]
 
 
+def test_driver_values_may_be_null(spark):
+    data = [("a", None, True, 3), ("a", "x", False, 2), (None, "x", True, 5), (None, None, False, 1)]
+    df = spark.createDataFrame(data, "d1 string, d2 string, label boolean, m int")
+    got = {r["segment"]: (r["metric_control"], r["metric_test"]) for r in key_drivers(df, "m", "label", ["d1", "d2"]).collect()}
+    assert got == {"d1=a": (2, 3), "d1=NULL": (1, 5), "d2=x": (2, 5), "d2=NULL": (1, 3), "d1=a & d2=NULL": (0, 3),
+                   "d1=a & d2=x": (2, 0), "d1=NULL & d2=x": (0, 5), "d1=NULL & d2=NULL": (1, 0)}
+    assert key_drivers(df, "m", "label", ["d1", "d2"], max_depth=1).count() == 4
+
+
+def test_anomaly_season_without_training_uses_the_series(spark):
+    day = datetime(2024, 1, 1)
+    df = spark.createDataFrame([("a", day + timedelta(days=i), float(i % 2), i % 2 if i < 30 else 2) for i in range(31)],
+                               "k string, ts timestamp_ntz, y0 double, s int")
+    r = detect_anomalies(df, ["k"], "ts", "y0", day + timedelta(days=30), season=F.col("s")).first()
+    assert (r["basis"], r["forecast"]) == ("series", 0.5)
+
+
 def test_auc_with_ties(spark):
     rnd = random.Random(2)
     data = [(rnd.randint(0, 1), rnd.randint(0, 20) / 20) for _ in range(300)]

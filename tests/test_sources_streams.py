@@ -183,12 +183,3 @@ def test_days_do_not_depend_on_the_session_zone(spark, tmp_path):
         assert [(str(r["day"]), r["spend"]) for r in got.collect()] == [("2024-01-01", 12.0)]
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-
-
-def test_spread_only_when_cores_idle(spark, tmp_path):
-    from beaconry.session import spread
-    path = str(tmp_path / "t")
-    spark.range(100).coalesce(1).write.parquet(path)
-    assert spread(spark.read.parquet(path), "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 100, 1, 64)
-    assert spread(many, "id") is many

@@ -143,10 +143,19 @@ def test_vector_and_hybrid(spark):
     q = se.vector_of(v, "id", "v", 1)
     got = [(r["id"], r["vector_score"]) for r in se.vector_search(v, "id", "v", q, 3).collect()]
     assert got == [(1, 1.0), (3, 0.707107), (2, 0.0)]
-    docs = spark.createDataFrame(DOCS, "id int, t string, g string").join(v, "id")
-    top = se.hybrid_search(docs, "id", "t", "v", "blue fox", q, 4, ["g", "t"]).collect()
-    assert len(top) == 4 and top[0]["score"] >= top[-1]["score"]
-    ranks = {r["id"]: r["keyword_rank"] for r in top}
-    assert ranks[2] == 1 and ranks[3] is None
+    docs = spark.createDataFrame(DOCS + [(9, "a fox without a vector", "c")], "id int, t string, g string")
+    top = se.hybrid_search(docs, v, "id", "t", "v", "blue fox", q, 9, ["g", "t"]).collect()
+    assert len(top) == 5 and top[0]["score"] >= top[-1]["score"]
+    ranks = {r["id"]: (r["keyword_rank"], r["vector_rank"]) for r in top}
+    assert ranks[2][0] == 1 and ranks[3][0] is None and ranks[9][1] is None and ranks[9][0] is not None
+    only = se.hybrid_search(docs, v, "id", "t", "v", "blue fox", q, 9, ["g"], {"g": "a"}).collect()
+    assert {r["id"] for r in only} == {1, 3} and {r["keyword_rank"] for r in only} == {1, None}
     text = se.cited_context(spark.createDataFrame(top).limit(2).withColumn("_o", -F.col("score")), "g", "id", "t", ["_o", "id"]).first()[0]
     assert text.count("\n---\n") == 1
+
+
+def test_long_turns_stay_in_order(spark):
+    lines = [(1, -1, 0, "CALL_ID: CS-1")] + [(1, t, p, f"{t}.{p}") for t in range(2) for p in range(1500)]
+    df = spark.createDataFrame(lines, "id int, turn long, pos int, line string").repartition(4)
+    text = ck.reassemble(df, "id", ["turn", "pos"], "line", "t").first()["t"]
+    assert text == "\n".join(x[3] for x in lines)
