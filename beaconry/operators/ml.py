@@ -61,16 +61,20 @@ def evaluate(model: Model, valid: DataFrame, label: str) -> dict[str, float]:
 
 
 def candidate_runs(train: DataFrame, valid: DataFrame, label: str,
-                   candidates: list[dict[str, float]]) -> DataFrame:
-    """One fitted run per parameter set with its metrics; ``is_best`` marks the top AUC."""
-    rows = []
+                   candidates: list[dict[str, float]]) -> tuple[PipelineModel, dict[str, float], DataFrame]:
+    """The fitted model of the best run, its metrics, and one row per run.
+
+    Runs differ in their parameters only; ``is_best`` marks the top validation AUC.
+    """
+    rows, fitted = [], {}
     for i, params in enumerate(candidates, 1):
         model = boosted_stages(label, **params).fit(train)
         got = evaluate(model, valid, label)
+        fitted[f"candidate_{i}"] = model, got
         rows.append((f"candidate_{i}", int(params["n_trees"]), int(params["max_depth"]),
                      float(params["learning_rate"]), got["val_auc"], got["val_f1"]))
     best = max(rows, key=lambda r: (r[4], r[0]))[0]
-    return values(train.sparkSession, [(*r, r[0] == best) for r in rows],
+    return *fitted[best], values(train.sparkSession, [(*r, r[0] == best) for r in rows],
                   "run_name, n_trees, max_depth, learning_rate, val_auc, val_f1, is_best")
 
 

@@ -30,21 +30,24 @@ def slice_count(df: DataFrame, slices: int | None) -> int:
 def range_slices(df: DataFrame, order: list[Column], slices: int | None = None) -> DataFrame:
     """Sorted slices in ``_slice`` (ascending) with the row's place in ``_pos``.
 
-    Rows that tie on the order follow by a hash of their whole content, so a task
-    that runs again cuts its rows the same way; rows alike in every column are
-    interchangeable.
+    Rows that tie on the order follow by a hash of their whole content, and rows
+    alike in every column by their place in the task's sorted rows. A task that
+    runs again thus cuts its rows the same way, and alike rows still spread.
     """
     shared_root(df.sparkSession)
-    tied = df.withColumn("_tie", F.xxhash64(*df.columns))
-    total = [*order, F.col("_tie")]
+    slices = slice_count(df, slices)
+    hashed = df.withColumn("_hash", F.xxhash64(*df.columns))
+    tied = (hashed.sortWithinPartitions(*order, "_hash")
+            .withColumn("_tie", F.monotonically_increasing_id()))
+    total = [*order, F.col("_hash"), F.col("_tie")]
     # The id is (partition << 33) + position within the partition.
     row_id = F.col("_row_id")
-    return (tied.repartitionByRange(slice_count(df, slices), *total)
+    return (tied.repartitionByRange(slices, *total)
             .sortWithinPartitions(*total)
             .withColumn("_row_id", F.monotonically_increasing_id())
             .withColumn("_slice", F.shiftright(row_id, 33))
             .withColumn("_pos", row_id.bitwiseAND(F.lit((1 << 33) - 1)))
-            .drop("_row_id", "_tie")
+            .drop("_row_id", "_hash", "_tie")
             .checkpoint())
 
 

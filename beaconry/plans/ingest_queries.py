@@ -11,6 +11,7 @@ from beaconry.functions.dates import ntz
 from beaconry.functions.text import HTML_PASSES, html_to_text
 from beaconry.operators.registry import FeatureView, register_views
 from beaconry.plans import models as md
+from beaconry.plans.feature_queries import CALENDAR_SQL, calendar, rfm
 from beaconry.plans.metric_queries import THUMBS_SQL
 from beaconry.plans.registry import query
 from beaconry.session import Tables, scratch_path, values
@@ -97,20 +98,16 @@ def landing_file_listing(t):
     return files.list_files(t.spark, path, "part-*").select("file_name", "size")
 
 
-@query("transcript_lines_by_file", "A3 A4", """
-SELECT conv_id // 10 AS file_no, count(*) AS lines, max(length(line)) AS longest, sum(length(line))::BIGINT AS chars FROM (
- SELECT conv_id, unnest(string_split(text, chr(10))) AS line FROM conversations) GROUP BY 1""")
-def transcript_lines_by_file(t):
-    """Dialogue files (ten calls each) written as text, read back as numbered lines."""
+@query("transcript_lines", "A3 A4", """
+WITH l AS (SELECT conv_id // 100 AS f, conv_id, turn, unnest(range(0, len(string_split(text, chr(10))))) AS i, unnest(string_split(text, chr(10))) AS line FROM conversations)
+SELECT 'file_no=' || f AS folder, row_number() OVER (PARTITION BY f ORDER BY conv_id, turn, i) AS row_num, line FROM l""")
+def transcript_lines(t):
+    """Dialogue files of a hundred calls each, written as text and read back line by line."""
     path = scratch_path(t.spark, "transcripts")
-    said = t.conversations.select(F.floor(F.col("conv_id") / 10).alias("file_no"), F.col("text").alias("value"))
-    (said.repartition("file_no").write.mode("overwrite").partitionBy("file_no").text(path))
-    whole = t.spark.read.option("pathGlobFilter", "*.txt").text(path, wholetext=True)
-    lines = whole.select(F.col("file_no").cast("long").alias("file_no"),
-                         F.posexplode(F.split(F.regexp_replace("value", r"\n\z", ""), "\n")).alias("pos", "line"))
-    size = F.char_length("line").cast("long")
-    return lines.groupBy("file_no").agg((F.max("pos") + 1).cast("long").alias("lines"), F.max(size).alias("longest"),
-                                        F.sum(size).alias("chars"))
+    said = t.conversations.select(F.floor(F.col("conv_id") / 100).alias("file_no"), "conv_id", "turn", F.col("text").alias("value"))
+    (said.repartition("file_no").sortWithinPartitions("file_no", "conv_id", "turn").select("file_no", "value")
+     .write.partitionBy("file_no").text(path))
+    return files.read_lines(t.spark, path, "*.txt").drop("file_name")
 
 
 @query("manifest_csv", "A5", """
@@ -125,6 +122,15 @@ def manifest_csv(t):
     return files.read_manifest(t.spark, path, "call_id bigint, brand string, call_date date", strict=True)
 
 
+@query("manifest_csv_tolerant", "A5", """
+SELECT s_suppkey AS call_id, s_name AS brand, NULL::DATE AS call_date FROM supplier""")
+def manifest_csv_tolerant(t):
+    """Lines that end after two of three values load with NULL for the rest."""
+    path = scratch_path(t.spark, "manifest")
+    files.write_manifest(t.supplier.select(F.col("s_suppkey").alias("call_id"), F.col("s_name").alias("brand")), path)
+    return files.read_manifest(t.spark, path, "call_id bigint, brand string, call_date date")
+
+
 def html_sql(column: str) -> str:
     def literal(value: str) -> str:
         escaped = value.replace("\\", "\\\\").replace("'", "''").replace("\n", "\\n")
@@ -167,9 +173,10 @@ def table_inline_values_join(t):
 @query("table_saved_scores", "A10 A15 A17", """
 SELECT o_custkey AS c_custkey, count(*) AS orders FROM orders GROUP BY 1""")
 def table_saved_scores(t):
-    """Stored once, read by later steps instead of computing again."""
+    """A catalog table, stored once and read by name instead of computing again."""
     scored = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("orders"))
-    return tables.replace_table(scored, scratch_path(t.spark, "scores"))
+    path = scratch_path(t.spark, "scores")
+    return tables.save_table(scored, f"saved_{path[-12:]}", path)
 
 
 @query("dataset_version", "L8", """
@@ -183,12 +190,11 @@ def dataset_version(t):
 
 
 @query("feature_view_registry", "L1", """
-SELECT 'rfm' AS view_name, 'v1' AS version, 'c_custkey' AS entity, 'as_of' AS timestamp_column, count(*) AS rows, count(DISTINCT o_custkey) AS entities FROM orders
+WITH """ + CALENDAR_SQL + """ SELECT 'rfm' AS view_name, 'v1' AS version, 'c_custkey' AS entity, 'as_of_ts' AS timestamp_column, count(*) AS rows, count(DISTINCT o_custkey) AS entities FROM grid
 UNION ALL SELECT 'static', 'v1', 'c_custkey', NULL, count(*), count(DISTINCT c_custkey) FROM customer""")
 def feature_view_registry(t):
     """Registered views, written under name and version, with their size."""
     views = [
-        FeatureView("rfm", "v1", "c_custkey", "as_of", "1 day",
-                    t.orders.select(F.col("o_custkey").alias("c_custkey"), F.col("o_orderdate").alias("as_of"), "o_totalprice")),
+        FeatureView("rfm", "v1", "c_custkey", "as_of_ts", "1 day", rfm(t, calendar(t))),
         FeatureView("static", "v1", "c_custkey", None, "1 day", t.customer.select("c_custkey", "c_acctbal"))]
     return register_views(views, scratch_path(t.spark, "views")).drop("refresh")

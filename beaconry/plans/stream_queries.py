@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import timedelta
 
 from pyspark.sql import DataFrame
@@ -19,23 +20,34 @@ from beaconry.sources import landing
 from beaconry.streaming import jobs
 
 
-def time_slices(t: Tables, df: DataFrame, ts: str, parts: int = 4) -> str:
-    """Inbox with one file per time slice, written oldest first."""
+def arrivals(t: Tables, df: DataFrame, ts: str, job: Callable[[str], DataFrame], parts: int = 4,
+             overlap: timedelta = timedelta(0)) -> DataFrame:
+    """Result of ``job`` on an inbox that fills slice by slice, oldest first.
+
+    The job runs again after each slice and goes on from its checkpoint. A slice
+    is written by as many tasks as it has; ``overlap`` sends the rows just
+    before a slice a second time.
+    """
     inbox = scratch_path(t.spark, "inbox")
     span = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
     step = (span["hi"] - span["lo"]) / parts
+    out = None
     for i in range(parts):
-        part = df.filter(F.col(ts) >= ntz(span["lo"] + step * i))
+        part = df.filter(F.col(ts) >= ntz(span["lo"] + step * i - (overlap if i else timedelta(0))))
         if i < parts - 1:
             part = part.filter(F.col(ts) < ntz(span["lo"] + step * (i + 1)))
-        part.coalesce(1).write.parquet(f"{inbox}/slice={i}")
-    return inbox
+        part.write.mode("append").parquet(inbox)
+        out = job(inbox)
+    return out
 
 
-def json_inbox(t: Tables) -> str:
-    inbox = scratch_path(t.spark, "inbox")
-    landing.write_json_lines(app_documents(t).repartition(4), inbox)
-    return inbox
+def json_arrivals(t: Tables, job: Callable[[str], DataFrame], parts: int = 3) -> DataFrame:
+    inbox, out = scratch_path(t.spark, "inbox"), None
+    for i in range(parts):
+        some = app_documents(t).filter(F.pmod(F.xxhash64("payload"), F.lit(parts)) == i)
+        landing.write_json_lines(some, inbox, "append")
+        out = job(inbox)
+    return out
 
 
 def places(t: Tables, name: str) -> tuple[str, str]:
@@ -46,22 +58,24 @@ def places(t: Tables, name: str) -> tuple[str, str]:
 @query("stream_landing_files", "A9 Q1", """
 SELECT 't' || conv_id AS thread_id, count(*) AS messages FROM conversations GROUP BY 1""")
 def stream_landing_files(t):
-    raw = jobs.land_files(t.spark, json_inbox(t), *places(t, "land"), ntz(START))
+    table, checkpoint = places(t, "land")
+    raw = json_arrivals(t, lambda inbox: jobs.land_files(t.spark, inbox, table, checkpoint, ntz(START)))
     return landing.curate_messages(raw).groupBy("thread_id").agg(F.count("*").alias("messages"))
 
 
 @query("stream_curated_messages", "Q2 J9", ORACLES["landing_messages"])
 def stream_curated_messages(t):
-    return jobs.curate_files(t.spark, json_inbox(t), *places(t, "curated"), landing.curate_messages)
+    table, checkpoint = places(t, "curated")
+    return json_arrivals(t, lambda inbox: jobs.curate_files(t.spark, inbox, table, checkpoint, landing.curate_messages))
 
 
 @query("stream_events_deduplicated", "Q8", """
-SELECT event_id, ts, user_id, event_type, value FROM events""")
+SELECT event_id, ts, user_id, event_type, value, props FROM events""")
 def stream_events_deduplicated(t):
-    """The inbox holds each event twice; the table holds it once."""
-    events = t.events.drop("props")
-    inbox = time_slices(t, events.unionByName(events), "ts")
-    return jobs.append_events(t.spark, inbox, events.schema, "event_id", "ts", *places(t, "events"))
+    """Each slice brings the last half hour of the one before again; the table holds every event once."""
+    table, checkpoint = places(t, "events")
+    return arrivals(t, t.events, "ts", lambda inbox: jobs.append_events(
+        t.spark, inbox, t.events.schema, "event_id", "ts", table, checkpoint), overlap=timedelta(minutes=30))
 
 
 @query("stream_spend_against_limits", "Q7 O7", """
@@ -69,16 +83,18 @@ WITH d AS (SELECT user_id, ts::DATE AS day, sum(value) AS s FROM events GROUP BY
 SELECT user_id, date_trunc('month', day)::DATE AS month, round(sum(s), 2) AS month_spend, round(max(s), 2) AS largest_day,
  sum(s) > 3600 AS over_month, max(s) > 400 AS over_day FROM d GROUP BY ALL""")
 def stream_spend_against_limits(t):
-    events = t.events.drop("props")
-    daily = jobs.daily_spend(t.spark, time_slices(t, events, "ts"), events.schema, "user_id", "ts", "value", *places(t, "spend"))
+    table, checkpoint = places(t, "spend")
+    daily = arrivals(t, t.events, "ts", lambda inbox: jobs.daily_spend(
+        t.spark, inbox, t.events.schema, "user_id", "ts", "value", table, checkpoint))
     return rounded(jobs.limit_status(daily, "user_id", 3600, 400), {"month_spend": 2, "largest_day": 2})
 
 
 @query("stream_daily_windows", "Q6 M15", """
 SELECT ts::DATE AS window_start, round(avg(value), 6) AS mean_value, count(*) AS n FROM events GROUP BY 1""")
 def stream_daily_windows(t):
-    events = t.events.drop("props")
-    out = jobs.window_means(t.spark, time_slices(t, events, "ts"), events.schema, "ts", "value", *places(t, "windows"))
+    table, checkpoint = places(t, "windows")
+    out = arrivals(t, t.events, "ts", lambda inbox: jobs.window_means(
+        t.spark, inbox, t.events.schema, "ts", "value", table, checkpoint))
     return rounded(out, {"mean_value": 6})
 
 
@@ -95,10 +111,9 @@ def stream_findings_refreshed(t):
         return detect_anomalies(days, ["user_id"], "day", "rate", end - timedelta(days=14),
                                 season=sunday_zero_weekday(F.col("day")), interval=0.99)
 
-    events = t.events.drop("props")
     table, checkpoint = places(t, "findings")
-    out = jobs.refresh_findings(t.spark, time_slices(t, events, "ts"), events.schema, rollup, findings,
-                                f"{table}/rollup", f"{table}/findings", checkpoint)
+    out = arrivals(t, t.events, "ts", lambda inbox: jobs.refresh_findings(
+        t.spark, inbox, t.events.schema, rollup, findings, f"{table}/rollup", f"{table}/findings", checkpoint))
     return rounded(out, ROUND_FOUND)
 
 
@@ -106,8 +121,9 @@ def stream_findings_refreshed(t):
 SELECT o_custkey, o_orderdate::DATE AS day, count(*) AS n, round(sum(o_totalprice), 2) AS amount FROM orders GROUP BY ALL""")
 def stream_daily_feature_facts(t):
     orders = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
-    inbox = time_slices(t, orders, "o_orderdate")
-    out = jobs.daily_feature_facts(t.spark, inbox, orders.schema, "o_custkey", "o_orderdate", "o_totalprice", *places(t, "facts"))
+    table, checkpoint = places(t, "facts")
+    out = arrivals(t, orders, "o_orderdate", lambda inbox: jobs.daily_feature_facts(
+        t.spark, inbox, orders.schema, "o_custkey", "o_orderdate", "o_totalprice", table, checkpoint))
     return rounded(out, {"amount": 2})
 
 
@@ -115,7 +131,8 @@ def stream_daily_feature_facts(t):
 def stream_search_index(t):
     docs = t.documents.select("doc_id", "text")
     inbox = scratch_path(t.spark, "inbox")
-    docs.repartition(4, "doc_id").write.parquet(inbox)
     table, checkpoint = places(t, "index")
-    index, size = jobs.refresh_index(t.spark, inbox, docs.schema, "doc_id", "text", f"{table}/postings", f"{table}/sizes", checkpoint)
+    for part in range(2):
+        docs.filter(F.col("doc_id") % 2 == part).write.mode("append").parquet(inbox)
+        index, size = jobs.refresh_index(t.spark, inbox, docs.schema, "doc_id", "text", f"{table}/postings", f"{table}/sizes", checkpoint)
     return search_index(index, size, "doc_id", QUERY, 20)

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_lines(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """One row per line: file_name, row_num (1-based), line.
+    """One row per line: folder, file_name, row_num (1-based), line.
 
     Spark has no file row number, so a file is read as one value and split in
     place. Meant for transcript-sized files, one document each.
     """
     files = spark.read.option("pathGlobFilter", pattern).text(path, wholetext=True)
-    lines = files.select(F.col("_metadata.file_name").alias("file_name"),
+    lines = files.select(F.element_at(F.split("_metadata.file_path", "/"), -2).alias("folder"),
+                         F.col("_metadata.file_name").alias("file_name"),
                          F.posexplode(F.split(F.regexp_replace("value", r"\n\z", ""), "\n")).alias("pos", "line"))
-    return lines.select("file_name", (F.col("pos") + 1).cast("long").alias("row_num"), "line")
+    return lines.select("folder", "file_name", (F.col("pos") + 1).cast("long").alias("row_num"), "line")
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
@@ -27,10 +29,25 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
 
 
 def read_manifest(spark: SparkSession, path: str, schema: str, strict: bool = False) -> DataFrame:
-    """Quoted CSV with a header. Short and long lines are accepted unless ``strict``,
-    which stops at the first malformed line."""
-    return (spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"')
-            .option("mode", "FAILFAST" if strict else "PERMISSIVE").csv(path))
+    """Quoted CSV with a header. A value that doesn't fit its type stops the load.
+
+    Lines with too few values are filled with NULL and surplus values are left
+    out, unless ``strict``, which stops at the first such line.
+    """
+    kinds = StructType.fromDDL(schema)
+    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
+    if strict:
+        return reader.schema(kinds).option("mode", "FAILFAST").csv(path)
+    text = StructType([StructField(f.name, StringType()) for f in kinds])
+    rows = reader.schema(text).option("mode", "PERMISSIVE").csv(path)
+
+    def typed(name: str, kind: str) -> Column:
+        value = F.col(f"`{name}`")
+        fits = value.isNull() | value.try_cast(kind).isNotNull()
+        wrong = F.raise_error(F.concat(F.lit(f"{name}: "), value, F.lit(f" is no {kind}")))
+        return F.when(fits, value.try_cast(kind)).otherwise(wrong.cast(kind)).alias(name)
+
+    return rows.select(*[typed(f.name, f.dataType.simpleString()) for f in kinds])
 
 
 def write_manifest(rows: DataFrame, path: str) -> None:

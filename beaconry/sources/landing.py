@@ -30,8 +30,8 @@ def thread_documents(messages: DataFrame, feedback: DataFrame) -> DataFrame:
     return whole.select(F.to_json(F.struct(*head, "messages", "feedback")).alias("payload"))
 
 
-def write_json_lines(documents: DataFrame, path: str) -> None:
-    documents.select("payload").write.mode("overwrite").text(path)
+def write_json_lines(documents: DataFrame, path: str, mode: str = "overwrite") -> None:
+    documents.select("payload").write.mode(mode).text(path)
 
 
 def with_landing_columns(lines: DataFrame, loaded_at: Column) -> DataFrame:

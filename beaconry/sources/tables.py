@@ -41,7 +41,7 @@ def load_version(spark: SparkSession, root: str, version: str) -> DataFrame:
     return spark.read.parquet(f"{root}/version={version}")
 
 
-def save_table(df: DataFrame, name: str) -> DataFrame:
-    """CREATE OR REPLACE TABLE name AS SELECT."""
-    df.write.mode("overwrite").saveAsTable(name)
+def save_table(df: DataFrame, name: str, path: str) -> DataFrame:
+    """Create or replace the catalog table ``name`` with the rows, stored at ``path``."""
+    df.write.mode("overwrite").option("path", path).saveAsTable(name)
     return df.sparkSession.table(name)

@@ -6,19 +6,38 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.types import StructType
 
 from beaconry.functions.dates import bucket
 from beaconry.operators.search import build_index, corpus_size
-from beaconry.sources import landing
 from beaconry.streaming.sinks import batch_folders, latest_per_key, run_available
 
 LATENESS = "1 hour"
 
 
-def file_stream(spark: SparkSession, path: str, schema: StructType, files_per_batch: int = 1) -> DataFrame:
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-            .option("recursiveFileLookup", True).parquet(path))
+def limited(reader: DataStreamReader, files_per_batch: int | None) -> DataStreamReader:
+    """All new files in one batch (None), or at most so many; by bytes: ``maxBytesPerTrigger``."""
+    return reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader
+
+
+def file_stream(spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None) -> DataFrame:
+    """New Parquet files below ``path``; an inbox without any file yet is made first."""
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+    reader = limited(spark.readStream.schema(schema), files_per_batch)
+    return reader.option("recursiveFileLookup", True).parquet(path)
+
+
+def line_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """New ``*.txt`` files of an inbox, line by line."""
+    spark.createDataFrame([], "value string").write.mode("ignore").text(path)
+    return limited(spark.readStream, files_per_batch).option("pathGlobFilter", "*.txt").text(path)
+
+
+def ready(rows: DataFrame, table: str) -> DataFrame:
+    """An empty first folder of ``table``, so that it can be read before any batch."""
+    rows.sparkSession.createDataFrame([], rows.schema).write.mode("ignore").parquet(f"{table}/batch=-1")
+    return rows
 
 
 def event_time(stream: DataFrame, ts: str, lateness: str = LATENESS) -> DataFrame:
@@ -33,20 +52,21 @@ def window_day(window: str) -> Column:
     return F.date_from_unix_date(F.floor(F.unix_seconds(F.col(f"{window}.start")) / 86400).cast("int"))
 
 
-def land_files(spark: SparkSession, inbox: str, table: str, checkpoint: str, loaded_at: Column) -> DataFrame:
+def land_files(spark: SparkSession, inbox: str, table: str, checkpoint: str, loaded_at: Column,
+               files_per_batch: int | None = None) -> DataFrame:
     """New JSON files into the landing table, each file once."""
-    lines = spark.readStream.option("maxFilesPerTrigger", 4).option("pathGlobFilter", "*.txt").text(inbox)
+    lines = line_stream(spark, inbox, files_per_batch)
     rows = lines.select("value", F.col("_metadata.file_name").alias("source_file"))
+    ready(rows.withColumn("loaded_at", loaded_at), table)
     run_available(rows, batch_folders(table, lambda b: b.withColumn("loaded_at", loaded_at)), checkpoint)
     return spark.read.parquet(table).select(F.parse_json("value").alias("payload"), "source_file", "loaded_at")
 
 
 def curate_files(spark: SparkSession, inbox: str, table: str, checkpoint: str,
-                 curate: Callable[[DataFrame], DataFrame]) -> DataFrame:
+                 curate: Callable[[DataFrame], DataFrame], files_per_batch: int | None = None) -> DataFrame:
     """Landing to a typed table inside the stream (no state)."""
-    lines = spark.readStream.option("maxFilesPerTrigger", 4).option("pathGlobFilter", "*.txt").text(inbox)
-    raw = lines.select(F.parse_json("value").alias("payload"))
-    run_available(curate(raw), batch_folders(table), checkpoint)
+    raw = line_stream(spark, inbox, files_per_batch).select(F.parse_json("value").alias("payload"))
+    run_available(ready(curate(raw), table), batch_folders(table), checkpoint)
     return spark.read.parquet(table).drop("batch")
 
 
@@ -54,7 +74,7 @@ def append_events(spark: SparkSession, inbox: str, schema: StructType, key: str,
                   checkpoint: str) -> DataFrame:
     """Row-level append; an event repeated within the lateness is kept once."""
     rows = event_time(file_stream(spark, inbox, schema), ts).dropDuplicatesWithinWatermark([key])
-    run_available(rows.drop("event_time"), batch_folders(table), checkpoint)
+    run_available(ready(rows.drop("event_time"), table), batch_folders(table), checkpoint)
     return spark.read.parquet(table).drop("batch")
 
 
@@ -64,7 +84,7 @@ def daily_spend(spark: SparkSession, inbox: str, schema: StructType, user: str,
     rows = event_time(file_stream(spark, inbox, schema), ts)
     spend = (rows.groupBy(user, F.window("event_time", "1 day").alias("w")).agg(F.sum(amount).alias("spend"))
              .select(user, window_day("w").alias("day"), "spend"))
-    run_available(spend, batch_folders(table), checkpoint, "update")
+    run_available(ready(spend, table), batch_folders(table), checkpoint, "update")
     return latest_per_key(spark, table, [user, "day"], ["spend"])
 
 
@@ -83,7 +103,7 @@ def window_means(spark: SparkSession, inbox: str, schema: StructType, ts: str, v
     means = (rows.groupBy(F.window("event_time", "1 day").alias("w")).agg(
         F.avg(value).alias("mean_value"), F.count("*").alias("n"))
         .select(window_day("w").alias("window_start"), "mean_value", "n"))
-    run_available(means, batch_folders(table), checkpoint, "update")
+    run_available(ready(means, table), batch_folders(table), checkpoint, "update")
     return latest_per_key(spark, table, ["window_start"], ["mean_value", "n"])
 
 
@@ -109,7 +129,9 @@ def daily_feature_facts(spark: SparkSession, inbox: str, schema: StructType, key
         return rows.groupBy(key, F.to_date(ts).alias("day")).agg(
             F.count("*").alias("n"), F.sum(amount).alias("amount"))
 
-    run_available(file_stream(spark, inbox, schema), batch_folders(table, per_day), checkpoint)
+    rows = file_stream(spark, inbox, schema)
+    ready(per_day(spark.createDataFrame([], schema)), table)
+    run_available(rows, batch_folders(table, per_day), checkpoint)
     return (spark.read.parquet(table).groupBy(key, "day")
             .agg(F.sum("n").alias("n"), F.sum("amount").alias("amount")))
 
@@ -121,11 +143,11 @@ def refresh_index(spark: SparkSession, inbox: str, schema: StructType, key: str,
         batch_folders(index, lambda b: build_index(b, key, text))(batch, batch_id)
         batch_folders(sizes, lambda b: corpus_size(b, text))(batch, batch_id)
 
-    run_available(file_stream(spark, inbox, schema), step, checkpoint)
+    rows = file_stream(spark, inbox, schema)
+    none = spark.createDataFrame([], schema)
+    ready(build_index(none, key, text), index)
+    ready(corpus_size(none, text), sizes)
+    run_available(rows, step, checkpoint)
     total = spark.read.parquet(sizes).agg(
         F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("mean"))
     return spark.read.parquet(index).drop("batch"), total
-
-
-def landed_messages(raw: DataFrame) -> DataFrame:
-    return landing.curate_messages(raw)

@@ -33,17 +33,14 @@ def test_metrics_in_range_and_auc_agrees(base, model):
 
 
 def test_attribution_adds_up(base, model):
-    """Values of a row sum to its prediction minus the mean of its drawn background rows."""
+    """Values of a row sum to its prediction minus the mean of the training rows drawn for it."""
     train, valid = mq.split(base)
-    few = valid.limit(20)
-    draws, size = 3, 8
-    phi = ml.sampled_attribution(model, few, train, "c_custkey", ml.FEATURES, draws, size)
+    few, draws, size = valid.limit(20), 3, train.count()
+    phi = ml.sampled_attribution(model, few, train, "c_custkey", ml.FEATURES, draws)
     total = {r["c_custkey"]: r["s"] for r in phi.groupBy("c_custkey").agg(F.sum("phi").alias("s"), F.count("*")).collect()}
     pred = {r["c_custkey"]: r["pred_lapse"] for r in ml.score(model, few, "c_custkey").collect()}
-    back = train.orderBy(F.xxhash64("c_custkey"), "c_custkey").limit(size)
-    arr = back.select("c_custkey", F.array(*[F.col(f).cast("double") for f in ml.FEATURES]).alias("v")).orderBy("v").collect()
-    bp = {r["c_custkey"]: r["pred_lapse"] for r in ml.score(model, back, "c_custkey").collect()}
-    order = [bp[r["c_custkey"]] for r in arr]
+    back = {r["c_custkey"]: r["pred_lapse"] for r in ml.score(model, train, "c_custkey").collect()}
+    order = [back[r["c_custkey"]] for r in train.orderBy(F.xxhash64("c_custkey"), "c_custkey").select("c_custkey").collect()]
     picks = few.select("c_custkey", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))).alias("d")).select(
         "c_custkey", F.pmod(F.xxhash64("c_custkey", "d"), F.lit(size).cast("long")).alias("p")).collect()
     assert set(total) == set(pred)
@@ -62,14 +59,33 @@ def test_versions(spark, base, model):
     assert loaded.stages[-1].getNumTrees == 5
 
 
-def test_candidates_have_one_best(base):
+def test_best_run_is_returned(base):
     train, valid = mq.split(base)
-    runs = ml.candidate_runs(train, valid, mq.LABEL, [{"n_trees": 2, "max_depth": 2, "learning_rate": 0.1},
-                                                      {"n_trees": 3, "max_depth": 2, "learning_rate": 0.1}]).collect()
-    assert sum(r["is_best"] for r in runs) == 1 and len(runs) == 2
+    best, metrics, runs = ml.candidate_runs(train, valid, mq.LABEL, [
+        {"n_trees": 2, "max_depth": 2, "learning_rate": 0.1}, {"n_trees": 3, "max_depth": 2, "learning_rate": 0.1}])
+    rows = runs.collect()
+    top = [r for r in rows if r["is_best"]]
+    assert len(top) == 1 and len(rows) == 2
+    assert top[0]["val_auc"] == max(r["val_auc"] for r in rows) == metrics["val_auc"]
+    assert best.stages[-1].getNumTrees == top[0]["n_trees"]
+
+
+def test_registered_version_is_the_best_run(spark):
+    t = Tables(spark, DATA)
+    held = mq.chain(t)
+    top = held["runs"].filter("is_best").first()
+    version = held["versions"].first()
+    assert (version["val_auc"], version["val_f1"]) == (top["val_auc"], top["val_f1"])
+    assert mq.default_model(t).stages[-1].getNumTrees == top["n_trees"]
+    assert mq.chain(Tables(spark, DATA)) is held
 
 
 def test_refresh_job(spark, base):
     out = mq.refresh_job(Tables(spark, DATA), scratch_path(spark, "job"))
-    assert out["scores"].count() == base.count() == out["log"].count()
+    train, valid = mq.split(base)
+    assert out["scores"].count() == base.count()
+    assert (out["baseline"].count(), out["log"].count()) == (train.count(), valid.count())
     assert out["log"].filter("pred_lapse IS NULL").count() == 0
+    assert out["log"].agg(F.min("scored_at")).first()[0] > out["baseline"].agg(F.max("scored_at")).first()[0]
+    assert out["drift"].filter("difference_of_means <> 0").count() > 0
+    assert out["quality"].count() == 7

@@ -27,7 +27,7 @@ def test_lines_and_listing(spark, tmp_path):
     put(folder, "transcript_2.txt", "only")
     put(folder, "transcript_3.dat", "skip")
     put(folder, "notes.md", "skip")
-    got = rows(files.read_lines(spark, folder, "transcript_*.txt"))
+    got = rows(files.read_lines(spark, folder, "transcript_*.txt").drop("folder"))
     assert sorted(got) == [("transcript_1.txt", 1, "CALL_ID: CS-1"), ("transcript_1.txt", 2, ""),
                            ("transcript_1.txt", 3, 'hello, "you"'), ("transcript_2.txt", 1, "only")]
     assert ("notes.md", 4) in rows(files.list_files(spark, folder).select("file_name", "size"))
@@ -41,6 +41,26 @@ def test_manifest_modes(spark, tmp_path):
     assert got == [(1, 'A, "x"'), (2, None), (3, "C")]
     with pytest.raises(Exception):
         files.read_manifest(spark, folder, schema, strict=True).collect()
+    put(folder, "bad.csv", "ID,DAY,NAME\n4,not-a-date,D\n")
+    with pytest.raises(Exception, match="not-a-date"):
+        files.read_manifest(spark, folder, schema).collect()
+
+
+def test_empty_inbox_and_table(spark, tmp_path):
+    schema = spark.createDataFrame([], "event_id long, ts timestamp_ntz, user_id long, value double").schema
+    places = [str(tmp_path / x) for x in ("inbox", "table", "checkpoint")]
+    assert jobs.append_events(spark, places[0], schema, "event_id", "ts", *places[1:]).count() == 0
+    other = [str(tmp_path / x) for x in ("inbox2", "table2", "checkpoint2")]
+    assert jobs.land_files(spark, *other, F.lit(None).cast("timestamp_ntz")).count() == 0
+
+
+def test_slices_do_not_depend_on_row_order(spark):
+    from beaconry.operators.ordering import range_slices
+    df = spark.range(400).select((F.col("id") % 7).alias("k"), F.col("id").alias("v"))
+    one, two = (sorted(map(tuple, range_slices(x, [F.col("k")], 5).select("k", "v", "_pos").collect()))
+                for x in (df, df.orderBy(F.rand(3)).repartition(6)))
+    order = [[v for k, v, p in sorted(x, key=lambda r: (r[0], r[2]))] for x in (one, two)]
+    assert sorted(order[0]) == sorted(order[1]) == list(range(400))
 
 
 def test_landing_null_rules(spark):
