@@ -28,6 +28,8 @@ LENGTH, ANCHOR = 35, 12
 #: Bytes of text that a task hashes at a time, words of a reference shard, and the
 #: distinct segments of an anchor beyond which its windows are counted one by one.
 BYTES, SHARD_WORDS, MANY = 1 << 20, 16_384, 4_096
+#: Bits of the document bitmap: a fixed size, see ``_bitmap``.
+BITS = 1 << 23
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
@@ -245,13 +247,33 @@ def repeated_windows(shard: list[tuple[list, int]], length: int) -> list[int]:
     return masks
 
 
+def _bitmap(keys: DataFrame) -> DataFrame:
+    """Hashed (doc_id, text_key) pairs as at most BITS / 64 rows ``(word, bits)``.
+
+    A document that isn't in it can't be among the keys, so its text need not be
+    shuffled to meet them. It only saves work: when full, every document passes.
+    """
+    h = F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(BITS))
+    return (keys.select(F.shiftright(h, 6).alias("word"), h.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
+            .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")))
+
+
+def _flagged(docs: DataFrame, bitmap: DataFrame) -> DataFrame:
+    """docs with ``maybe``: false where the bitmap rules the document out."""
+    h = F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(BITS))
+    bit = F.getbit(F.coalesce("bits", F.lit(0).cast("long")), h.bitwiseAND(F.lit(63)).cast("int"))
+    return (docs.withColumn("word", F.shiftright(h, 6)).join(F.broadcast(bitmap), "word", "left")
+            .withColumn("maybe", bit == 1).drop("word", "bits"))
+
+
 def _cut(docs: DataFrame, wanted: DataFrame, length: int, anchor: int) -> DataFrame:
     """``(a, s, n, words)``: the words of one occurrence of each wanted segment."""
     schema = "a long, s long, n long, words string"
     out = arrow_schema(schema)
     listed = (wanted.groupBy("doc_id", "text_key")
               .agg(F.collect_list(F.struct("lo", "a", "s", "n")).alias("cuts")))
-    joined = _with(docs, listed, "inner").select("text", "cuts")
+    some = _flagged(docs, _bitmap(wanted)).filter("maybe")
+    joined = _with(some, listed, "inner").select("text", "cuts")
 
     def run(batches):
         for batch in batches:
@@ -353,11 +375,14 @@ def repeated_segments(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHO
     distinct = (found.groupBy("a", "s")
                 .agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "text_key", "lo")).alias("one")))
     wanted = distinct.select("a", "s", "n", "one.doc_id", "one.text_key", "one.lo")
-    cut = _cut(docs, wanted, length, anchor).checkpoint()
-    large = cut.groupBy("a").agg(F.count("*").alias("_m")).filter(F.col("_m") > many).select("a")
-    masks = _decide(cut.join(large, "a", "left_anti"), length).unionByName(
-        _by_window(cut.join(large, "a", "left_semi"), length)).filter("mask <> 0")
-    return found.join(masks, ["a", "s"]).select("doc_id", "text_key", "lo", "mask")
+    large = (distinct.groupBy("a").agg(F.count("*").alias("_m")).filter(F.col("_m") > many)
+             .select("a").checkpoint())
+    if large.isEmpty():
+        masks = _decide(_cut(docs, wanted, length, anchor), length)
+    else:
+        masks = _decide(_cut(docs, wanted.join(large, "a", "left_anti"), length, anchor), length).unionByName(
+            _by_window(_cut(docs, wanted.join(large, "a", "left_semi"), length, anchor), length))
+    return found.join(masks.filter("mask <> 0"), ["a", "s"]).select("doc_id", "text_key", "lo", "mask")
 
 
 def remove_repeated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -372,8 +397,8 @@ def remove_repeated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     shared_root(df.sparkSession)
     docs = documents_of(df, id_col, text_col)
-    spans = (repeated_segments(docs, length, anchor, many).groupBy("doc_id", "text_key")
-             .agg(F.collect_set(F.struct("lo", "mask")).alias("spans")))
+    repeated = repeated_segments(docs, length, anchor, many).checkpoint()
+    spans = repeated.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("lo", "mask")).alias("spans"))
     schema = "doc_id long, n_words long, n_removed long, kept string"
     out = arrow_schema(schema)
 
@@ -396,4 +421,8 @@ def remove_repeated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), out, strict=True)], schema=out)
 
-    return _with(docs, spans, "left").select("doc_id", "text", "spans").mapInArrow(run, schema)
+    flagged = _flagged(docs, _bitmap(repeated))
+    clean = flagged.filter("NOT maybe").withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
+    columns = ["doc_id", "text", "spans"]
+    return (_with(flagged.filter("maybe"), spans, "left").select(*columns)
+            .unionByName(clean.select(*columns)).mapInArrow(run, schema))
