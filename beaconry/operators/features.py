@@ -4,8 +4,8 @@ A snapshot calendar is a short sorted list of timestamps. Instead of joining
 every entity-snapshot to its whole history, each fact is turned into at most two
 deltas: it enters the running totals at the first snapshot not before it, and
 leaves the trailing window after the last snapshot that still covers it. Deltas
-are summed per (entity, slot) before the shuffle, so a hot entity costs at most
-one row per slot and task, and a running sum over the slots gives the features.
+are summed per entity into one column per slot before the shuffle, so a hot entity
+costs one row per task, and running sums inside that row give the features.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from beaconry.functions.dates import add_months, ntz
@@ -68,32 +67,33 @@ def snapshot_features(entities: DataFrame, deltas: DataFrame, key: str, started:
 
     Columns: key, as_of_ts, tenure_days, n, recent, amount, recency_days.
     """
-    slots = F.sequence(_rank(F.col("_started"), calendar, False), F.lit(len(calendar) - 1))
-    grid = (entities.filter(F.col(started) <= ntz(calendar[-1]))
-            .select(F.col(key).alias("key"), F.col(started).alias("_started"))
-            .select("key", "_started", F.explode(slots).alias("slot"), F.lit(True).alias("_grid")))
-    merged = (deltas.unionByName(grid, allowMissingColumns=True)
-              .groupBy("key", "slot")
-              .agg(F.sum("n").alias("n"), F.sum("amount").alias("amount"),
-                   F.sum("recent").alias("recent"), F.max("last_ts").alias("last_ts"),
-                   F.max("_grid").alias("_grid"), F.max("_started").alias("_started")))
-    so_far = W.partitionBy("key").orderBy("slot").rowsBetween(W.unboundedPreceding, 0)
+    n = len(calendar)
+    start = (entities.filter(F.col(started) <= ntz(calendar[-1]))
+             .select(F.col(key).alias("key"), F.col(started).alias("_started"), F.lit(True).alias("_held")))
+    at = [F.col("slot") == i for i in range(n)]
+
+    def sums(column: str) -> Column:
+        return F.array(*[F.coalesce(F.sum(F.when(hit, F.col(column))), F.lit(0)) for hit in at])
+
+    # One row per entity: a sum per snapshot slot, combined in the task before the shuffle.
+    per = (deltas.unionByName(start, allowMissingColumns=True).groupBy("key").agg(
+        sums("n").alias("n"), sums("amount").alias("amount"), sums("recent").alias("recent"),
+        F.array(*[F.max(F.when(hit, F.col("last_ts"))) for hit in at]).alias("last_ts"),
+        F.max("_started").alias("_started"), F.max("_held").alias("_held")).filter("_held"))
+    slots = F.sequence(_rank(F.col("_started"), calendar, False), F.lit(n - 1))
     as_of = F.get(F.array(*[ntz(c) for c in calendar]), F.col("slot"))
 
-    def running(column: str) -> Column:
-        return F.coalesce(F.sum(column).over(so_far), F.lit(0))
-
-    return (merged.select("key", "slot", "_grid", "_started", as_of.alias("as_of_ts"),
-                          running("n").cast("long").alias("n"),
-                          running("recent").cast("long").alias("recent"),
-                          running("amount").cast("double").alias("amount"),
-                          F.max("last_ts").over(so_far).alias("last_ts"))
-            .filter("_grid")
-            .select(F.col("key").alias(key), "as_of_ts",
-                    F.datediff("as_of_ts", "_started").cast("long").alias("tenure_days"),
-                    "n", "recent", "amount",
-                    F.coalesce(F.datediff("as_of_ts", "last_ts"), F.lit(NO_HISTORY_DAYS))
-                    .cast("long").alias("recency_days")))
+    def running(column: str, kind: str) -> Column:
+        zero = F.lit(0).cast(kind)
+        return F.aggregate(F.slice(column, 1, F.col("slot") + 1), zero, lambda total, x: total + x.cast(kind))
+
+    return (per.select("*", F.explode(slots).alias("slot"))
+            .select(F.col("key").alias(key), as_of.alias("as_of_ts"),
+                    F.datediff(as_of, "_started").cast("long").alias("tenure_days"),
+                    running("n", "long").alias("n"), running("recent", "long").alias("recent"),
+                    running("amount", "double").alias("amount"),
+                    F.coalesce(F.datediff(as_of, F.array_max(F.slice("last_ts", 1, F.col("slot") + 1))),
+                               F.lit(NO_HISTORY_DAYS)).cast("long").alias("recency_days")))
 
 
 def rfm_view(entities: DataFrame, facts: DataFrame, key: str, started: str, fact_key: str,

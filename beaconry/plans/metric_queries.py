@@ -292,6 +292,53 @@ def key_checks(t):
     return check_keys(md.gtm_model(t))
 
 
+# ---- verified queries that the models declare ------------------------------------------
+
+@query("metric_verified_revenue_by_type", "K11", f"""
+WITH {CAMPAIGN_SQL} SELECT campaign_type, round(sum(o_totalprice), 2) AS attributed_revenue
+FROM ord JOIN camp USING (campaign_id) GROUP BY 1""")
+def verified_revenue_by_type(t):
+    return rounded(md.sms_model(t).run("attributed_revenue_by_type"), {"attributed_revenue": 2})
+
+
+@query("metric_verified_rps_by_type", "K11", f"""
+WITH {CAMPAIGN_SQL},
+ o AS (SELECT campaign_type, sum(o_totalprice) AS rev FROM ord JOIN camp USING (campaign_id) GROUP BY 1),
+ e AS (SELECT campaign_type, count(*) AS sends FROM ev JOIN camp USING (campaign_id) GROUP BY 1)
+SELECT campaign_type, round(rev / sends, 4) AS revenue_per_send FROM o JOIN e USING (campaign_type)""")
+def verified_rps_by_type(t):
+    return rounded(md.sms_model(t).run("rps_flow_vs_broadcast"), {"revenue_per_send": 4})
+
+
+@query("metric_verified_opt_in_growth", "K11", f"""
+WITH {GEO_SQL} SELECT r_name AS brand_region, count(*) AS opt_in_growth
+FROM customer JOIN geo ON n_nationkey = c_nationkey GROUP BY 1""")
+def verified_opt_in_growth(t):
+    return md.sms_model(t).run("opt_in_growth_by_region")
+
+
+@query("metric_verified_churn_by_plan", "K11", f"""
+WITH {LABEL_SQL} SELECT c_mktsegment AS plan, round(coalesce(sum(is_lapsed), 0) / count(*), 6) AS churn_rate
+FROM customer LEFT JOIN lab USING (c_custkey) GROUP BY 1""")
+def verified_churn_by_plan(t):
+    return rounded(md.cx_model(t).run("churn_by_plan"), {"churn_rate": 6})
+
+
+@query("metric_verified_thumbs_down_by_plan", "K11", f"""
+WITH {THUMBS_SQL}, f AS (SELECT c_mktsegment AS plan, count(*) FILTER (WHERE rating > 0) AS up, count(*) FILTER (WHERE rating < 0) AS dn
+  FROM customer LEFT JOIN ratings ON conv_id = c_custkey GROUP BY 1)
+SELECT plan, round(CASE WHEN up + dn = 0 THEN 0 ELSE dn / (up + dn) END, 6) AS thumbs_down_rate FROM f""")
+def verified_thumbs_down_by_plan(t):
+    return rounded(md.cx_model(t).run("thumbs_down_by_plan"), {"thumbs_down_rate": 6})
+
+
+@query("metric_verified_lapse_by_region", "K11", f"""
+WITH {LABEL_SQL}, {GEO_SQL} SELECT r_name AS region, round(sum(is_lapsed) / count(*), 6) AS lapse_rate
+FROM lab JOIN customer USING (c_custkey) JOIN geo ON n_nationkey = c_nationkey GROUP BY 1""")
+def verified_lapse_by_region(t):
+    return rounded(md.donor_model(t).run("lapse_rate_by_region"), {"lapse_rate": 6})
+
+
 @query("metric_enum_violations", "K10", """
 SELECT 'segment' AS dimension, c_mktsegment AS value, count(*) AS rows FROM customer
 WHERE c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD') GROUP BY ALL""")

@@ -64,6 +64,8 @@ def thumbs(t: Tables) -> DataFrame:
     return ids.select("conv_id", rating.alias("rating")).filter("rating IS NOT NULL")
 
 
+# Names of metrics, ratios, facts and dimensions in the models below must
+# match those that users already query; synonyms are free.
 def sms_model(t: Tables, with_opt_in: bool = False) -> Model:
     subscribers = (customers_started(t) if with_opt_in else t.customer).withColumn(
         "consent_status", F.expr(CONSENT))
@@ -71,8 +73,8 @@ def sms_model(t: Tables, with_opt_in: bool = False) -> Model:
     orders = t.orders.withColumn(
         "attributed_campaign_id", F.substring("o_orderpriority", 1, 1).cast("int"))
     dims = [
-        Dimension("brands", "brand_region", "r_name", ("plan", "tier")),
-        Dimension("brands", "brand", "n_name", ("store", "merchant")),
+        Dimension("brands", "brand_region", "r_name", ("territory", "area")),
+        Dimension("brands", "brand", "n_name", ("country", "market")),
         Dimension("subscribers", "segment", "c_mktsegment", ("industry", "vertical"), SEGMENTS),
         Dimension("subscribers", "consent_status", "consent_status", ("consent",),
                   ("opted_in", "opted_out", "pending")),

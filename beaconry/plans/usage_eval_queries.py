@@ -131,8 +131,9 @@ def usage_by_tag(t):
 
 # ---- evaluations ---------------------------------------------------------------------
 
+# Names of the evaluation metrics.
 METRICS = ["answer_correctness", "tool_selection_accuracy", "logical_consistency", "routing_quality"]
-TOOLS = {"single_tool": ["ScoringSpecialist"], "multi_tool": ["ScoringSpecialist", "CoachingSpecialist"], "refusal": []}
+TOOLS = {"single_tool": ["mail_scorer"], "multi_tool": ["mail_scorer", "mail_coach"], "refusal": []}
 PROCESS = "CASE WHEN toxic = 1 THEN 'refusal' WHEN doc_id % 4 = 0 THEN 'multi_tool' ELSE 'single_tool' END"
 INTENT = "CASE WHEN toxic = 1 THEN 'out_of_scope' WHEN quality = 1 THEN 'score_email' ELSE 'coach_email' END"
 TRUTH_SQL = f"truth AS (SELECT doc_id AS input, {PROCESS} AS process, {INTENT} AS intent FROM labels)"
@@ -145,7 +146,7 @@ SCORES_SQL = TRUTH_SQL + ", sc AS (" + " UNION ALL ".join(
 def truth(t: Tables) -> DataFrame:
     """One JSON ground-truth document per labelled input."""
     calls = F.when(F.expr(PROCESS) == "multi_tool", F.array(*[F.struct(F.lit(n).alias("tool_name")) for n in TOOLS["multi_tool"]]))
-    calls = calls.when(F.expr(PROCESS) == "single_tool", F.array(F.struct(F.lit("ScoringSpecialist").alias("tool_name"))))
+    calls = calls.when(F.expr(PROCESS) == "single_tool", F.array(F.struct(F.lit("mail_scorer").alias("tool_name"))))
     return t.labels.select(
         F.col("doc_id").alias("input"),
         F.to_json(F.struct(calls.alias("ground_truth_invocations"), F.expr(INTENT).alias("intent"),
@@ -260,26 +261,30 @@ def eval_tool_selection(t):
         F.coalesce(F.try_variant_get(F.try_parse_json("ground_truth"), "$.ground_truth_invocations",
                                      "array<struct<tool_name: string>>"), F.array()).alias("calls"))
     expected = F.col("calls")["tool_name"]
-    called = F.when(F.pmod("input", F.lit(5)) == 0, F.array(F.lit("RecommendationSpecialist"))).otherwise(expected)
+    called = F.when(F.pmod("input", F.lit(5)) == 0, F.array(F.lit("next_step"))).otherwise(expected)
     out = ev.tool_selection(log.select("process", expected.alias("expected"), called.alias("called")), "called", "expected")
     return out.groupBy("process").agg(
         F.count("*").alias("n"), F.round(F.avg(F.col("tools_match").cast("double")), 4).alias("tool_accuracy"),
         F.sum("missing_tools").alias("missing"), F.sum("extra_tools").alias("extra"))
 
 
-@query("eval_feedback_triage", "P10 N3 J1", """
-SELECT CASE WHEN lower(text) LIKE '%idiot%' OR lower(text) LIKE '%stupid%' THEN 'WRONG_ANSWER' WHEN lower(text) LIKE '%trash%' THEN 'FORMAT_ISSUE'
-  WHEN lower(text) LIKE '%pathetic%' THEN 'MISROUTED' ELSE 'OTHER' END AS issue_category, count(*) AS n
-FROM documents JOIN labels USING (doc_id) WHERE toxic = 1 GROUP BY 1""")
+# The issue categories. Their seed words are those of the test texts.
+ISSUES = {"WRONG_ANSWER": ["idiot", "stupid"], "MISROUTED": ["pathetic"], "MISSING_CONTEXT": ["clown", "moron"],
+          "FORMAT_ISSUE": ["trash"], "SCOPE_ERROR": ["scum", "worthless"]}
+ISSUE_SQL = " ".join(f"WHEN {' OR '.join(f'lower(text) LIKE {chr(39)}%{w}%{chr(39)}' for w in words)} THEN '{name}'"
+                     for name, words in ISSUES.items())
+
+
+@query("eval_feedback_triage", "P10 N3 J1", f"""
+SELECT CASE {ISSUE_SQL} ELSE 'OTHER' END AS issue_category, count(*) AS n
+FROM documents JOIN labels USING (doc_id) WHERE toxic = 1 AND text <> '' GROUP BY 1""")
 def eval_feedback_triage(t):
     """Negative feedback messages sorted into issue categories by seed terms."""
     event = F.parse_json(F.to_json(F.struct((F.col("toxic") == 0).alias("positive"), F.col("text").alias("feedback_message"))))
     rows = t.documents.join(t.labels, "doc_id").select(event.alias("value"))
     message = F.lower(F.variant_get("value", "$.feedback_message", "string"))
     negative = rows.filter(~F.variant_get("value", "$.positive", "boolean") & (message != ""))
-    category = (F.when(message.like("%idiot%") | message.like("%stupid%"), "WRONG_ANSWER")
-                .when(message.like("%trash%"), "FORMAT_ISSUE").when(message.like("%pathetic%"), "MISROUTED")
-                .otherwise("OTHER"))
+    category = F.coalesce(*[F.when(message.rlike("|".join(words)), name) for name, words in ISSUES.items()], F.lit("OTHER"))
     return negative.groupBy(category.alias("issue_category")).agg(F.count("*").alias("n"))
 
 
