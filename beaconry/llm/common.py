@@ -37,11 +37,22 @@ def map_rows(df: DataFrame, work: Callable, schema: str, rows: int = SLICE_ROWS)
                 got = work(*[part.column(i).to_pylist() for i in range(part.num_columns)])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(v, type=f.type) for v, f in zip(got, out, strict=True)], schema=out)
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
 
+def small_batches(spark: SparkSession, limit: str = "4m") -> None:
+    """Session setting of the jobs on texts: an Arrow batch holds 4 MB instead of 64 MB.
+
+    A task keeps one batch on each side of the Python boundary, so this bounds the
+    memory that long texts take beside the heap.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", limit)
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 

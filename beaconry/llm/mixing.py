@@ -310,6 +310,7 @@ def mixed_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 if size is not None:
                     columns[size] = pa.array([len(t) for t in texts], columns[size].type)
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+            pa.default_memory_pool().release_unused()
 
     return joined.mapInArrow(run, schema)
 
