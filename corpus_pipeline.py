@@ -11,12 +11,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beaconry.llm import byte_bpe, language_id, mixing, secrets, simhash
+from beaconry.llm.common import small_batches
 from beaconry.session import scratch_path, shared_root
 
 #: No SQL: trained models, hashed fingerprints, random draws and tokenizers.
 ORACLE_SQL = None
 
 
+def bounded(stage):
+    """The stage with small Arrow batches: memory beside the heap stays the same for long texts."""
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the language models reject; models learn from the labelled ones."""
     shared_root(spark)
@@ -50,11 +60,11 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("language_id", language),
-    ("simhash_near_dedup", near_duplicates),
-    ("secret_scan", secret_scan),
-    ("mixing", mix_sources),
-    ("byte_bpe", tokens),
+    ("language_id", bounded(language)),
+    ("simhash_near_dedup", bounded(near_duplicates)),
+    ("secret_scan", bounded(secret_scan)),
+    ("mixing", bounded(mix_sources)),
+    ("byte_bpe", bounded(tokens)),
 ]
 
 
