@@ -72,7 +72,7 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ends = np.flatnonzero(~blank[:-1] & blank[1:])
     out, first = [], 0
     while first < len(starts):  # pieces of whole words, so that no table grows with a text
-        last = max(first + 1, int(np.searchsorted(ends, starts[first] + 4 * BYTES, side="right")))
+        last = max(first + 1, int(np.searchsorted(ends, starts[first] + BYTES // 4, side="right")))
         at = int(starts[first])
         sums = _sums(raw[at:int(ends[last - 1])].astype(np.uint64) + np.uint64(1), BYTE_POWERS)
         out.append(_between(sums, starts[first:last] - at, ends[first:last] - at, BYTE_POWERS))
@@ -370,7 +370,9 @@ def repeated_segments(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHO
     """``(doc_id, text_key, lo, mask)``: windows ``lo + j`` of a document, for the bits j
     of ``mask``, whose words start elsewhere too."""
     every = anchors(docs, length, anchor)
-    shared = every.groupBy("a").agg(F.count("*").alias("_n")).filter("_n > 1").select("a")
+    # Stored first, so that the join below sees two plain shuffles and a hot anchor's
+    # rows, all on one side, can be split among tasks.
+    shared = every.groupBy("a").agg(F.count("*").alias("_n")).filter("_n > 1").select("a").checkpoint()
     found = anchors(docs, length, anchor).join(shared, "a").checkpoint()
     distinct = (found.groupBy("a", "s")
                 .agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "text_key", "lo")).alias("one")))
