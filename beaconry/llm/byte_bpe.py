@@ -29,7 +29,7 @@ from tokenizers import Tokenizer, models, pre_tokenizers
 from beaconry.llm.common import SLICE_ROWS, Memo
 
 #: Entries of the per-task cache, and the longest unit it holds.
-CACHED, CACHED_CHARS = 400_000, 48
+CACHED, CACHED_CHARS = 200_000, 48
 
 
 def byte_table() -> list[str]:
@@ -155,6 +155,8 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text",
                     spans = [model.offsets(t) for t in texts]
                     columns += [pa.array([[s[k] for s in row] for row in spans], kind) for k in (0, 1)]
                 yield pa.RecordBatch.from_arrays(columns, names=[*keep, *added])
+        model.memo.clear()  # an idle worker keeps the vocabulary, not the cache
+        pa.default_memory_pool().release_unused()
 
     return rows.mapInArrow(run, schema)
 
