@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from beaconry.llm.common import arrow_schema, keyed_texts, map_rows
 from beaconry.llm.components import components
+from beaconry.llm.embedding_dedup import _runs
 from beaconry.session import shared_root
 
 BITS = 64
@@ -164,11 +165,12 @@ def probes(plan: list[tuple[list[int], int]]) -> np.ndarray:
     return np.array(masks, dtype=np.uint64) if masks else np.array([one - one])
 
 
-def forest(x: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+def forest(x: np.ndarray, distance: int, alike=None) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs that connect what links within one bucket, at most len(x) - 1.
 
     A search from each unvisited member compares with the unvisited rest only:
     a dense group is emptied in a few vector steps and is never paired out.
+    ``alike(at, others)``: which of the others within the distance link with ``at``.
     """
     left, right, rest = [], [], np.arange(len(x))
     while len(rest) > 1:
@@ -176,6 +178,8 @@ def forest(x: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
         while queue and len(rest):
             at = queue.pop()
             near = np.bitwise_count(x[rest] ^ x[at]) <= distance
+            if alike is not None and near.any():
+                near[near] = alike(at, rest[near])
             if near.any():
                 found = rest[near]
                 left.append(np.full(len(found), at))
@@ -187,25 +191,44 @@ def forest(x: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(left), np.concatenate(right)
 
 
-def _verify(batches, distance: int):
-    """Links within buckets of rows sorted by bucket; buckets may cross batches."""
+def _verify(batches, distance: int, most: int | None = None):
+    """Links within buckets of rows sorted by bucket; buckets may cross batches.
+
+    With ``most``, pairs are not thinned to a forest: every pair within the distance
+    is emitted, unless both ends have more than ``most`` neighbours in a large
+    bucket. Those members are emitted as pairs with themselves.
+    """
     out = arrow_schema("a long, b long")
 
+    def large(x):
+        if most is None:
+            i, j = forest(x, distance)
+            return [x[i]], [x[j]]
+        left, right, step = [], [], max(1, (1 << 21) // len(x))
+        for at in range(0, len(x), step):
+            near = np.bitwise_count(x[at:at + step, None] ^ x[None, :]) <= distance
+            dense = near.sum(axis=1) > most + 1
+            i, j = np.nonzero(near & ~dense[:, None])
+            i += at
+            own, i, j = x[at:at + step][dense], i[i != j], j[i != j]
+            left += [own, np.minimum(x[i], x[j])]
+            right += [own, np.maximum(x[i], x[j])]
+        return left, right
+
     def links(key, fp):
         starts = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]).any(axis=1))))
         sizes = np.diff(np.append(starts, len(key)))
         left, right = [], []
         for size in np.unique(sizes[(sizes > 1) & (sizes <= 8)]):
-            rows = fp[starts[sizes == size][:, None] + np.arange(size)]
+            rows = np.sort(fp[starts[sizes == size][:, None] + np.arange(size)], axis=1)
             for i, j in itertools.combinations(range(size), 2):
                 hit = np.bitwise_count(rows[:, i] ^ rows[:, j]) <= distance
                 left.append(rows[hit, i])
                 right.append(rows[hit, j])
         for s, n in zip(starts[sizes > 8].tolist(), sizes[sizes > 8].tolist()):
-            x = fp[s:s + n]
-            i, j = forest(x, distance)
-            left.append(x[i])
-            right.append(x[j])
+            i, j = large(fp[s:s + n])
+            left += i
+            right += j
         if left:
             return [np.concatenate(left).view(np.int64), np.concatenate(right).view(np.int64)]
         return [np.zeros(0, np.int64)] * 2
@@ -268,11 +291,13 @@ def _split_large(rows: DataFrame, plan, distance: int, limit: int) -> DataFrame:
 
 
 def link_fingerprints(distinct: DataFrame, distance: int,
-                      large_bucket: int = LARGE_BUCKET) -> DataFrame:
+                      large_bucket: int = LARGE_BUCKET, most: int | None = None) -> DataFrame:
     """``(a, b)`` edges that connect all fingerprints within ``distance`` bits.
 
     ``distinct`` has unique longs in ``fp``. Every link is verified; links that
-    connect nothing new inside a bucket are not emitted.
+    connect nothing new inside a bucket are not emitted. With ``most`` all pairs
+    are emitted but those between members of dense neighbourhoods, which come as
+    ``(a, a)``: see ``_verify``.
     """
     n, joint = bit_statistics(distinct)
     if n < 2:
@@ -280,7 +305,7 @@ def link_fingerprints(distinct: DataFrame, distance: int,
     plan = allocate(n, joint, distance)
     rows = _split_large(_bucketed(distinct, plan), plan, distance, large_bucket)
     return (rows.repartition("probe", "bucket").sortWithinPartitions("probe", "bucket", "fp")
-            .mapInArrow(lambda it: _verify(it, distance), "a long, b long").distinct())
+            .mapInArrow(lambda it: _verify(it, distance, most), "a long, b long").distinct())
 
 
 def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -306,6 +331,10 @@ def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 #: Smallest shingle hashes kept to verify the similarity of candidates.
 SKETCH = 128
+#: Neighbours in a large bucket beyond which a fingerprint is linked by its shingles instead.
+NEAR = 8
+#: Members of one block of a shared shingle; blocks are compared pair by pair.
+SHARED_BLOCK = 1024
 
 
 def sketch(rows: np.ndarray) -> bytes:
@@ -338,6 +367,84 @@ def similar_edges(edges: DataFrame, sketches: DataFrame, least: float) -> DataFr
     return both.mapInArrow(run, "a long, b long")
 
 
+class Alike:
+    """``similarity(a, b) >= least`` of one sketch against many, as ``forest`` asks it.
+
+    ranks: the place of the shared shingle in each sketch. The smallest shingle that
+    two similar sketches share has at most ``far`` others of the two before it, so
+    other pairs are left to the bucket of their own smallest shared shingle.
+    """
+
+    def __init__(self, sketches: list[bytes], ranks: np.ndarray, least: float, far: int):
+        self.size = np.array([len(s) // 8 for s in sketches])
+        self.rows = np.full((len(sketches), SKETCH), np.iinfo(np.uint64).max, dtype=np.uint64)
+        for row, s, n in zip(self.rows, sketches, self.size):
+            row[:n] = np.frombuffer(s, np.uint64)
+        self.ranks, self.least, self.far = ranks, least, far
+
+    def __call__(self, at: int, others: np.ndarray) -> np.ndarray:
+        out = self.ranks[others] + self.ranks[at] <= self.far
+        mine, rows, sizes = self.rows[at][:self.size[at]], self.rows[others[out]], self.size[others[out]]
+        places = np.arange(SKETCH)
+        place = np.searchsorted(mine, rows)
+        shared = (mine[np.minimum(place, len(mine) - 1)] == rows) & (places < sizes[:, None])
+        rank = place + places - (np.cumsum(shared, axis=1) - shared)  # in the union of both
+        union = np.minimum(len(mine) + sizes - shared.sum(axis=1), SKETCH)
+        out[out] = (shared & (rank < SKETCH)).sum(axis=1) / union >= self.least
+        return out
+
+
+def dense_links(dense: DataFrame, distance: int, least: float, block: int = SHARED_BLOCK) -> DataFrame:
+    """``(a, b)`` edges that connect the similar among ``(node, fp, sketch)`` rows.
+
+    Of the SKETCH smallest shingles of two texts with similarity ``least``, at most a
+    share of 1 - least belongs to one only; so among that many and one of each sketch
+    there is a shared one, and rows meet in the bucket of each of these. A frequent
+    shingle is cut into blocks, and every pair of blocks is a unit of work.
+    """
+    far = SKETCH - math.ceil(least * SKETCH - 1e-9)
+
+    def first(batches):
+        for batch in batches:
+            nodes, sketches = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
+            for at in range(0, len(nodes), 4096):
+                heads = [np.frombuffer(s, np.int64)[:far + 1] for s in sketches[at:at + 4096]]
+                sizes = [len(h) for h in heads]
+                yield pa.RecordBatch.from_pydict({
+                    "shingle": pa.array(np.concatenate(heads)), "node": pa.array(np.repeat(nodes[at:at + 4096], sizes)),
+                    "place": pa.array(np.concatenate([np.arange(n, dtype=np.int32) for n in sizes]))})
+
+    rows = dense.select("node", "sketch").mapInArrow(first, "shingle long, node long, place int")
+    cuts = (rows.groupBy("shingle").count().filter("count > 1")
+            .select("shingle", F.ceil(F.col("count") / block).cast("int").alias("blocks")))
+    met = (rows.join(cuts, "shingle")
+           .withColumn("own", F.pmod(F.xxhash64("node", F.lit(2)), F.col("blocks")).cast("int"))
+           .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+           .select("shingle", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "place")
+           .join(dense.select("node", "fp", "sketch"), "node")
+           .select("shingle", "i", "j", "node", "place", "fp", "sketch"))
+    out = arrow_schema("a long, b long")
+
+    def run(batches):
+        for _, table in _runs(batches, 3):
+            node, place, fp = (table.column(c).to_numpy() for c in ("node", "place", "fp"))
+            alike = Alike(table.column("sketch").to_pylist(), place, least, far)
+            i, j = forest(fp.view(np.uint64), distance, alike)
+            yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[j])], schema=out)
+
+    keys = ["shingle", "i", "j"]
+    return met.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long").distinct()
+
+
+def similar_links(classes: DataFrame, distance: int, least: float) -> DataFrame:
+    """``(a, b)`` edges that connect all ``(fp, sketch)`` rows within ``distance`` bits
+    whose sketches are similar; fp is unique."""
+    found = link_fingerprints(classes.select("fp"), distance, most=NEAR).checkpoint()
+    sparse = similar_edges(found.filter("a <> b"), classes.select("fp", "sketch"), least)
+    crowd = found.filter("a = b").select(F.col("a").alias("fp")).join(classes, "fp")
+    return sparse.unionByName(dense_links(crowd.select(F.col("fp").alias("node"), "fp", "sketch"), distance, least))
+
+
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
              distance: int = 12, least: float = 0.8) -> DataFrame:
     """One row of each near-duplicate group of ``df``, all columns unchanged.
@@ -360,8 +467,7 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     prints = map_rows(keyed, work, "text_key long, doc_id long, fp long, sketch binary").checkpoint()
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
     classes = prints.groupBy("fp").agg(F.min(first).alias("first"), F.min("sketch").alias("sketch")).checkpoint()
-    edges = link_fingerprints(classes.select("fp"), distance)
-    roots = components(similar_edges(edges, classes.select("fp", "sketch"), least))
+    roots = components(similar_links(classes, distance, least))
     kept = (classes.join(roots, classes["fp"] == roots["node"], "left")
             .groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
             .select(F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key")))

@@ -116,3 +116,39 @@ def test_similarity():
     a, b = (s.sketch(s.shingle_bytes(t, 2)) for t in ("a b c d e", "a b c d f"))
     assert s.similarity(a, b) == 3 / 5
     assert s.similarity(b"", b"") == 1 and s.similarity(a, b"") == 0
+
+
+def test_alike_is_similarity():
+    rng = np.random.default_rng(15)
+    shared = rng.integers(0, 2**63, 300).astype(np.uint64)
+    sets = [np.unique(np.concatenate((shared[:n], rng.integers(0, 2**63, m).astype(np.uint64))))[:s.SKETCH].tobytes()
+            for n in (3, 90, 250, 300) for m in (1, 20, 40, 200)]
+    for least in (0.5, 0.8):
+        alike = s.Alike(sets, np.zeros(len(sets), int), least, 0)
+        for i in range(len(sets)):
+            want = [s.similarity(sets[i], x) >= least for x in sets]
+            assert alike(i, np.arange(len(sets))).tolist() == want
+
+
+def template(n, planted, seed):
+    """Texts of one template, no two alike, and near copies of the first ``planted``."""
+    rng = random.Random(seed)
+    frame = [f"frame{i}" for i in range(240)]
+    texts = [" ".join(frame + [f"own{rng.getrandbits(40)}" for _ in range(60)]) for _ in range(n)]
+    return texts, [t.replace("frame7 ", f"other{i} ", 1) for i, t in enumerate(texts[:planted])]
+
+
+def test_similar_pairs_in_a_template_cluster(spark):
+    """Unlike texts within the distance must not hide the true links between others."""
+    texts, copies = template(1500, 150, 16)
+    prints = [s.fingerprint(t, 5) % 2**64 for t in texts[:40]]
+    assert sum((a ^ b).bit_count() <= 12 for a in prints for b in prints) > 40 * 8
+    kept = {r["doc_id"] for r in s.keep_one(docs(spark, texts + copies)).select("doc_id").collect()}
+    union = Union()
+    rows = [(s.fingerprint(t, 5) % 2**64, s.sketch(s.shingle_bytes(t, 5))) for t in texts + copies]
+    for i, (a, x) in enumerate(rows):
+        for j in range(i):
+            if (a ^ rows[j][0]).bit_count() <= 12 and s.similarity(x, rows[j][1]) >= 0.8:
+                union.join(i, j)
+    want = {i for i in range(len(rows)) if union.find(i) == i}
+    assert kept == want and len(want) < len(rows) - 140
