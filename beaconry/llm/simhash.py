@@ -342,6 +342,12 @@ def sketch(rows: np.ndarray) -> bytes:
     return np.unique(rows.view(">u8").ravel().astype(np.uint64))[:SKETCH].tobytes()
 
 
+def node_of(rows: np.ndarray, fp: int) -> int:
+    """Hash of a fingerprint and the whole set of distinct shingle hashes, a signed number."""
+    whole = np.unique(rows.view(">u8").ravel().astype(np.uint64)).tobytes()
+    return int.from_bytes(xxhash.xxh64_digest(whole, fp % (1 << BITS)), "big", signed=True)
+
+
 def similarity(a: bytes, b: bytes) -> float:
     """Jaccard similarity of two shingle sets, estimated from their smallest hashes;
     exact for sets that the sketches hold whole. Two empty sets are alike."""
@@ -353,9 +359,9 @@ def similarity(a: bytes, b: bytes) -> float:
 
 
 def similar_edges(edges: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
-    """The edges whose ends have similar shingle sets. sketches: ``(fp, sketch)``."""
-    one = sketches.select(F.col("fp").alias("a"), F.col("sketch").alias("x"))
-    two = sketches.select(F.col("fp").alias("b"), F.col("sketch").alias("y"))
+    """The edges whose ends have similar shingle sets. sketches: ``(node, sketch)``."""
+    one = sketches.select(F.col("node").alias("a"), F.col("sketch").alias("x"))
+    two = sketches.select(F.col("node").alias("b"), F.col("sketch").alias("y"))
     both = edges.join(one, "a").join(two, "b").select("a", "b", "x", "y")
 
     def run(batches):
@@ -437,12 +443,26 @@ def dense_links(dense: DataFrame, distance: int, least: float, block: int = SHAR
 
 
 def similar_links(classes: DataFrame, distance: int, least: float) -> DataFrame:
-    """``(a, b)`` edges that connect all ``(fp, sketch)`` rows within ``distance`` bits
-    whose sketches are similar; fp is unique."""
-    found = link_fingerprints(classes.select("fp"), distance, most=NEAR).checkpoint()
-    sparse = similar_edges(found.filter("a <> b"), classes.select("fp", "sketch"), least)
-    crowd = found.filter("a = b").select(F.col("a").alias("fp")).join(classes, "fp")
-    return sparse.unionByName(dense_links(crowd.select(F.col("fp").alias("node"), "fp", "sketch"), distance, least))
+    """``(a, b)`` edges that connect all ``(node, fp, sketch)`` rows within ``distance``
+    bits whose sketches are similar; node is unique.
+
+    Few nodes of linked fingerprints are paired out; a fingerprint of more than NEAR
+    nodes and its neighbours count as dense.
+    """
+    prints = classes.groupBy("fp").count()
+    found = link_fingerprints(prints.select("fp"), distance, most=NEAR).checkpoint()
+    crowded = prints.filter(F.col("count") > NEAR).select("fp", F.lit(True).alias("_many"))
+    ends = (found.filter("a <> b").join(crowded.toDF("a", "_a"), "a", "left").join(crowded.toDF("b", "_b"), "b", "left")
+            .withColumn("many", F.coalesce("_a", "_b", F.lit(False))).select("a", "b", "many"))
+    own = prints.filter(F.col("count").between(2, NEAR)).select(F.col("fp").alias("a"), F.col("fp").alias("b"))
+    named = classes.select("node", "fp")
+    pairs = (ends.filter("NOT many").select("a", "b").unionByName(own)
+             .join(named.toDF("x", "a"), "a").join(named.toDF("y", "b"), "b")
+             .filter("a <> b OR x < y").select(F.col("x").alias("a"), F.col("y").alias("b")))
+    dense = (found.filter("a = b").select("a").union(crowded.select("fp"))
+             .union(ends.filter("many").select(F.explode(F.array("a", "b")))).distinct().toDF("fp"))
+    sparse = similar_edges(pairs, classes.select("node", "sketch"), least)
+    return sparse.unionByName(dense_links(classes.join(dense, "fp"), distance, least))
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
@@ -451,9 +471,9 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
 
     Texts link when their fingerprints differ in at most ``distance`` bits and their
     word shingles have a Jaccard similarity of ``least`` or more, estimated from the
-    smallest SKETCH hashes. Texts of equal fingerprint are one group. The row with
-    the smallest id stays (null ids last, then by text hash). Texts without words
-    are one group; an empty table gives no rows.
+    smallest SKETCH hashes. Only texts of equal fingerprint and shingle set are one
+    group unchecked. The row with the smallest id stays (null ids last, then by text
+    hash). Texts without words are one group; an empty table gives no rows.
     """
     shared_root(df.sparkSession)
     text = F.col(f"`{text_col}`").cast("string")
@@ -462,14 +482,16 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
 
     def work(keys, ids, texts):
         hashed = [shingle_bytes(t, words) for t in texts]
-        return keys, ids, [majority(h) for h in hashed], [sketch(h) for h in hashed]
+        prints = [majority(h) for h in hashed]
+        return keys, ids, [node_of(h, f) for h, f in zip(hashed, prints)], prints, [sketch(h) for h in hashed]
 
-    prints = map_rows(keyed, work, "text_key long, doc_id long, fp long, sketch binary").checkpoint()
+    prints = map_rows(keyed, work, "text_key long, doc_id long, node long, fp long, sketch binary").checkpoint()
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
-    classes = prints.groupBy("fp").agg(F.min(first).alias("first"), F.min("sketch").alias("sketch")).checkpoint()
+    classes = (prints.groupBy("node").agg(F.min(first).alias("first"), F.min("fp").alias("fp"),
+                                          F.min("sketch").alias("sketch")).checkpoint())
     roots = components(similar_links(classes, distance, least))
-    kept = (classes.join(roots, classes["fp"] == roots["node"], "left")
-            .groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+    kept = (classes.join(roots, "node", "left")
+            .groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
             .select(F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key")))
     # A repeated row has the same id and text as the one that stays: number them.
     turn = W.partitionBy("_own", "_hash").orderBy("_own")

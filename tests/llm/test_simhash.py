@@ -152,3 +152,14 @@ def test_similar_pairs_in_a_template_cluster(spark):
                 union.join(i, j)
     want = {i for i in range(len(rows)) if union.find(i) == i}
     assert kept == want and len(want) < len(rows) - 140
+
+
+def test_a_repeated_line_does_not_merge_texts(spark):
+    """One line sets all bits of the fingerprint; the rest says which texts are alike."""
+    rng = random.Random(17)
+    line = " ".join(f"line{i}" for i in range(7))
+    rest = [[f"own{rng.getrandbits(40)}" for _ in range(400)] for _ in range(60)]
+    rest += [[*r[:-1], "changed"] for r in rest[:20]]
+    texts = [" ".join([line] * 80 + r) for r in rest]
+    assert len({s.fingerprint(t, 5) for t in texts}) < 10
+    assert sorted(r["doc_id"] for r in s.keep_one(docs(spark, texts)).select("doc_id").collect()) == list(range(60))
