@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconry.llm import byte_bpe, embedding_dedup, language_id, mixing, phrases, secrets, sharding, simhash, substring_dedup, token_counts
-from beaconry.llm.common import documents
+from beaconry.llm import (alignment, byte_bpe, conversation_repair, embedding_dedup, language_id, mixing, packing, phrases, secrets,
+                          sharding, simhash, substring_dedup, token_counts)
+from beaconry.llm.common import documents, small_batches
 from beaconry.session import shared_root
 
 ORACLES: dict[str, str] = {}
@@ -114,6 +115,22 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
                          "component_id")
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_corpus(documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"),
+                                  public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=2,
+                        with_ids=False)
+
+
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    small_batches(spark)
+    damaged = conversation_repair.damage(spark.read.parquet(f"{folder}/conversations.parquet"))
+    return conversation_repair.repair(damaged)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_substring_dedup": op2_substring_dedup,
@@ -125,4 +142,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_simhash": op10_simhash,
+    "op11_alignment": op11_alignment,
+    "op12_packing": op12_packing,
+    "op13_conversation_repair": op13_conversation_repair,
 }
