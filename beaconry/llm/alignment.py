@@ -20,7 +20,6 @@ from __future__ import annotations
 import functools
 import hashlib
 import itertools
-import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,11 +28,9 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
-from beaconry.llm.byte_bpe import byte_table
 from beaconry.llm.common import Memo, keyed_texts, map_rows
-from beaconry.llm.words import parts
+from beaconry.llm.words import byte_coder, parts
 from beaconry.session import scratch_path
 
 SPACE = "▁"
@@ -41,8 +38,8 @@ SPACE = "▁"
 B_BITS = 24
 #: Most pair counts that are broadcast: 65,536 of 17 bytes.
 HOT = 1 << 16
-#: Entries of the per-task cache, and the longest part it holds.
-CACHED, CACHED_CHARS = 100_000, 48
+#: Entries of the cache that a worker keeps from task to task, and the longest part it holds.
+CACHED, CACHED_CHARS = 300_000, 48
 #: Entries of a product that are held at a time.
 BLOCK = 1 << 20
 
@@ -140,52 +137,48 @@ class Blocks:
         """How many such links each A token has; a token lies in one group, so terms are links."""
         return product_sizes(*self._by_group())
 
-    def group_strings(self) -> list[str]:
-        """``a1,a2|b1`` of every group."""
-        a, b = list(map(str, self.a_ids.tolist())), list(map(str, self.b_ids.tolist()))
+    def group_strings(self, a_name: list[str], b_name: list[str]) -> list[str]:
+        """``a1,a2|b1`` of every group, with the names of the ids."""
+        a, b = [a_name[i] for i in self.a_ids.tolist()], [b_name[i] for i in self.b_ids.tolist()]
         a_at = np.searchsorted(self.a_group, np.arange(self.groups + 1)).tolist()
         b_at = np.searchsorted(self.b_group, np.arange(self.groups + 1)).tolist()
-        return [f"{','.join(a[a_at[g]:a_at[g + 1]])}|{','.join(b[b_at[g]:b_at[g + 1]])}"
-                for g in range(self.groups)]
+        return [f"{a[i] if j == i + 1 else ','.join(a[i:j])}|{b[k] if n == k + 1 else ','.join(b[k:n])}"
+                for i, j, k, n in zip(a_at, a_at[1:], b_at, b_at[1:])]
 
 
 class Aligner:
     """Byte-level BPE of a tokenizer file (A) beside a piece model (B)."""
 
     def __init__(self, a_path: str, b_path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.a = Tokenizer.from_file(a_path)
-        self.a.no_truncation()
-        self.a.no_padding()
-        self.a.encode_special_tokens = True
+        self.a = byte_coder(a_path, plain=True)
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         if self.b.encode("A  b", out_type=str) != self.b.encode("A", out_type=str) + [SPACE, SPACE + "b"]:
             raise ValueError("only piece models that keep white space and put one space before a text are aligned")
-        back = {c: b for b, c in enumerate(byte_table())}
-        vocabulary = self.a.get_vocab(with_added_tokens=False)
-        self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
-        for token, i in vocabulary.items():
-            self.a_bytes[i] = bytes([back[c] for c in token]) if back.keys() >= set(token) else token.encode()
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode()
-                        for i, p in ((i, self.b.id_to_piece(i)) for i in range(self.b.get_piece_size()))]
-        if any(SPACE in self.b.id_to_piece(i).lstrip(SPACE) for i in range(self.b.get_piece_size())):
+        names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        if any(SPACE in p.lstrip(SPACE) for p in names):
             raise ValueError("pieces that hold a space after another character are not supported")
-        self.a_len = np.array([len(x) for x in self.a_bytes], dtype=np.int64)
-        self.b_len = np.array([len(x) for x in self.b_bytes], dtype=np.int64)
+        if not any(map(self.b.is_byte, range(len(names)))):
+            raise ValueError("only piece models that fall back to bytes are aligned")
+        self.b_len = np.array([1 if self.b.is_byte(i) else len(p.replace(SPACE, " ").encode())
+                               for i, p in enumerate(names)], dtype=np.int64)
+        self.a_len = np.zeros(max(self.a.tokens) + 1, dtype=np.int64)
+        self.a_len[list(self.a.tokens)] = list(map(len, self.a.tokens.values()))
+        self.a_name, self.b_name = (list(map(str, range(len(x)))) for x in (self.a_len, self.b_len))
         self.memo = Memo(CACHED)
 
     def tokens(self, texts: list[str]) -> list[tuple[list[int], list[int]] | None]:
         """Ids of both sides for each text that is not empty; none where their bytes
-        are not those of space and text."""
-        a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+        are not those of space and text.
+
+        A gives every byte back. B does so but for its sign of a space, which has three
+        bytes in a text and one as a token: their bytes agree if their number does.
+        """
+        a = self.a.encode([" " + t for t in texts])
         b = self.b.encode(texts, num_threads=1) if texts else []
-        out = []
-        for text, ea, eb in zip(texts, a, b):
-            whole = (" " + text).encode("utf-8", "surrogatepass")
-            same = (b"".join([self.a_bytes[i] for i in ea.ids]) == whole
-                    == b"".join([self.b_bytes[i] for i in eb]))
-            out.append((ea.ids, eb) if same else None)
-        return out
+        sizes = [np.bincount(np.repeat(np.arange(len(texts)), list(map(len, ids))), minlength=len(texts),
+                             weights=length[np.fromiter(itertools.chain.from_iterable(ids), np.int64)])
+                 for ids, length in ((a, self.a_len), (b, self.b_len))]
+        return [x if n == m else None for x, n, m in zip(zip(a, b), *sizes)]
 
     def blocks(self, tokens: list[tuple[list[int], list[int]]]) -> Blocks:
         a_ids = np.fromiter(itertools.chain.from_iterable(t[0] for t in tokens), np.int64)
@@ -205,7 +198,7 @@ class Aligner:
         pairs = (x.a_ids[a] << B_BITS | x.b_ids[b]).astype("<i8")
         of = x.a_text[a]
         at = np.searchsorted(of, np.arange(len(good) + 1)).tolist()
-        groups, g_at = x.group_strings(), np.searchsorted(x.group_text, np.arange(len(good) + 1)).tolist()
+        groups, g_at = x.group_strings(self.a_name, self.b_name), np.searchsorted(x.group_text, np.arange(len(good) + 1)).tolist()
         shared = np.bincount(x.a_text, weights=x.group_link_counts(), minlength=len(good)).astype(np.int64).tolist()
         found = iter([(pairs[at[k]:at[k + 1]].tobytes(), ";".join(groups[g_at[k]:g_at[k + 1]]), len(ids_a), len(ids_b),
                        g_at[k + 1] - g_at[k], at[k + 1] - at[k], shared[k]) for k, (ids_a, ids_b) in enumerate(good)])

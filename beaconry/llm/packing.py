@@ -14,8 +14,8 @@ from __future__ import annotations
 
 import functools
 import itertools
-import os
 import zlib
+from array import array
 from collections import deque
 from collections.abc import Iterator
 
@@ -24,13 +24,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from beaconry.llm.common import SLICE_ROWS, Memo, keyed_texts
-from beaconry.llm.words import parts
+from beaconry.llm.words import byte_coder, parts
 from beaconry.session import scratch_path
 
-#: Entries of the per-task cache, and the longest part it holds.
+#: Entries of the cache, and the longest part it holds.
 CACHED, CACHED_CHARS = 300_000, 48
 RUN_COLUMNS = ("length", "rank", "items", "bin", "per_bin", "offset")
 
@@ -122,27 +121,21 @@ def place(runs: np.ndarray, length: np.ndarray, rank: np.ndarray) -> tuple[np.nd
 
 
 class TextCoder:
-    """Ids of whole texts by the tokenizers library, each distinct part coded once.
+    """Ids of whole texts by a byte-level tokenizer file, each distinct part coded once.
 
-    Strings of added tokens in a text are treated as the library does by default.
+    Strings of added tokens in a text are treated as the library does by default. A
+    worker keeps the cache from task to task; it is of fixed size.
     """
 
     def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        added = self.tokenizer.get_added_tokens_decoder().values()
-        if any(" " in t.content or t.lstrip or t.rstrip or t.single_word for t in added):
-            raise ValueError("added tokens that touch spaces are not supported")
+        self.coder = byte_coder(path, plain=False)
         self.first, self.inner = Memo(CACHED // 8), Memo(CACHED)
 
     def _learn(self, memo: Memo, wanted: set[str], lead: str) -> dict[str, bytes]:
         """Codes new parts; those too long for the cache are returned."""
         new, long = [p for p in wanted if p not in memo], {}
-        found = self.tokenizer.encode_batch_fast([lead + p for p in new], add_special_tokens=False)
-        for part, e in zip(new, found):
-            (memo if len(part) <= CACHED_CHARS else long)[part] = np.array(e.ids, dtype="<u4").tobytes()
+        for part, ids in zip(new, self.coder.encode([lead + p for p in new])):
+            (memo if len(part) <= CACHED_CHARS else long)[part] = array("I", ids).tobytes()
         return long
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -157,10 +150,6 @@ class TextCoder:
                        for m, x in zip((self.first, self.inner), long))
         return [b"".join([first(row[0]), *map(rest, row[1:])]) if row else b"" for row in rows]
 
-    def clear(self) -> None:
-        self.first.clear()
-        self.inner.clear()
-
 
 @functools.lru_cache(maxsize=2)
 def coder(path: str) -> TextCoder:
@@ -203,7 +192,6 @@ def pieces(df: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: int
                         start = stop
                 columns = zip(*rows) if rows else [[]] * len(schema)
                 yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(columns, schema)], schema=schema)
-        model.clear()
         pa.default_memory_pool().release_unused()
 
     kinds = {pa.int64(): "long", pa.int32(): "int"}

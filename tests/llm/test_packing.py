@@ -7,7 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from beaconry.llm import packing as p
-from beaconry.llm.words import parts
+from beaconry.llm.words import byte_coder, parts
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -79,6 +79,16 @@ def test_random_strings(library):
     assert all("".join(" " + x for x in parts(t))[1:] == t and "" not in parts(t) for t in texts if t)
 
 
+def test_words_of_the_table(data, library):
+    """The faster library gives the ids of the one the file is made for."""
+    import pyarrow.parquet as pq
+
+    words = {w for t in pq.read_table(f"{data}/documents.parquet").column("text").to_pylist() if t for w in parts(t)}
+    words = sorted(words)
+    model = byte_coder(PATH, False)
+    assert model.fast and model.encode(words) == [e.ids for e in library.encode_batch(words, add_special_tokens=False)]
+
+
 def check(docs, library, capacity):
     got = p.pack(docs, PATH, capacity).collect()
     ids_of = {}
