@@ -12,8 +12,7 @@ decreasing over the single documents.
 
 from __future__ import annotations
 
-import functools
-import itertools
+import sys
 import zlib
 from array import array
 from collections import deque
@@ -25,12 +24,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from beaconry.llm.common import SLICE_ROWS, Memo, keyed_texts
-from beaconry.llm.words import byte_coder, parts
+from beaconry.llm.common import SLICE_ROWS, keyed_texts
+from beaconry.llm.words import byte_coder
 from beaconry.session import scratch_path
 
-#: Entries of the cache, and the longest part it holds.
-CACHED, CACHED_CHARS = 300_000, 48
 RUN_COLUMNS = ("length", "rank", "items", "bin", "per_bin", "offset")
 
 
@@ -120,40 +117,13 @@ def place(runs: np.ndarray, length: np.ndarray, rank: np.ndarray) -> tuple[np.nd
     return first + turn // per_bin, offset + turn % per_bin * length
 
 
-class TextCoder:
-    """Ids of whole texts by a byte-level tokenizer file, each distinct part coded once.
+def packed_ids(texts: list[str | None], path: str) -> list[bytes]:
+    """Ids of each text as packed little-endian 32-bit integers; none for null and empty ones.
 
-    Strings of added tokens in a text are treated as the library does by default. A
-    worker keeps the cache from task to task; it is of fixed size.
+    Strings of added tokens in a text are treated as the library does by default.
     """
-
-    def __init__(self, path: str):
-        self.coder = byte_coder(path, plain=False)
-        self.first, self.inner = Memo(CACHED // 8), Memo(CACHED)
-
-    def _learn(self, memo: Memo, wanted: set[str], lead: str) -> dict[str, bytes]:
-        """Codes new parts; those too long for the cache are returned."""
-        new, long = [p for p in wanted if p not in memo], {}
-        for part, ids in zip(new, self.coder.encode([lead + p for p in new])):
-            (memo if len(part) <= CACHED_CHARS else long)[part] = array("I", ids).tobytes()
-        return long
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text, as packed little-endian 32-bit integers."""
-        self.first.room()
-        self.inner.room()
-        rows = [parts(t) if t else [] for t in texts]
-        heads = {row[0] for row in rows if row}
-        inner = set(itertools.chain.from_iterable([row[1:] for row in rows]))
-        long = (self._learn(self.first, heads, ""), self._learn(self.inner, inner, " "))
-        first, rest = ((lambda p, m=m, x=x: m[p] if p in m else x[p]) if x else m.__getitem__
-                       for m, x in zip((self.first, self.inner), long))
-        return [b"".join([first(row[0]), *map(rest, row[1:])]) if row else b"" for row in rows]
-
-
-@functools.lru_cache(maxsize=2)
-def coder(path: str) -> TextCoder:
-    return TextCoder(path)
+    found = byte_coder(path, plain=False).encode([t or "" for t in texts])
+    return [np.array(ids, dtype="<u4").tobytes() if sys.byteorder == "big" else array("I", ids).tobytes() for ids in found]
 
 
 def cuts(n: int, capacity: int) -> list[int]:
@@ -174,13 +144,13 @@ def pieces(df: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: int
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, task = coder(tokenizer_path), TaskContext.get().partitionId()
+        task = TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(at, SLICE_ROWS)
                 rows = []
-                for doc, ids in zip(part.column(0).to_pylist(), model.encode(part.column(1).to_pylist())):
+                for doc, ids in zip(part.column(0).to_pylist(), packed_ids(part.column(1).to_pylist(), tokenizer_path)):
                     ids += end
                     start = 0
                     for k, stop in enumerate(cuts(len(ids) // 4, capacity)):

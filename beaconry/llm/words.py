@@ -20,8 +20,10 @@ CUT = re.compile(f"(?<=[^{WHITE}]) (?=[^{WHITE}])")
 EDGE = re.compile(f"[{WHITE}]")
 #: The split of byte-level vocabularies of this kind, as the tokenizers library has it built in.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: From here on libraries may hold different versions of the character tables.
-SETTLED = "\u0250"
+#: What the faster library does not get: characters whose class may differ between the
+#: libraries' tables, and long runs, on which its work grows with the square.
+UNSETTLED = re.compile("[\u0250-\U0010ffff]")
+LONG = 400
 
 
 def parts(text: str) -> list[str]:
@@ -40,7 +42,7 @@ def parts(text: str) -> list[str]:
 class ByteCoder:
     """Ids that a byte-level tokenizer file gives, without added special tokens.
 
-    Where the file's merges are in the order of their tokens' ids, parts of settled
+    Where the file's merges are in the order of their tokens' ids, texts of settled
     characters are coded by the faster of two libraries, to the same ids; all others
     by the one the file is made for. ``plain`` makes strings of added tokens ordinary text.
     """
@@ -72,10 +74,11 @@ class ByteCoder:
         """Ids of each text."""
         out, slow = [None] * len(texts), []
         for k, t in enumerate(texts):
-            if not self.fast or not t.isascii() and max(t) >= SETTLED or self.added and any(a in t for a in self.added):
-                slow.append(k)
-            else:
+            if (self.fast and (t.isascii() or not UNSETTLED.search(t)) and not any(a in t for a in self.added)
+                    and (len(t) < LONG or " " * LONG not in t and max(map(len, t.split(" "))) < LONG)):
                 out[k] = self.fast.encode_ordinary(t)
+            else:
+                slow.append(k)
         for k, e in zip(slow, self.library.encode_batch_fast([texts[k] for k in slow], add_special_tokens=False)):
             out[k] = e.ids
         return out

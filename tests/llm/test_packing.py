@@ -74,7 +74,7 @@ def test_random_strings(library):
             "\xa0", "<|endoftext|>", "1", "=", "​", "　", "\x1c", "\x00", "᠎", "﻿", "<|endoftext"]
     texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
     texts += ["a" * 4000, " " * 500, "", None, "word " * 3000]
-    for text, packed in zip(texts, p.coder(PATH).encode(texts)):
+    for text, packed in zip(texts, p.packed_ids(texts, PATH)):
         assert np.frombuffer(packed, "<u4").tolist() == library.encode(text or "", add_special_tokens=False).ids
     assert all("".join(" " + x for x in parts(t))[1:] == t and "" not in parts(t) for t in texts if t)
 
