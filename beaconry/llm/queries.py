@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from beaconry.llm import (alignment, byte_bpe, conversation_repair, embedding_dedup, language_id, mixing, packing, phrases, secrets,
                           sharding, simhash, substring_dedup, token_counts)
 from beaconry.llm.common import documents, small_batches
-from beaconry.session import shared_root
 
 ORACLES: dict[str, str] = {}
 
@@ -60,11 +59,9 @@ FROM root LEFT JOIN n USING (vec_id)
 
 def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
-    shared_root(spark)
-    model = language_id.learn(docs.filter(language_id.fold_of("doc_id") != 2))
-    return language_id.identify(docs.select("doc_id", "text"), model).select(
-        F.col("id").alias("doc_id"), (language_id.fold_of("id") == 2).alias("held_out"),
-        "lang_pred", "score", "cost", "accepted")
+    got = language_id.learn_and_identify(docs, language_id.fold_of("doc_id") != 2)
+    return got.select(F.col("id").alias("doc_id"), (language_id.fold_of("id") == 2).alias("held_out"),
+                      "lang_pred", "score", "cost", "accepted")
 
 
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
