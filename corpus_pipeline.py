@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from beaconry.llm import byte_bpe, language_id, mixing, secrets, simhash
 from beaconry.llm.common import small_batches
-from beaconry.session import scratch_path, shared_root
+from beaconry.session import scratch_path
 
 #: No SQL: trained models, hashed fingerprints, random draws and tokenizers.
 ORACLE_SQL = None
@@ -29,8 +29,7 @@ def bounded(stage):
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the language models reject; models learn from the labelled ones."""
-    shared_root(spark)
-    return language_id.accepted(docs, language_id.learn(docs))
+    return language_id.learn_and_accept(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
