@@ -5,8 +5,11 @@ Every fit runs as Spark jobs; only parameters and metrics reach the driver.
 
 from __future__ import annotations
 
+import itertools
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
@@ -14,12 +17,12 @@ from pyspark.ml.feature import (IDF, BucketedRandomProjectionLSH, HashingTF, One
                                 StringIndexer, VectorAssembler)
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from beaconry.operators.ordering import global_row_number
+from beaconry.operators.trees import staged_scores
 from beaconry.session import values
 from beaconry.sources.tables import append_rows
 
@@ -78,23 +81,43 @@ def candidate_runs(train: DataFrame, valid: DataFrame, label: str,
                   "run_name, n_trees, max_depth, learning_rate, val_auc, val_f1, is_best")
 
 
-def grid_search(train: DataFrame, label: str, grid: dict[str, list], folds: int = 3,
-                parallelism: int = 4) -> tuple[Model, DataFrame]:
-    """Cross-validated grid on F1; folds and fits stay on the cluster."""
-    stages = boosted_stages(label)
-    gbt = stages.getStages()[-1]
-    names = {"n_trees": gbt.maxIter, "max_depth": gbt.maxDepth, "learning_rate": gbt.stepSize}
-    builder = ParamGridBuilder()
-    for name, options in grid.items():
-        builder = builder.addGrid(names[name], options)
-    maps = builder.build()
-    f1 = MulticlassClassificationEvaluator(labelCol=label, metricName="fMeasureByLabel", metricLabel=1.0)
-    cv = CrossValidator(estimator=stages, estimatorParamMaps=maps, evaluator=f1, numFolds=folds,
-                        parallelism=parallelism, seed=42).fit(train)
-    best = cv.avgMetrics.index(max(cv.avgMetrics))  # the one that was refitted
-    rows = [tuple(m[names[n]] for n in grid) + (float(v), i == best)
-            for i, (m, v) in enumerate(zip(maps, cv.avgMetrics))]
-    return cv.bestModel, values(train.sparkSession, rows, ", ".join([*grid, "f1", "is_best"]))
+def stage_quality(scored: DataFrame, label: str, keys: list[str]) -> DataFrame:
+    """F1 of the positive class per ``keys`` at a probability above one half."""
+    hit = (F.col("p") > 0.5).cast("int")
+    actual = F.col(label).cast("int")
+    return (scored.groupBy(*keys).agg(F.sum(hit * actual).alias("tp"), F.sum(hit + actual).alias("both"))
+            .select(*keys, F.when(F.col("both") > 0, 2 * F.col("tp") / F.col("both")).otherwise(0.0).alias("f1")))
+
+
+def grid_search(train: DataFrame, label: str, grid: dict[str, list], folds: int = 3, parallelism: int = 4,
+                key: str = "c_custkey", features: list[str] = FEATURES) -> tuple[Model, DataFrame]:
+    """Cross-validated grid on F1: the best model refitted on all rows, and one row per point.
+
+    Boosting adds trees one by one, so one fit with the largest ``n_trees`` holds the
+    models of all smaller numbers: each fold fits once per other setting and is
+    scored after every number of trees. Folds are a hash of ``key``.
+    """
+    settings = [dict(zip(("max_depth", "learning_rate"), s)) for s in itertools.product(grid["max_depth"], grid["learning_rate"])]
+    stages = sorted(grid["n_trees"])
+    marked = train.withColumn("_fold", F.pmod(F.xxhash64(F.col(key), F.lit("fold")), F.lit(folds)))
+
+    def fit(job: tuple[int, dict]) -> list[tuple]:
+        fold, setting = job
+        model = boosted_stages(label, features, n_trees=stages[-1], **setting).fit(marked.filter(F.col("_fold") != fold))
+        scored = staged_scores(model, marked.filter(F.col("_fold") == fold), [label], features, stages)
+        return [(r["n_trees"], *setting.values(), r["f1"]) for r in stage_quality(scored, label, ["n_trees"]).collect()]
+
+    jobs = [(fold, setting) for setting in settings for fold in range(folds)]
+    with ThreadPoolExecutor(parallelism) as pool:
+        got = [row for rows in pool.map(inheritable_thread_target(train.sparkSession)(fit), jobs) for row in rows]
+    points: dict[tuple, list[float]] = {}
+    for *point, f1 in got:
+        points.setdefault(tuple(point), []).append(f1)
+    mean = {p: sum(v) / folds for p, v in sorted(points.items())}
+    best = max(mean, key=mean.get)
+    rows = [(*p, f1, p == best) for p, f1 in mean.items()]
+    refitted = boosted_stages(label, features, **dict(zip(("n_trees", "max_depth", "learning_rate"), best))).fit(train)
+    return refitted, values(train.sparkSession, rows, "n_trees, max_depth, learning_rate, f1, is_best")
 
 
 def feature_importance(model: PipelineModel, spark: SparkSession, features: list[str] = FEATURES) -> DataFrame:

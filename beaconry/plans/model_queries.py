@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from beaconry.functions.dates import ntz
 from beaconry.functions.sampling import split_train_valid
 from beaconry.functions.text import extract_fields, tokens
-from beaconry.operators import ml
+from beaconry.operators import ml, trees
 from beaconry.operators import monitor as mon
 from beaconry.plans import models as md
 from beaconry.plans.feature_queries import training
@@ -101,12 +103,30 @@ def model_candidate_runs(t):
                     (F.max("val_auc") == F.max(F.when(F.col("is_best"), F.col("val_auc")))).alias("best_has_top_auc"))
 
 
+@query("model_run_rows", "M3 M5")
+def model_run_rows(t):
+    """The candidate runs themselves."""
+    return chain(t)["runs"]
+
+
+def grid_points(t: Tables) -> DataFrame:
+    held = chain(t)
+    if "grid" not in held:
+        held["grid"] = ml.grid_search(held["train"], LABEL, GRID)[1]
+    return held["grid"]
+
+
+@query("model_grid_points", "M4")
+def model_grid_points(t):
+    """Every point of the grid with its mean F1."""
+    return grid_points(t)
+
+
 @query("model_grid_search", "M4", """
 SELECT 8::BIGINT AS points, 1::BIGINT AS best_points, true AS best_has_top_f1""")
 def model_grid_search(t):
     """2 × 2 × 2 points, three folds, F1; folds and fits stay on the cluster."""
-    _, runs = ml.grid_search(chain(t)["train"], LABEL, GRID)
-    return runs.agg(F.count("*").alias("points"), F.count_if("is_best").alias("best_points"),
+    return grid_points(t).agg(F.count("*").alias("points"), F.count_if("is_best").alias("best_points"),
                     (F.max("f1") == F.max(F.when(F.col("is_best"), F.col("f1")))).alias("best_has_top_f1"))
 
 
@@ -127,8 +147,21 @@ def model_version_scores(t):
 
 @query("model_tree_attribution", "M8")
 def model_tree_attribution(t):
-    held = chain(t)
-    return ml.sampled_attribution(default_model(t), held["valid"], held["train"], "c_custkey", ml.FEATURES)
+    """Exact Shapley values of every validation row's log-odds."""
+    return trees.attribution(default_model(t), chain(t)["valid"], "c_custkey", ml.FEATURES)
+
+
+@query("model_staged_quality", "M2 M3 M5")
+def model_staged_quality(t):
+    """Validation AUC and F1 of the registered version after each fifth of its trees."""
+    model = default_model(t)
+    n = model.stages[-1].getNumTrees
+    scored = trees.staged_scores(model, chain(t)["valid"], ["c_custkey", LABEL], ml.FEATURES,
+                                 sorted({max(1, n * k // 5) for k in range(1, 6)}))
+    scored = replace_table(scored, scratch_path(t.spark, "staged"))
+    stages = [r[0] for r in scored.select("n_trees").distinct().orderBy("n_trees").collect()]
+    areas = [mon.auc(scored.filter(F.col("n_trees") == n), LABEL, "p").withColumn("n_trees", F.lit(n)) for n in stages]
+    return functools.reduce(DataFrame.unionByName, areas).join(ml.stage_quality(scored, LABEL, ["n_trees"]), "n_trees")
 
 
 def refresh_job(t: Tables, root: str) -> dict[str, DataFrame]:

@@ -1,7 +1,11 @@
+import itertools
+import math
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from beaconry.operators import ml
+from beaconry.operators import ml, trees
 from beaconry.plans import model_queries as mq
 from beaconry.session import Tables, scratch_path
 
@@ -89,3 +93,88 @@ def test_refresh_job(spark, base):
     assert out["log"].agg(F.min("scored_at")).first()[0] > out["baseline"].agg(F.max("scored_at")).first()[0]
     assert out["drift"].filter("difference_of_means <> 0").count() > 0
     assert out["quality"].count() == 7
+
+
+def plain_value(e, node, row, known):
+    """Mean prediction below a node when only ``known`` features are known."""
+    f = int(e.feature[node])
+    if f < 0:
+        return e.value[node]
+    left, right = e.left[node], e.right[node]
+    if f in known:
+        return plain_value(e, left if row[f] <= e.threshold[node] else right, row, known)
+    share = e.cover[left] / e.cover[node]
+    return share * plain_value(e, left, row, known) + (1 - share) * plain_value(e, right, row, known)
+
+
+def plain_shapley(e, row):
+    """Shapley values over all feature subsets."""
+    d = len(e.features)
+
+    def pays(known):
+        return sum(w * plain_value(e, r, row, known) for w, r in zip(e.weight, e.root))
+
+    game = {s: pays(set(s)) for n in range(d + 1) for s in itertools.combinations(range(d), n)}
+    out = np.zeros(d)
+    for i in range(d):
+        for s, paid in game.items():
+            if i not in s:
+                weight = math.factorial(len(s)) * math.factorial(d - 1 - len(s)) / math.factorial(d)
+                out[i] += weight * (game[tuple(sorted({*s, i}))] - paid)
+    return out
+
+
+def test_exact_attribution_equals_all_subsets(spark, base):
+    few = ml.FEATURES[:5]
+    train, valid = mq.split(base)
+    model = ml.boosted_stages(mq.LABEL, few, n_trees=4, max_depth=5).fit(train)
+    e = trees.ensemble(model, spark, few)
+    rows = valid.select(*[F.col(f).cast("double") for f in few]).limit(12).collect()
+    x = np.array([list(r) for r in rows])
+    x[0, 2] = np.nan
+    got = e.attribution(x)
+    for row, phi in zip(x, got):
+        assert np.allclose(plain_shapley(e, row), phi, atol=1e-12)
+    assert abs(plain_value_all(e) - e.expected) < 1e-12
+
+
+def plain_value_all(e):
+    return sum(w * plain_value(e, r, None, set()) for w, r in zip(e.weight, e.root))
+
+
+def test_exact_attribution_adds_up(spark, base, model):
+    _, valid = mq.split(base)
+    mean = 2 * trees.ensemble(model, spark, ml.FEATURES).expected
+    phi = trees.attribution(model, valid, "c_custkey", ml.FEATURES)
+    total = {r["c_custkey"]: (r["s"], r["n"]) for r in
+             phi.groupBy("c_custkey").agg(F.sum("phi").alias("s"), F.count("*").alias("n")).collect()}
+    for r in ml.score(model, valid, "c_custkey").collect():
+        s, n = total[r["c_custkey"]]
+        assert n == len(ml.FEATURES) and abs(s - (math.log(r["pred_lapse"] / (1 - r["pred_lapse"])) - mean)) < 1e-9
+    assert phi.count() == len(ml.FEATURES) * valid.count()
+    assert trees.attribution(model, valid.limit(0), "c_custkey", ml.FEATURES).count() == 0
+
+
+def test_stages_are_smaller_models(base):
+    train, valid = mq.split(base)
+    whole = ml.boosted_stages(mq.LABEL, n_trees=6, max_depth=3).fit(train)
+    small = ml.boosted_stages(mq.LABEL, n_trees=4, max_depth=3).fit(train)
+    got = {(r["c_custkey"], r["n_trees"]): r["p"] for r in
+           trees.staged_scores(whole, valid, ["c_custkey"], ml.FEATURES, [4, 6]).collect()}
+    for model, n in ((small, 4), (whole, 6)):
+        for r in ml.score(model, valid, "c_custkey").collect():
+            assert abs(got[r["c_custkey"], n] - r["pred_lapse"]) < 1e-12
+    with pytest.raises(ValueError, match="stages"):
+        trees.staged_scores(small, valid, ["c_custkey"], ml.FEATURES, [5])
+
+
+def test_grid_fits_once_per_other_setting(base, monkeypatch):
+    fits = []
+    plain = ml.boosted_stages
+    monkeypatch.setattr(ml, "boosted_stages", lambda *a, **k: fits.append(k) or plain(*a, **k))
+    best, points = ml.grid_search(mq.split(base)[0], mq.LABEL, {"n_trees": [2, 4], "max_depth": [2, 3], "learning_rate": [0.1]})
+    got = points.collect()
+    assert len(got) == 4 and len(fits) == 2 * 3 + 1
+    top = [r for r in got if r["is_best"]]
+    assert len(top) == 1 and top[0]["f1"] == max(r["f1"] for r in got)
+    assert best.stages[-1].getNumTrees == top[0]["n_trees"]
