@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beaconry.functions.text import once, tokens
-from beaconry.operators.ordering import global_row_number
+from beaconry.session import scratch_path
+from beaconry.sources.tables import replace_table
 
 K1, B = 1.2, 0.75  # usual BM25 constants
 RRF = 60           # usual rank-fusion constant
@@ -42,28 +43,22 @@ def matches(frame: DataFrame, filters: dict[str, str]) -> DataFrame:
 def term_counts(docs: DataFrame, key: str, text: str, terms: list[str], carry: list[str]) -> DataFrame:
     """One row per document: length and the count of every query term, in the row itself."""
     def times(term: str) -> Column:
-        return F.size(F.filter("_w", lambda w: w == term))
+        return F.size(F.filter("_m", lambda w: w == term))
 
     words = once(docs.select(key, text, *carry), "_w", tokens(F.col(text)))
-    return words.select(key, *carry, F.greatest(F.size("_w"), F.lit(0)).alias("_len"),
-                        *[times(q).alias(f"_tf{i}") for i, q in enumerate(terms)])
+    # The words of the query are few: one pass over all words, the counts over these.
+    found = once(words.select(key, *carry, F.greatest(F.size("_w"), F.lit(0)).alias("_len"), "_w"), "_m",
+                 F.filter("_w", lambda w: w.isin(terms)))
+    return found.select(key, *carry, "_len", *[times(q).alias(f"_tf{i}") for i, q in enumerate(terms)])
 
 
-def bm25_scores(docs: DataFrame, key: str, text: str, query: str, columns: list[str] = (),
-                filters: dict[str, str] | None = None) -> DataFrame:
-    """Documents with a positive BM25 score in ``keyword_score``.
-
-    Statistics come from the whole corpus, filters only limit the candidates.
-    No row is shuffled; the statistics are one row.
-    """
-    terms = query_terms(query)
-    carry = list(dict.fromkeys([*columns, *(filters or {})]))
-    counts = term_counts(docs, key, text, terms, carry)
+def scored_counts(counts: DataFrame, key: str, terms: list[str], carry: list[str], filters: dict[str, str]) -> DataFrame:
+    """BM25 of the rows of ``term_counts`` that hold a query term."""
     stats = counts.agg(F.struct(
         F.count("*").alias("n"), F.avg("_len").alias("mean"),
         *[F.count_if(F.col(f"_tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))])).scalar()
     hit = F.greatest(F.lit(0), *[F.col(f"_tf{i}") for i in range(len(terms))]) > 0
-    held = matches(counts, filters or {}).filter(hit).withColumn("_s", stats)
+    held = matches(counts, filters).filter(hit).withColumn("_s", stats)
     score = F.lit(0.0)
     for i in range(len(terms)):
         part = _saturated(F.col(f"_tf{i}"), F.col("_len"), F.col("_s.mean"))
@@ -71,6 +66,18 @@ def bm25_scores(docs: DataFrame, key: str, text: str, query: str, columns: list[
     return held.select(key, *carry, score.alias("keyword_score"))
 
 
+def bm25_scores(docs: DataFrame, key: str, text: str, query: str, columns: list[str] = (),
+                filters: dict[str, str] | None = None) -> DataFrame:
+    """Documents with a positive BM25 score in ``keyword_score``.
+
+    Statistics come from the whole corpus, filters only limit the candidates.
+    No row is shuffled; the statistics are one row.
+    """
+    terms = query_terms(query)
+    carry = list(dict.fromkeys([*columns, *(filters or {})]))
+    return scored_counts(term_counts(docs, key, text, terms, carry), key, terms, carry, filters or {})
+
+
 def keyword_search(docs: DataFrame, key: str, text: str, query: str, k: int, columns: list[str],
                    filters: dict[str, str] | None = None, digits: int = 6) -> DataFrame:
     hits = bm25_scores(docs, key, text, query, columns, filters).select(
@@ -134,26 +141,67 @@ def hybrid_search(docs: DataFrame, vectors: DataFrame, key: str, text: str, vect
 
     A document counts in each ranking it occurs in: one without a vector is found
     by its words, one without a query word by its vector. Filters limit both
-    rankings before they are numbered. Both are total orders over range slices,
-    so no list is cut short and no task sorts the corpus.
+    rankings before they are numbered. The texts are read once; what the rankings
+    need (a key and a number) is stored. See ``fused_top`` for the way to the top k.
     """
-    words = bm25_scores(docs, key, text, query, filters=filters).select(
-        key, F.round("keyword_score", 6).alias("_k"))
-    held = matches(docs, filters or {}).select(key)
+    spark, terms, filters = docs.sparkSession, query_terms(query), filters or {}
+    counts = replace_table(term_counts(docs, key, text, terms, list(filters)), scratch_path(spark, "term-counts"))
+    words = scored_counts(counts, key, terms, [], filters).select(key, F.round("keyword_score", 6).alias("_s"))
+    held = matches(counts, filters).select(key)
     near = vector_scores(vectors.select(key, vector).join(held, key), vector, query_vector).select(
-        key, F.round("vector_score", 6).alias("_v"))
-    by_word = global_row_number(words, [F.desc("_k"), F.col(key)], "keyword_rank").select(key, "keyword_rank")
-    by_vector = global_row_number(near, [F.desc("_v"), F.col(key)], "vector_rank").select(key, "vector_rank")
+        key, F.round("vector_score", 6).alias("_s"))
+    best = fused_top({"keyword_rank": words, "vector_rank": near}, key, k)
+    # The k hits fetch their columns at the end, so texts are never sorted.
+    return docs.select(key, *columns).join(F.broadcast(best), key).orderBy(F.desc("score"), key)
 
-    def part(rank: str) -> Column:
-        return F.coalesce(1 / (RRF + F.col(rank)), F.lit(0.0))
 
-    best = (by_word.join(by_vector, key, "full")
-            .select(key, "keyword_rank", "vector_rank",
-                    F.round(part("keyword_rank") + part("vector_rank"), 8).alias("score"))
-            .orderBy(F.desc("score"), key).limit(k))
-    # The k hits fetch their columns at the end, so texts are never sorted.
-    return docs.select(key, *columns).join(best, key).orderBy(F.desc("score"), key)
+def fused_top(rankings: dict[str, DataFrame], key: str, k: int) -> DataFrame:
+    """``(key, <a rank per ranking>, score)``: the top ``k`` by summed reciprocal ranks.
+
+    ``rankings`` hold ``(key, _s)``, best is the largest ``_s``, then the smallest key.
+    Threshold algorithm: the first ``depth`` of every ranking bound the score of all
+    others, since a rank that is not seen is beyond ``depth``. The depth grows until the
+    k-th best sure score exceeds what any unseen document can reach. Only then are
+    the missing ranks of the few documents that may still be among the best
+    counted, by one aggregate per ranking. Nothing is sorted but each task's first rows.
+    """
+    spark = next(iter(rankings.values())).sparkSession
+    least = F.lit(float("-inf"))
+    stored = {n: replace_table(r.select(key, F.coalesce("_s", least).alias("_s")), scratch_path(spark, n))
+              for n, r in rankings.items()}
+    depth = max(64, 4 * k)
+    while True:
+        tops = {n: [tuple(r) for r in df.orderBy(F.desc("_s"), key).limit(depth).collect()] for n, df in stored.items()}
+        # A ranking that ends before the depth has no rank for others at all.
+        beyond = {n: 1 / (RRF + depth + 1) if len(top) == depth else 0.0 for n, top in tops.items()}
+        ranks = {n: {r[0]: i for i, r in enumerate(top, 1)} for n, top in tops.items()}
+        seen = set().union(*ranks.values())
+        sure = {d: sum(1 / (RRF + r[d]) for r in ranks.values() if d in r) for d in seen}
+        most = {d: sure[d] + sum(beyond[n] for n, r in ranks.items() if d not in r) for d in seen}
+        floor = sorted(sure.values(), reverse=True)[k - 1] if len(sure) >= k else 0.0
+        if sum(beyond.values()) < floor - 1e-8 or not any(beyond.values()):  # scores are rounded to 8 digits
+            break
+        depth *= 4
+    few = [d for d in seen if most[d] >= floor - 1e-8 and d is not None]
+    for n, df in stored.items():
+        lost = [d for d in few if d not in ranks[n]] if beyond[n] else []
+        if lost:
+            ranks[n] |= _ranks_of(df, key, lost)
+    rows = [(d, *(ranks[n].get(d) for n in stored)) for d in few]
+    kind = next(iter(stored.values())).schema[0].dataType.simpleString()
+    known = spark.createDataFrame(rows, f"`{key}` {kind}, " + ", ".join(f"{n} long" for n in stored))
+    score = sum(F.coalesce(1 / (RRF + F.col(n)), F.lit(0.0)) for n in stored)
+    return known.withColumn("score", F.round(score, 8)).orderBy(F.desc("score"), key).limit(k)
+
+
+def _ranks_of(ranking: DataFrame, key: str, wanted: list) -> dict:
+    """Rank of each wanted document that the ranking holds: one more than the rows before it."""
+    score = {r[0]: r[1] for r in ranking.filter(F.col(key).isin(wanted)).groupBy(key).agg(F.max("_s")).collect()}
+    if not score:
+        return {}
+    before = [F.count_if((F.col("_s") > s) | (F.col("_s") == s) & (F.col(key).isNull() | (F.col(key) < d)))
+              for d, s in score.items()]
+    return {d: n + 1 for d, n in zip(score, ranking.agg(*[b.alias(f"n{i}") for i, b in enumerate(before)]).first())}
 
 
 def cited_context(hits: DataFrame, label: str, key: str, text: str, order: list[str]) -> DataFrame:

@@ -159,3 +159,25 @@ def test_long_turns_stay_in_order(spark):
     df = spark.createDataFrame(lines, "id int, turn long, pos int, line string").repartition(4)
     text = ck.reassemble(df, "id", ["turn", "pos"], "line", "t").first()["t"]
     assert text == "\n".join(x[3] for x in lines)
+
+
+def test_threshold_algorithm_equals_full_fusion(spark):
+    import random
+
+    rng = random.Random(5)
+    for case in range(6):
+        lists = []
+        for _ in range(2):
+            rows = [(d, rng.choice([None, round(rng.random(), 1 + case % 3)])) for d in range(700) if rng.random() < (0.9, 0.05)[case % 2]]
+            rng.shuffle(rows)
+            lists.append(rows)
+        ranks = [{d: i for i, (d, _) in enumerate(sorted(rows, key=lambda r: (-(r[1] if r[1] is not None else -9), r[0])), 1)}
+                 for rows in lists]
+        want = sorted(((-round(sum(1 / (60 + r[d]) for r in ranks if d in r), 8), d) for d in {*ranks[0], *ranks[1]}))
+        k = (1, 10, 40, 300)[case % 4]
+        frames = {n: spark.createDataFrame(rows, "id int, _s double") for n, rows in zip(("x", "y"), lists)}
+        got = se.fused_top(frames, "id", k).collect()
+        assert [(r["id"], r["x"], r["y"]) for r in got] == [(d, ranks[0].get(d), ranks[1].get(d)) for _, d in want[:k]]
+        assert all(abs(r["score"] + s) < 2e-8 for r, (s, _) in zip(got, want))
+    empty = {n: f.limit(0) for n, f in frames.items()}
+    assert se.fused_top(empty, "id", 3).count() == 0
