@@ -80,9 +80,17 @@ def bm25_scores(docs: DataFrame, key: str, text: str, query: str, columns: list[
 
 def keyword_search(docs: DataFrame, key: str, text: str, query: str, k: int, columns: list[str],
                    filters: dict[str, str] | None = None, digits: int = 6) -> DataFrame:
-    hits = bm25_scores(docs, key, text, query, columns, filters).select(
-        key, *columns, F.round("keyword_score", digits).alias("keyword_score"))
-    return hits.orderBy(F.desc("keyword_score"), key).limit(k)
+    """Top ``k`` by BM25. The texts are read once: their counts are stored with the carried
+    columns; a carried text is fetched for the hits alone."""
+    terms, filters = query_terms(query), filters or {}
+    carry = [c for c in dict.fromkeys([*columns, *filters]) if c != text]
+    counts = replace_table(term_counts(docs, key, text, terms, carry), scratch_path(docs.sparkSession, "term-counts"))
+    hits = scored_counts(counts, key, terms, carry, filters).select(
+        key, *carry, F.round("keyword_score", digits).alias("keyword_score"))
+    best = hits.orderBy(F.desc("keyword_score"), key).limit(k)
+    if text in columns:
+        best = docs.select(key, text).join(F.broadcast(best), key).orderBy(F.desc("keyword_score"), key)
+    return best.select(key, *columns, "keyword_score")
 
 
 def build_index(docs: DataFrame, key: str, text: str) -> DataFrame:

@@ -1,14 +1,17 @@
 import math
 import random
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from beaconry.functions.safe import clamp, div0, parse_score, parse_score_clamped, rate
 from beaconry.functions.text import best_label, extract_fields, html_to_text, tokens
+from beaconry.operators import cells
 from beaconry.operators import chunking as ck
 from beaconry.operators import search as se
 from beaconry.operators import text as tx
+from beaconry.session import scratch_path
 
 
 def test_safe_functions(spark):
@@ -181,3 +184,35 @@ def test_threshold_algorithm_equals_full_fusion(spark):
         assert all(abs(r["score"] + s) < 2e-8 for r, (s, _) in zip(got, want))
     empty = {n: f.limit(0) for n, f in frames.items()}
     assert se.fused_top(empty, "id", 3).count() == 0
+
+
+@pytest.mark.parametrize("digits", [6, 2])
+def test_cells_are_exact_and_mostly_unread(spark, digits):
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(30, 16))
+    x = centres[rng.integers(0, 30, 3000)] + 0.1 * rng.normal(size=(3000, 16))
+    x[5], x[6] = 0, x[7]
+    rows = [(i, v.tolist(), i % 3) for i, v in enumerate(x)] + [(3000, None, 0), (3001, [float("nan")] * 16, 0), (None, x[8].tolist(), 1)]
+    table = spark.createDataFrame(rows, "id long, v array<double>, mark int").repartition(3)
+    path = scratch_path(spark, "cells")
+    cells.build_cells(table, "v", path, 30)
+    assert spark.read.parquet(f"{path}/rows").count() == len(rows)
+    unit = x / np.maximum(np.sqrt((x ** 2).sum(1)), 1e-300)[:, None]
+    for q in (7, 100):
+        cosine = [(-round(float(unit[i] @ unit[q]), digits), i) for i in range(3000) if i != 5]
+        cosine.append((-round(float(unit[8] @ unit[q]), digits), -1))  # the null id sorts first
+        want = [None if i < 0 else i for _, i in sorted(cosine)[:10]]
+        got, read, there = cells.nearest_in_cells(spark, path, "id", "v", x[q].tolist(), 10, ["mark"], digits)
+        assert [r["id"] for r in got.collect()] == want
+        assert there == 31 and read < there / 2
+    everything, read, there = cells.nearest_in_cells(spark, path, "id", "v", x[7].tolist(), 4000)
+    assert everything.count() == len(rows) and read == there
+    cells.build_cells(table.limit(0), "v", scratch_path(spark, "cells"), 4)
+
+
+def test_keyword_search_carries_text(spark):
+    docs = spark.createDataFrame([(1, "red owl", "a"), (2, "owl", "b"), (3, "fox", "a")], "id int, t string, g string")
+    got = se.keyword_search(docs, "id", "t", "owl", 5, ["g", "t"]).collect()
+    assert [(r["id"], r["g"], r["t"]) for r in got] == [(2, "b", "owl"), (1, "a", "red owl")]
