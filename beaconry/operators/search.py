@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beaconry.functions.text import once, tokens
+from beaconry.operators.bitmaps import restrict
 from beaconry.session import scratch_path
 from beaconry.sources.tables import replace_table
 
@@ -104,13 +105,19 @@ def corpus_size(docs: DataFrame, text: str) -> DataFrame:
     return docs.agg(F.count("*").alias("n"), F.avg(F.size(tokens(F.col(text)))).alias("mean"))
 
 
-def search_index(index: DataFrame, size: DataFrame, key: str, query: str, k: int, digits: int = 6) -> DataFrame:
-    """BM25 from stored postings; only the rows of the query terms are read."""
+def search_index(index: DataFrame, size: DataFrame, key: str, query: str, k: int, digits: int = 6,
+                 allowed: DataFrame | None = None) -> DataFrame:
+    """BM25 from stored postings; only the rows of the query terms are read.
+
+    ``allowed`` is a bitmap of keys (``bitmaps.matching``): other postings go before
+    anything is ranked, while the statistics stay those of the whole corpus.
+    """
     held = index.filter(F.col("term").isin(query_terms(query)))
     df = held.groupBy("term").agg(F.count("*").alias("df"))
     stats = size.agg(F.struct(F.sum("n").alias("n"), F.max("mean").alias("mean"))).scalar()
     # One row per query term: its size is the length of the query.
-    scored = held.join(F.broadcast(df), "term").withColumn("_s", stats).select(
+    found = held if allowed is None else restrict(held, key, allowed)
+    scored = found.join(F.broadcast(df), "term").withColumn("_s", stats).select(
         key, (_idf(F.col("_s.n"), F.col("df"))
               * _saturated(F.col("tf"), F.col("doc_len"), F.col("_s.mean"))).alias("_x"))
     return (scored.groupBy(key).agg(F.round(F.sum("_x"), digits).alias("keyword_score"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from beaconry.functions.safe import clamp, div0, parse_score, parse_score_clamped, rate
 from beaconry.functions.text import best_label, extract_fields, html_to_text, tokens
-from beaconry.operators import cells
+from beaconry.operators import bitmaps, cells
 from beaconry.operators import chunking as ck
 from beaconry.operators import search as se
 from beaconry.operators import text as tx
@@ -216,3 +216,18 @@ def test_keyword_search_carries_text(spark):
     docs = spark.createDataFrame([(1, "red owl", "a"), (2, "owl", "b"), (3, "fox", "a")], "id int, t string, g string")
     got = se.keyword_search(docs, "id", "t", "owl", 5, ["g", "t"]).collect()
     assert [(r["id"], r["g"], r["t"]) for r in got] == [(2, "b", "owl"), (1, "a", "red owl")]
+
+
+def test_bitmaps_are_filters(spark):
+    rng = random.Random(7)
+    rows = [(rng.randint(-100_000, 100_000), rng.choice(["a", "b", "c", None]), rng.choice([True, False, None])) for _ in range(5000)]
+    rows = list({r[0]: r for r in rows}.values()) + [(None, "a", True)]
+    table = spark.createDataFrame(rows, "id long, x string, y boolean")
+    stored = bitmaps.store_bitmaps(bitmaps.build_bitmaps(table, "id", {"x": F.col("x"), "y": F.col("y")}), scratch_path(spark, "bitmaps"))
+    allowed = bitmaps.matching(stored, {"x": ["a", "b"], "y": ["true"]})
+    want = sorted(i for i, x, y in rows if i is not None and x in ("a", "b") and y)
+    assert sorted(r["id"] for r in bitmaps.restrict(table, "id", allowed).collect()) == want
+    assert bitmaps.size_of(allowed).first()[0] == len(want)
+    assert bitmaps.size_of(bitmaps.matching(stored, {"x": ["z"]})).first()[0] == 0
+    plan = bitmaps.matching(stored, {"x": ["a"]})._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "PushedFilters: [" in plan
