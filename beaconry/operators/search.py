@@ -101,6 +101,11 @@ def build_index(docs: DataFrame, key: str, text: str) -> DataFrame:
     return rows.groupBy("term", key, "doc_len").agg(F.count("*").cast("int").alias("tf"))
 
 
+def lengths(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Words of every document, as ``corpus_size`` counts them."""
+    return docs.select(key, F.size(tokens(F.col(text))).alias("doc_len"))
+
+
 def corpus_size(docs: DataFrame, text: str) -> DataFrame:
     return docs.agg(F.count("*").alias("n"), F.avg(F.size(tokens(F.col(text)))).alias("mean"))
 

@@ -44,8 +44,8 @@ SELECT segment, round(rev, 2) AS attributed_revenue, coalesce(sends, 0) AS send_
        round(CASE WHEN subs = 0 THEN 0 ELSE rev / subs END, 4) AS subscriber_ltv
 FROM c LEFT JOIN o USING (segment) LEFT JOIN e USING (segment)""")
 def ltv_by_segment(t):
-    out = ask(md.sms_model(t), ["revenue", "send_count", "subscriber_count",
-                                "revenue_per_send", "ltv"], ["segment"])
+    out = ask(md.sms_model(t), ["credited turnover", "send_count", "subscriber_count",
+                                "revenue_per_send", "turnover per recipient"], ["segment"])
     return rounded(out, {"attributed_revenue": 2, "revenue_per_send": 4, "subscriber_ltv": 4})
 
 
@@ -79,8 +79,8 @@ def sms_all_by_region(t):
 
 CAMPAIGN_SQL = """
 camp(campaign_id, campaign_type, theme, brand_id) AS (VALUES
-  (1, 'broadcast', 'Product Launch', 1), (2, 'broadcast', 'Seasonal Sale', 2),
-  (3, 'broadcast', 'Back in Stock', 3), (4, 'flow', 'Welcome', 4), (5, 'flow', 'Abandoned Cart', 5)),
+  (1, 'broadcast', 'First Look', 1), (2, 'broadcast', 'Clearance', 2),
+  (3, 'broadcast', 'Restock', 3), (4, 'flow', 'Greeting', 4), (5, 'flow', 'Forgotten Basket', 5)),
 ord AS (SELECT *, substr(o_orderpriority, 1, 1)::INT AS campaign_id FROM orders),
 ev AS (SELECT *, CASE event_type WHEN 'signup' THEN 1 WHEN 'view' THEN 2 WHEN 'click' THEN 3
                  WHEN 'purchase' THEN 4 ELSE 5 END AS campaign_id FROM events)"""
@@ -137,7 +137,7 @@ def two_dimensions(t):
 SELECT date_trunc('month', o_orderdate)::DATE AS order_month, round(sum(o_totalprice), 2) AS attributed_revenue,
        count(*) AS order_count FROM orders GROUP BY 1""")
 def revenue_by_month(t):
-    out = ask(md.sms_model(t), ["attributed_revenue", "order_count"], ["revenue month"])
+    out = ask(md.sms_model(t), ["attributed_revenue", "order_count"], ["month of order"])
     return rounded(out, {"attributed_revenue": 2})
 
 
@@ -146,7 +146,7 @@ SELECT date_trunc('month', started)::DATE AS opt_in_month, count(*) AS opt_in_gr
 FROM (SELECT o_custkey, min(o_orderdate) AS started FROM orders GROUP BY 1)
 JOIN customer ON c_custkey = o_custkey GROUP BY 1""")
 def opt_in_growth_by_month(t):
-    return ask(md.sms_model(t, with_opt_in=True), ["signups"], ["opt_in_month"])
+    return ask(md.sms_model(t, with_opt_in=True), ["new recipients"], ["opt_in_month"])
 
 
 @query("metric_revenue_by_brand_via_campaign", "K8", f"""

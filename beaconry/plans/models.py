@@ -15,11 +15,11 @@ from beaconry.session import Tables, values
 # Campaign id, type, theme and owning brand (nation) of the five
 # campaigns that stand in for order priorities and event types.
 CAMPAIGNS = [
-    (1, "broadcast", "Product Launch", 1),
-    (2, "broadcast", "Seasonal Sale", 2),
-    (3, "broadcast", "Back in Stock", 3),
-    (4, "flow", "Welcome", 4),
-    (5, "flow", "Abandoned Cart", 5),
+    (1, "broadcast", "First Look", 1),
+    (2, "broadcast", "Clearance", 2),
+    (3, "broadcast", "Restock", 3),
+    (4, "flow", "Greeting", 4),
+    (5, "flow", "Forgotten Basket", 5),
 ]
 CAMPAIGN_OF_EVENT = ("CASE event_type WHEN 'signup' THEN 1 WHEN 'view' THEN 2 "
                      "WHEN 'click' THEN 3 WHEN 'purchase' THEN 4 ELSE 5 END")
@@ -73,29 +73,29 @@ def sms_model(t: Tables, with_opt_in: bool = False) -> Model:
     orders = t.orders.withColumn(
         "attributed_campaign_id", F.substring("o_orderpriority", 1, 1).cast("int"))
     dims = [
-        Dimension("brands", "brand_region", "r_name", ("territory", "area")),
-        Dimension("brands", "brand", "n_name", ("country", "market")),
-        Dimension("subscribers", "segment", "c_mktsegment", ("industry", "vertical"), SEGMENTS),
-        Dimension("subscribers", "consent_status", "consent_status", ("consent",),
+        Dimension("brands", "brand_region", "r_name", ("part of the world",)),
+        Dimension("brands", "brand", "n_name", ("nation of the sender",)),
+        Dimension("subscribers", "segment", "c_mktsegment", ("line of business",), SEGMENTS),
+        Dimension("subscribers", "consent_status", "consent_status", ("permission",),
                   ("opted_in", "opted_out", "pending")),
-        Dimension("campaigns", "campaign_type", "campaign_type", ("send type",),
+        Dimension("campaigns", "campaign_type", "campaign_type", ("one-off or triggered",),
                   ("broadcast", "flow")),
-        Dimension("campaigns", "theme", "theme", ("use case",)),
+        Dimension("campaigns", "theme", "theme", ("occasion",)),
         Dimension("orders", "order_date", "to_date(o_orderdate)"),
         Dimension("orders", "order_month", "to_date(date_trunc('month', o_orderdate))",
-                  ("revenue month", "sales month")),
+                  ("month of order",)),
     ]
     if with_opt_in:
         dims.append(Dimension("subscribers", "opt_in_month",
-                              "to_date(date_trunc('month', started))", ("signup month",)))
+                              "to_date(date_trunc('month', started))", ("month of first order",)))
     return Model(
         "sms_marketing",
         tables=(
-            Table("brands", geography(t), ("n_nationkey",), bounded=True, synonyms=("stores",)),
-            Table("subscribers", subscribers, ("c_custkey",), synonyms=("contacts",)),
+            Table("brands", geography(t), ("n_nationkey",), bounded=True, synonyms=("senders",)),
+            Table("subscribers", subscribers, ("c_custkey",), synonyms=("recipients",)),
             Table("campaigns", campaigns(t), ("campaign_id",), bounded=True),
-            Table("messages", sends, ("event_id",), synonyms=("texts",)),
-            Table("orders", orders, ("o_orderkey",), synonyms=("purchases",)),
+            Table("messages", sends, ("event_id",), synonyms=("notices",)),
+            Table("orders", orders, ("o_orderkey",), synonyms=("baskets",)),
         ),
         relationships=(
             Relationship("subscribers_to_brands", "subscribers", ("c_nationkey",), "brands"),
@@ -116,23 +116,23 @@ def sms_model(t: Tables, with_opt_in: bool = False) -> Model:
         dimensions=tuple(dims),
         metrics=(
             Metric("orders", "attributed_revenue", "sum", "order_revenue",
-                   ("revenue", "attributed sales")),
-            Metric("orders", "order_count", "count", "o_orderkey", ("number of orders",)),
-            Metric("messages", "send_count", "count", "event_id", ("sends", "volume")),
+                   ("credited turnover",)),
+            Metric("orders", "order_count", "count", "o_orderkey", ("baskets placed",)),
+            Metric("messages", "send_count", "count", "event_id", ("notices sent",)),
             Metric("messages", "delivered_count", "sum", "delivered_flag"),
-            Metric("messages", "click_count", "sum", "clicked_flag", ("clicks",)),
-            Metric("messages", "total_send_cost", "sum", "send_cost", ("send spend",)),
-            Metric("subscribers", "subscriber_count", "count", "c_custkey", ("list size",)),
-            Metric("subscribers", "opt_in_growth", "count", "c_custkey", ("signups",)),
-            Metric("subscribers", "opted_out_count", "sum", "is_opted_out", ("unsubscribes",)),
+            Metric("messages", "click_count", "sum", "clicked_flag", ("link opens",)),
+            Metric("messages", "total_send_cost", "sum", "send_cost", ("dispatch cost",)),
+            Metric("subscribers", "subscriber_count", "count", "c_custkey", ("audience",)),
+            Metric("subscribers", "opt_in_growth", "count", "c_custkey", ("new recipients",)),
+            Metric("subscribers", "opted_out_count", "sum", "is_opted_out", ("lost recipients",)),
             Metric("subscribers", "consented_count", "sum", "is_opted_in"),
         ),
         ratios=(
-            Ratio("revenue_per_send", ("attributed_revenue",), ("send_count",), ("rps",)),
-            Ratio("ctr", ("click_count",), ("delivered_count",), ("click rate",)),
-            Ratio("subscriber_ltv", ("attributed_revenue",), ("subscriber_count",), ("ltv",)),
-            Ratio("list_churn_rate", ("opted_out_count",), ("subscriber_count",), ("churn rate",)),
-            Ratio("consent_rate", ("consented_count",), ("subscriber_count",), ("opt-in rate",)),
+            Ratio("revenue_per_send", ("attributed_revenue",), ("send_count",), ("turnover per notice",)),
+            Ratio("ctr", ("click_count",), ("delivered_count",), ("open share",)),
+            Ratio("subscriber_ltv", ("attributed_revenue",), ("subscriber_count",), ("turnover per recipient",)),
+            Ratio("list_churn_rate", ("opted_out_count",), ("subscriber_count",), ("loss share",)),
+            Ratio("consent_rate", ("consented_count",), ("subscriber_count",), ("permission share",)),
         ),
         verified={
             "attributed_revenue_by_type": lambda m: query(

@@ -14,7 +14,8 @@ from beaconry.operators.series import detect_anomalies, forecast
 from beaconry.plans import models as md
 from beaconry.plans.feature_queries import BASE_SQL, training
 from beaconry.plans.registry import query
-from beaconry.session import Tables, rounded
+from beaconry.session import Tables, rounded, scratch_path
+from beaconry.sources.tables import replace_table
 
 Z99, Z95 = 2.5758293035489004, 1.959963984540054
 
@@ -281,6 +282,31 @@ def drift_by_region(t):
     return rounded(out, {"mean_score": 11, "baseline_mean": 11, "difference_of_means": 11})
 
 
+def stored_baseline(t: Tables) -> DataFrame:
+    """Scores of the customers of an even key, stored before anything is logged."""
+    return replace_table(scorecard(training(t)).filter(F.pmod("c_custkey", F.lit(2)) == 0).select("region", "pred_lapse"),
+                         scratch_path(t.spark, "baseline"))
+
+
+STORED_SQL = LOG_SQL + """,
+base_scores AS (SELECT region, pred_lapse FROM log WHERE c_custkey % 2 = 0), later AS (SELECT * FROM log WHERE c_custkey % 2 <> 0)"""
+
+
+@query("drift_from_stored_baseline", "M14 M15 M16", f"""
+WITH {STORED_SQL}, b AS (SELECT region, avg(pred_lapse) AS bm FROM base_scores GROUP BY 1)
+SELECT scored_at::DATE + 30 AS window_start, region, round(avg(pred_lapse), 11) AS mean_score, count(*) AS n,
+ round(any_value(bm), 11) AS baseline_mean, round(avg(pred_lapse) - any_value(bm), 11) AS difference_of_means
+FROM later JOIN b USING (region) GROUP BY 1, 2""")
+def drift_from_stored_baseline(t):
+    """A stored snapshot against the other customers, scored a month later."""
+    baseline = stored_baseline(t)
+    later = scoring_log(t).filter(F.pmod("c_custkey", F.lit(2)) != 0).withColumn(
+        "scored_at", F.col("scored_at") + F.expr("INTERVAL 30 DAYS"))
+    out = mon.drift_of_means(later, baseline, "pred_lapse", "scored_at", ["region"])
+    return rounded(out.withColumn("window_start", F.to_date("window_start")),
+                   {"mean_score": 11, "baseline_mean": 11, "difference_of_means": 11})
+
+
 F1_SQL = f"""
 WITH {LOG_SQL}, c AS (SELECT scored_at::DATE AS day, count(*) AS n, count(*) FILTER (WHERE is_lapsed = 1 AND predicted = 1) AS tp,
   count(*) FILTER (WHERE is_lapsed = 0 AND predicted = 1) AS fp, count(*) FILTER (WHERE is_lapsed = 1 AND predicted = 0) AS fn

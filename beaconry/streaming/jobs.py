@@ -10,7 +10,7 @@ from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.types import StructType
 
 from beaconry.functions.dates import bucket
-from beaconry.operators.search import build_index, corpus_size
+from beaconry.operators.search import build_index, lengths
 from beaconry.streaming.sinks import batch_folders, latest_per_key, run_available
 
 LATENESS = "1 hour"
@@ -136,18 +136,41 @@ def daily_feature_facts(spark: SparkSession, inbox: str, schema: StructType, key
             .agg(F.sum("n").alias("n"), F.sum("amount").alias("amount")))
 
 
-def refresh_index(spark: SparkSession, inbox: str, schema: StructType, key: str, text: str, index: str,
-                  sizes: str, checkpoint: str) -> tuple[DataFrame, DataFrame]:
-    """Postings of new documents are appended; statistics are summed when read."""
+def refresh_index(spark: SparkSession, inbox: str, schema: StructType, key: str, text: str, root: str,
+                  checkpoint: str) -> tuple[DataFrame, DataFrame]:
+    """Postings and statistics of the newest version of every document.
+
+    A batch writes its documents' postings, their lengths, and a tombstone for
+    each that an earlier batch has already brought; nothing older is rewritten.
+    Readers drop postings that are older than their document's newest tombstone.
+    Postings are clustered by term, so a query reads its terms' row groups. Of
+    several versions in one batch the greatest text stays; documents without a key
+    can't be replaced and all stay.
+    """
     def step(batch: DataFrame, batch_id: int) -> None:
-        batch_folders(index, lambda b: build_index(b, key, text))(batch, batch_id)
-        batch_folders(sizes, lambda b: corpus_size(b, text))(batch, batch_id)
+        known = F.col(key).isNotNull()
+        fresh = (batch.filter(known).groupBy(key).agg(F.max(text).alias(text))
+                 .unionByName(batch.filter(~known).select(key, text)))
+        earlier = spark.read.parquet(f"{root}/lengths").filter(F.col("batch") < batch_id)
+        newest = earlier.filter(known).groupBy(key).agg(F.max_by("doc_len", "batch").alias("doc_len"))
+        gone = newest.join(fresh.filter(known).select(key), key)
+        batch_folders(f"{root}/tombstones")(gone, batch_id)
+        batch_folders(f"{root}/lengths", lambda b: lengths(b, key, text))(fresh, batch_id)
+        batch_folders(f"{root}/postings", lambda b: build_index(b, key, text).repartition("term").sortWithinPartitions("term"))(fresh, batch_id)
 
     rows = file_stream(spark, inbox, schema)
     none = spark.createDataFrame([], schema)
-    ready(build_index(none, key, text), index)
-    ready(corpus_size(none, text), sizes)
+    ready(build_index(none, key, text), f"{root}/postings")
+    ready(lengths(none, key, text), f"{root}/lengths")
+    ready(lengths(none, key, text), f"{root}/tombstones")
     run_available(rows, step, checkpoint)
-    total = spark.read.parquet(sizes).agg(
-        F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("mean"))
-    return spark.read.parquet(index).drop("batch"), total
+    dead = spark.read.parquet(f"{root}/tombstones")
+    last = dead.groupBy(F.col(key).alias("_key")).agg(F.max("batch").alias("_batch"))
+    postings = spark.read.parquet(f"{root}/postings")
+    live = postings.join(last, (postings[key] == last["_key"]) & (postings["batch"] < last["_batch"]), "left_anti").drop("batch")
+    # What came less what was replaced.
+    both = spark.read.parquet(f"{root}/lengths").select("doc_len", F.lit(1).alias("one")).unionByName(
+        dead.select("doc_len", F.lit(-1).alias("one")))
+    total = both.agg(F.sum("one").alias("n"), F.sum(F.col("one") * F.col("doc_len")).alias("words"),
+                     F.sum(F.when(F.col("doc_len").isNotNull(), F.col("one"))).alias("with_text"))
+    return live, total.select("n", (F.col("words") / F.col("with_text")).alias("mean"))

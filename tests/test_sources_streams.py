@@ -203,3 +203,43 @@ def test_days_do_not_depend_on_the_session_zone(spark, tmp_path):
         assert [(str(r["day"]), r["spend"]) for r in got.collect()] == [("2024-01-01", 12.0)]
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_index_forgets_replaced_documents(spark, tmp_path):
+    from beaconry.operators import search as se
+    from beaconry.session import scratch_path
+    from beaconry.streaming import jobs
+
+    batches = [[(1, "red owl"), (2, "owl owl fox"), (3, None), (None, "owl")], [(2, "green fox"), (4, "owl")],
+               [(2, "owl night"), (1, "red owl")]]
+    inbox, root, checkpoint = (scratch_path(spark, n) for n in ("inbox", "index", "checkpoint"))
+    now = {}
+    for n, rows_ in enumerate(batches):
+        df = spark.createDataFrame(rows_, "id long, t string")
+        df.coalesce(1).write.mode("append").parquet(inbox)
+        index, size = jobs.refresh_index(spark, inbox, df.schema, "id", "t", root, checkpoint)
+        now |= dict(rows_)
+        whole = spark.createDataFrame(list(now.items()), "id long, t string")
+        assert sorted(map(tuple, index.select("term", "id", "doc_len", "tf").collect()), key=repr) == sorted(
+            map(tuple, se.build_index(whole, "id", "t").select("term", "id", "doc_len", "tf").collect()), key=repr)
+        got, want = size.first(), se.corpus_size(whole, "t").first()
+        assert got["n"] == want["n"] and abs(got["mean"] - want["mean"]) < 1e-12
+    # A batch writes its own documents alone.
+    assert spark.read.parquet(f"{root}/lengths").filter("batch = 2").count() == 2
+    assert spark.read.parquet(f"{root}/tombstones").count() == 3
+
+
+def test_rows_without_a_time_arrive(spark):
+    from datetime import datetime
+
+    from beaconry.plans.stream_queries import arrivals
+
+    class T:
+        pass
+
+    t = T()
+    t.spark = spark
+    day = datetime(2024, 1, 1)
+    df = spark.createDataFrame([(1, day), (2, None), (3, day.replace(day=9))], "i int, ts timestamp_ntz")
+    for rows_, n in ((df, 3), (df.filter("i = 2"), 1), (df.limit(0), 0)):
+        assert arrivals(t, rows_, "ts", lambda inbox: spark.read.schema(df.schema).parquet(inbox)).count() == n
