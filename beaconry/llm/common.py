@@ -62,6 +62,17 @@ def keyed_texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                      F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of ``df`` has them (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finaliser of a 64-bit hash (uint64 in and out), vectorised."""
     x = x ^ (x >> np.uint64(30))

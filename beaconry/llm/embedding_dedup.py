@@ -2,10 +2,16 @@
 
 In each pass the vectors of a label are ordered by the concatenated signs of
 random projections, and every vector is compared with a bounded window of its
-successors. The verified pairs of all passes are united to components. Inside a
-component all pairs are then checked block against block, so that the number of
-links of a vector does not depend on the window. Identical vectors are one node
-with a count throughout.
+successors. The verified pairs of all passes are united to components. Vectors
+are centred by their label's mean before they are projected, so that the signs
+tell apart vectors that lie in a cone. Passes come in rounds that double their
+number, label by label, until a round joins nearly nothing new: what half of the
+passes missed and the other half found measures what both missed. A label whose
+windows would compare as many pairs as it holds is compared whole, in blocks.
+
+Inside a component all pairs are then checked block against block, so that the
+number of links of a vector does not depend on the window. Identical vectors are
+one node with a count throughout.
 """
 
 from __future__ import annotations
@@ -17,13 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beaconry.llm.common import arrow_schema
+from beaconry.llm.common import arrow_schema, map_rows
 from beaconry.llm.components import components
 from beaconry.operators.ordering import global_row_number
 from beaconry.session import shared_root
 
 #: Signs per pass, rows per block of a sorted pass, rows per block of a component.
 SIGNS, BLOCK, COMPONENT_BLOCK = 63, 2048, 512
+#: Numbers of a table of label means that is broadcast, and labels whose sums a task holds at a time.
+SMALL, AT_ONCE = 1_000_000, 256
 
 
 def passes_needed(n: int, threshold: float, window: int, missed: float) -> int:
@@ -62,34 +70,99 @@ def projection(dim: int, turn: int, seed: int) -> np.ndarray:
     return np.random.default_rng([seed, turn, dim]).normal(size=(dim, SIGNS))
 
 
-def _keys(distinct: DataFrame, turns: int, seed: int) -> DataFrame:
-    """``(turn, label, dim, key, node)``: the place of each node in each pass."""
-    schema = "turn int, group long, dim int, key long, node long"
+def _plan(threshold: float, window: int, missed: float):
+    """Passes of the first round from the size and mean of each label.
+
+    Centring takes the mean's squared length off the cosine of a pair and off both
+    squared lengths. The first round may miss the root of ``missed``, the second
+    squares that. ``whole``: the window holds the label.
+    """
+    def work(groups, sizes, means):
+        turns = []
+        for n, mean in zip(sizes, means, strict=True):
+            common = float(np.dot(mean, mean))
+            centred = max((threshold - common) / max(1 - common, 1e-9), 0.0)
+            most = max(1, math.ceil(n / (2 * window)))
+            turns.append(min(passes_needed(n, centred, window, math.sqrt(missed)), most))
+        whole = [n <= window + 1 for n in sizes]
+        return groups, sizes, means, [1 if w else t for w, t in zip(whole, turns)], whole
+
+    return work
+
+
+def label_means(distinct: DataFrame) -> DataFrame:
+    """``(group, n, mean)``: number and mean of the unit vectors of each label and length."""
+    schema = "group long, n long, sums array<double>"
+    out = arrow_schema(schema)
+
+    def run(batches):
+        held: dict = {}
+
+        def given():
+            rows = pa.RecordBatch.from_arrays([pa.array(list(held)), pa.array([n for n, _ in held.values()]),
+                                               pa.array([t for _, t in held.values()], type=out.field(2).type)], schema=out)
+            held.clear()
+            return rows
+
+        for batch in batches:
+            for g, unit in zip(batch.column(0).to_pylist(), unit_rows(batch.column(1))):
+                n, total = held.get(g, (0, 0.0))
+                held[g] = n + 1, total + unit
+                if len(held) > AT_ONCE:
+                    yield given()
+        if held:
+            yield given()
+
+    parts = distinct.select("group", "v").mapInArrow(run, schema)
+    each = parts.select("group", "n", F.posexplode("sums").alias("at", "x")).groupBy("group", "at")
+    return (each.agg(F.sum("n").alias("n"), (F.sum("x") / F.sum("n")).alias("x")).groupBy("group")
+            .agg(F.max("n").alias("n"), F.transform(F.array_sort(F.collect_list(F.struct("at", "x"))),
+                                                    lambda s: s["x"]).alias("mean")))
+
+
+def _keys(vectors: DataFrame, seed: int) -> DataFrame:
+    """``(turn, group, key, node)``: the place of each node in each pass of the round.
+
+    ``vectors``: node, group, v, mean, start, stop.
+    """
+    schema = "turn int, group long, key long, node long"
     out = arrow_schema(schema)
     weights = np.int64(1) << np.arange(SIGNS - 1, -1, -1, dtype=np.int64)
 
     def run(batches):
         planes: dict = {}
         for batch in batches:
-            node = batch.column(0).to_numpy(zero_copy_only=False)
-            group = batch.column(1).to_numpy(zero_copy_only=False)
-            units = unit_rows(batch.column(2))
-            dims = np.array([len(u) for u in units], dtype=np.int32)
-            for dim in np.unique(dims).tolist():
-                mine = np.flatnonzero(dims == dim)
-                x = np.stack([units[i] for i in mine])
-                for turn in range(turns):
-                    if (dim, turn) not in planes:
-                        if len(planes) >= 4 * turns:
+            node, group, start, stop = (batch.column(c).to_numpy(zero_copy_only=False)
+                                        for c in ("node", "group", "start", "stop"))
+            units, means = unit_rows(batch.column("v")), batch.column("mean")
+            _, first, member = np.unique(group, return_index=True, return_inverse=True)
+            for k, i in enumerate(first.tolist()):
+                mine = np.flatnonzero(member == k)
+                x = np.stack([units[r] for r in mine]) - np.array(means[i].as_py())
+                for turn in range(start[i], stop[i]):
+                    if (x.shape[1], turn) not in planes:
+                        if len(planes) >= 64:
                             planes.clear()
-                        planes[dim, turn] = projection(dim, turn, seed)
-                    key = ((x @ planes[dim, turn]) > 0) @ weights
+                        planes[x.shape[1], turn] = projection(x.shape[1], turn, seed)
+                    key = ((x @ planes[x.shape[1], turn]) > 0) @ weights
                     n = len(mine)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(n, turn, np.int32)), pa.array(group[mine]), pa.array(np.full(n, dim, np.int32)),
-                         pa.array(key), pa.array(node[mine])], schema=out)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, turn, np.int32)), pa.array(group[mine]),
+                                                      pa.array(key), pa.array(node[mine])], schema=out)
+
+    return vectors.select("node", "group", "v", "mean", "start", "stop").mapInArrow(run, schema)
 
-    return distinct.select("node", "group", "v").mapInArrow(run, schema)
+
+def row_cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.einsum("ij,ij->i", x, y)
+
+
+def block_near(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
+    """Which rows of x and y link; pairs at the threshold are judged as ``row_cosines`` does."""
+    product = x @ y.T
+    near = product >= threshold
+    i, j = np.nonzero(np.abs(product - threshold) < 1e-12)
+    near[i, j] = row_cosines(x[i], y[j]) >= threshold
+    return near
 
 
 def connect(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -145,7 +218,7 @@ def _windows(rows: DataFrame, threshold: float, window: int) -> DataFrame:
     def run(batches):
         for _, table in _runs(batches, 1):
             node = _column(table, "node").to_numpy(zero_copy_only=False)
-            place = [_column(table, c).to_numpy(zero_copy_only=False) for c in ("turn", "group", "dim")]
+            place = [_column(table, c).to_numpy(zero_copy_only=False) for c in ("turn", "group")]
             change = np.flatnonzero(np.any([c[1:] != c[:-1] for c in place], axis=0)) + 1
             units, pairs = unit_rows(_column(table, "v")), []
             for a, b in zip([0, *change], [*change, len(node)]):
@@ -153,7 +226,7 @@ def _windows(rows: DataFrame, threshold: float, window: int) -> DataFrame:
                     continue
                 x = np.stack(units[a:b])
                 for lag in range(1, min(window, b - a - 1) + 1):
-                    hit = np.flatnonzero(np.einsum("ij,ij->i", x[:-lag], x[lag:]) >= threshold) + a
+                    hit = np.flatnonzero(row_cosines(x[:-lag], x[lag:]) >= threshold) + a
                     pairs.append((hit, hit + lag))
             i, j = (np.concatenate([p[k] for p in pairs] or [np.zeros(0, int)]) for k in (0, 1))
             root = connect(len(node), i, j)
@@ -177,7 +250,7 @@ def _links(rows: DataFrame, threshold: float) -> DataFrame:
             one, two = np.flatnonzero(block == i), np.flatnonzero(block == j)
             if not len(one) or not len(two):
                 continue
-            near = (np.stack([units[k] for k in one]) @ np.stack([units[k] for k in two]).T) >= threshold
+            near = block_near(np.stack([units[k] for k in one]), np.stack([units[k] for k in two]), threshold)
             if i == j:
                 np.fill_diagonal(near, False)
                 got = [(one, near @ copies[one])]
@@ -189,22 +262,96 @@ def _links(rows: DataFrame, threshold: float) -> DataFrame:
     return rows.mapInArrow(run, schema).groupBy("node").agg(F.sum("links").alias("links"))
 
 
+def _block_edges(rows: DataFrame, threshold: float) -> DataFrame:
+    """Edges that connect what links within pairs of blocks of one label."""
+    schema = "a long, b long"
+    out = arrow_schema(schema)
+
+    def run(batches):
+        for (_, i, j), table in _runs(batches, 3):
+            block = _column(table, "block").to_numpy(zero_copy_only=False)
+            node = _column(table, "node").to_numpy(zero_copy_only=False)
+            units = unit_rows(_column(table, "v"))
+            one, two = np.flatnonzero(block == i), np.flatnonzero(block == j)
+            if not len(one) or not len(two):
+                continue
+            a, b = np.nonzero(block_near(np.stack([units[k] for k in one]), np.stack([units[k] for k in two]), threshold))
+            root = connect(len(node), one[a], two[b])
+            moved = np.flatnonzero(root != np.arange(len(node)))
+            yield pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(node[root[moved]])], schema=out)
+
+    return rows.mapInArrow(run, schema)
+
+
+def block_pairs(members: DataFrame, whole: str, block: int) -> DataFrame:
+    """``members`` dealt to all pairs (i, j) of blocks of their ``whole``, sorted by it.
+
+    A whole of m nodes is cut into m / block blocks by a hash; every pair of blocks
+    is a unit of work of bounded size, spread over all tasks.
+    """
+    sizes = members.groupBy(whole).agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    paired = (members.join(sizes, whole)
+              .withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int"))
+              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+              .select(whole, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                      "block", "node", "copies", "v"))
+    return paired.repartition(whole, "i", "j").sortWithinPartitions(whole, "i", "j")
+
+
 def link_counts(distinct: DataFrame, roots: DataFrame, threshold: float,
-                block: int = COMPONENT_BLOCK) -> DataFrame:
+                block: int | None = None) -> DataFrame:
     """``(node, links)``: rows at the threshold or above, checked over each whole component.
 
-    A component of m nodes is cut into m / block blocks by a hash; every pair of
-    blocks is a unit of work of bounded size, spread over all tasks. The work is
-    quadratic in the nodes of one component, since it is their pairs that count.
+    The work is quadratic in the nodes of one component, since it is their pairs that count.
     """
-    sizes = roots.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    members = (distinct.join(roots, "node").join(sizes, "root")
-               .withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int")))
-    paired = (members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select("root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                      "block", "node", "copies", "v"))
-    keys = ["root", "i", "j"]
-    return _links(paired.repartition(*keys).sortWithinPartitions(*keys), threshold)
+    return _links(block_pairs(distinct.join(roots, "node"), "root", block or COMPONENT_BLOCK), threshold)
+
+
+def _pass_edges(vectors: DataFrame, threshold: float, window: int, seed: int) -> DataFrame:
+    """Edges of the passes ``start`` to ``stop`` of each label."""
+    placed = global_row_number(_keys(vectors, seed),
+                               [F.col(c) for c in ("turn", "group", "key", "node")], "place")
+    spread = (placed.withColumn("block", F.expr(f"(place - 1) div {BLOCK}"))
+              .withColumn("block", F.explode(F.when(
+                  ((F.col("place") - 1) % BLOCK < window) & (F.col("block") > 0),
+                  F.array("block", F.col("block") - 1)).otherwise(F.array("block")))))
+    blocks = (spread.join(vectors.select("node", "v"), "node")
+              .select("block", "place", "turn", "group", "node", "v")
+              .repartition("block").sortWithinPartitions("block", "place"))
+    return _windows(blocks, threshold, window)
+
+
+def linked(distinct: DataFrame, threshold: float, window: int, missed: float, seed: int) -> DataFrame:
+    """``(node, root)`` of the nodes that link, by rounds of passes (see the module).
+
+    The labels still open are counted on the driver; all else about them stays in Spark.
+    """
+    means = label_means(distinct)
+    state = map_rows(means, _plan(threshold, window, missed),
+                     "group long, n long, mean array<double>, stop int, whole boolean")
+    state = state.withColumns({"start": F.lit(0), "merged": F.lit(0).cast("long")}).checkpoint()
+    roots = None
+    while True:
+        seen = state.agg(F.count("*").alias("n"), F.sum(F.size("mean") + 5).alias("numbers")).first()
+        if not seen["n"] and roots is not None:
+            return roots
+        # Means grow with the labels: broadcast only what is small.
+        plan = state.withColumn("all_pairs", (F.col("start") > 0) & (F.col("stop") * (2 * window) >= F.col("n")))
+        plan = F.broadcast(plan) if (seen["numbers"] or 0) <= SMALL else plan
+        vectors = distinct.join(plan, "group")
+        edges = (_pass_edges(vectors.filter("NOT all_pairs"), threshold, window, seed)
+                 .unionByName(_block_edges(block_pairs(vectors.filter("all_pairs"), "group", COMPONENT_BLOCK), threshold)))
+        if roots is not None:
+            edges = edges.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        roots = components(edges)
+        merged = (roots.filter("node != root").join(distinct.select("node", "group"), "node")
+                  .groupBy("group").agg(F.count("*").alias("now")))
+        now = F.coalesce("now", F.lit(0).cast("long"))
+        settled = F.col("whole") | F.col("all_pairs") | (
+            (F.col("start") > 0) & (now - F.col("merged") <= missed * now))
+        state = (plan.join(merged, "group", "left").filter(~settled)
+                 .select("group", "n", "mean", (F.col("stop") * 2).alias("stop"), "whole",
+                         F.col("stop").alias("start"), now.alias("merged")).checkpoint())
 
 
 def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -214,7 +361,9 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
 
     Rows link when their labels are equal and the cosine is ``threshold`` or more.
     n_links counts linked rows, the row itself not included; component_id is the
-    smallest vec_id reachable; kept is true where it is the row's own. Rows with a
+    smallest vec_id reachable; kept is true where it is the row's own. Passes go on in
+    every label until a round as long as all before it adds at most the share ``missed``
+    of its joins. Rows with a
     null label or id, or a vector that is null, empty, zero or holds null or
     non-finite components, link with nothing and are their own component. Vectors
     of different lengths never link. Repeated rows link with each other. An empty
@@ -224,19 +373,8 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     rows = nodes(df, id_col, vector_col, label_col)
     distinct = (rows.filter("node IS NOT NULL").groupBy("node")
                 .agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"),
-                     F.xxhash64(F.first("label")).alias("group"), F.first("v").alias("v")).checkpoint())
-    most = distinct.groupBy("group").count().agg(F.max("count").alias("n")).first()["n"] or 0
-    turns = passes_needed(most, threshold, window, missed)
-    placed = global_row_number(_keys(distinct, turns, seed),
-                               [F.col(c) for c in ("turn", "group", "dim", "key", "node")], "place")
-    spread = (placed.withColumn("block", F.expr(f"(place - 1) div {BLOCK}"))
-              .withColumn("block", F.explode(F.when(
-                  ((F.col("place") - 1) % BLOCK < window) & (F.col("block") > 0),
-                  F.array("block", F.col("block") - 1)).otherwise(F.array("block")))))
-    blocks = (spread.join(distinct.select("node", "v"), "node")
-              .select("block", "place", "turn", "group", "dim", "node", "v")
-              .repartition("block").sortWithinPartitions("block", "place"))
-    roots = components(_windows(blocks, threshold, window))
+                     F.xxhash64(F.first("label"), F.size(F.first("v"))).alias("group"), F.first("v").alias("v")).checkpoint())
+    roots = linked(distinct, threshold, window, missed, seed)
     links = link_counts(distinct, roots, threshold)
     known = (distinct.join(roots, "node", "left").join(links, "node", "left")
              .select("node", "least", "copies", F.coalesce("root", "node").alias("root"),

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from beaconry.llm.common import arrow_schema, mix64
+from beaconry.llm.common import arrow_schema, mix64, unused
 from beaconry.session import shared_root
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -275,21 +275,23 @@ def mixed_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     takes in part appears with the words taken: neighbouring words keep what
     stands between them, pieces that are apart are joined by a line break. What
     the mix does not take is gone. ``length_col`` gets the new number of characters.
+    Null texts and texts without words are never taken; repeated rows are documents of
+    their own; an empty table gives no rows. Other columns, of any name, pass through.
     """
     placed, pieces = mix(df, id_col, text_col, source_col, **how)
+    own, hashed, nth, wanted_id, wanted_key, turn, cuts = unused(
+        df, "own", "hashed", "nth", "wanted_id", "wanted_key", "turn", "cuts")
     # Repeated rows have one id and text: the n-th place belongs to the n-th row.
-    nth = W.partitionBy("doc_id", "text_key").orderBy("source_no", "offset")
-    numbers = (placed.filter("size > 0").withColumn("_turn", F.row_number().over(nth))
-               .select("source_no", "offset", "_turn"))
+    places = W.partitionBy("doc_id", "text_key").orderBy("source_no", "offset")
+    numbers = (placed.filter("size > 0").withColumn("turn", F.row_number().over(places))
+               .select("source_no", "offset", "turn"))
     wanted = (pieces.join(numbers, ["source_no", "offset"])
-              .groupBy("doc_id", "text_key", "_turn")
-              .agg(F.collect_list(F.struct("lap", "first_word", "n_words")).alias("_cuts"))
-              .withColumnsRenamed({"doc_id": "_wanted", "text_key": "_text"}))
-    own = W.partitionBy("_own", "_hash").orderBy("_own")
-    rows = (df.withColumns({"_own": F.col(f"`{id_col}`").cast("long"), "_hash": F.xxhash64(F.col(f"`{text_col}`").cast("string"))})
-            .withColumn("_nth", F.row_number().over(own)))
-    joined = rows.join(wanted, rows["_own"].eqNullSafe(F.col("_wanted")) & (rows["_hash"] == F.col("_text"))
-                       & (rows["_nth"] == F.col("_turn"))).select(*[F.col(f"`{c}`") for c in df.columns], "_cuts")
+              .groupBy(F.col("doc_id").alias(wanted_id), F.col("text_key").alias(wanted_key), F.col("turn").alias(turn))
+              .agg(F.collect_list(F.struct("lap", "first_word", "n_words")).alias(cuts)))
+    rows = (df.withColumns({own: F.col(f"`{id_col}`").cast("long"), hashed: F.xxhash64(F.col(f"`{text_col}`").cast("string"))})
+            .withColumn(nth, F.row_number().over(W.partitionBy(own, hashed).orderBy(own))))
+    joined = rows.join(wanted, F.col(own).eqNullSafe(F.col(wanted_id)) & (F.col(hashed) == F.col(wanted_key))
+                       & (F.col(nth) == F.col(turn))).select(*[F.col(f"`{c}`") for c in df.columns], cuts)
     at = df.columns.index(text_col)
     size = df.columns.index(length_col) if length_col else None
     schema, word = df.schema, re.compile(WORD)

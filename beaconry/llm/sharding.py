@@ -19,6 +19,8 @@ from beaconry.session import scratch_path, shared_root
 
 #: Virtual slots; fixed for the life of a dataset.
 SLOTS = 8192
+#: Copies of one row that a task deals out at a time.
+RUN = 4096
 
 
 def first_map(shards: int, slots: int = SLOTS) -> np.ndarray:
@@ -31,40 +33,48 @@ def rebalance(placed: np.ndarray, loads: np.ndarray, shards: int,
     """An edited map whose shards carry nearly equal loads.
 
     While the fullest and emptiest shard differ by more than ``tolerance`` of the
-    mean, the slot that halves their difference best moves over; where no single
-    slot helps, two slots change places. Every edit lowers the spread, so it ends.
+    mean, the slot or the exchange of two slots that halves a difference best moves
+    over: between the fullest shard and any other, or, where none helps, between any
+    other and the emptiest. Every edit lowers the sum of squares, so it ends.
     """
     placed = placed.copy()
     totals = np.bincount(placed, weights=loads, minlength=shards)
     mean = max(totals.mean(), 1.0)
     for _ in range(4 * len(placed)):
-        full = int(totals.argmax())
-        mine = np.flatnonzero((placed == full) & (loads > 0))
-        for lean in np.argsort(totals, kind="stable").tolist():
-            gap = totals[full] - totals[lean]
-            if gap <= tolerance * mean or not len(mine):
-                return placed
-            theirs = np.flatnonzero((placed == lean) & (loads > 0))
-            give = np.concatenate([loads[mine], (loads[mine][:, None] - loads[theirs]).ravel()])
-            useful = np.where((give > 0) & (give < gap), np.abs(give - gap / 2), np.inf)
-            best = int(useful.argmin())
-            if useful[best] < np.inf:
+        order = np.argsort(totals, kind="stable").tolist()
+        if totals[order[-1]] - totals[order[0]] <= tolerance * mean:
+            break
+        for full, lean in [(order[-1], x) for x in order[:-1]] + [(x, order[0]) for x in order[-2:0:-1]]:
+            edit = _edit(placed, loads, full, lean, totals[full] - totals[lean])
+            if edit is not None:
                 break
         else:
-            return placed
-        if best < len(mine):
-            slot, back = mine[best], None
-        else:
-            i, j = divmod(best - len(mine), len(theirs))
-            slot, back = mine[i], theirs[j]
+            break
+        slot, back, moved = edit
         placed[slot] = lean
         if back is not None:
             placed[back] = full
-        totals[full] -= give[best]
-        totals[lean] += give[best]
+        totals[full] -= moved
+        totals[lean] += moved
     return placed
 
 
+def _edit(placed: np.ndarray, loads: np.ndarray, full: int, lean: int, gap: float) -> tuple | None:
+    """``(slot, slot to give back or None, bytes moved)``: nearest to half the gap of two shards."""
+    mine, theirs = (np.flatnonzero((placed == k) & (loads > 0)) for k in (full, lean))
+    if not len(mine) or gap <= 0:
+        return None
+    give = np.concatenate([loads[mine], (loads[mine][:, None] - loads[theirs]).ravel()])
+    useful = np.where((give > 0) & (give < gap), np.abs(give - gap / 2), np.inf)
+    best = int(useful.argmin())
+    if useful[best] == np.inf:
+        return None
+    if best < len(mine):
+        return mine[best], None, give[best]
+    i, j = divmod(best - len(mine), len(theirs))
+    return mine[i], theirs[j], give[best]
+
+
 def grow(placed: np.ndarray, loads: np.ndarray, shards: int) -> np.ndarray:
     """One more shard: slots leave the fullest shards for it; no other slot moves."""
     placed = placed.copy()
@@ -98,15 +108,27 @@ def slot_records(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  slots: int = SLOTS) -> DataFrame:
     """``(doc_id, size, text_crc32, virtual_slot)``; size is the UTF-8 bytes plus 8.
 
-    A null text has no bytes and checksum 0. The slot hashes id and checksum, so
-    rows with equal or null ids spread out as far as their texts differ.
+    A null text has no bytes and checksum 0. The slot hashes id, checksum and the
+    number of the copy, so rows with equal or null ids spread out, repeated rows too.
+    Copies have nothing to tell them apart: they are counted per task before the
+    shuffle and dealt out again in runs of RUN, so that no task holds a hot row's copies.
     """
     text = F.encode(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), "UTF-8")
-    return (df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("_bytes"))
-            .select("doc_id", (F.octet_length("_bytes") + F.lit(8)).cast("long").alias("size"),
-                    F.crc32("_bytes").alias("text_crc32"))
-            .withColumn("virtual_slot",
-                        F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(slots)).cast("int")))
+    counted = (df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("_bytes"))
+               .select("doc_id", (F.octet_length("_bytes") + F.lit(8)).cast("long").alias("size"),
+                       F.crc32("_bytes").alias("text_crc32"))
+               .groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("copies")))
+    rare = counted.filter(F.col("copies") <= RUN).withColumn("first", F.lit(0).cast("long"))
+    often = (counted.filter(F.col("copies") > RUN)
+             .withColumn("first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(RUN).cast("long"))))
+             .repartition("doc_id", "text_crc32", "first"))
+    last = F.least(F.col("first") + RUN, "copies") - 1
+    # The first copy has the slot that a row without copies has.
+    hashed = F.when(F.col("copy") == 0, F.xxhash64("doc_id", "text_crc32")).otherwise(
+        F.xxhash64("doc_id", "text_crc32", "copy"))
+    return (rare.unionByName(often).withColumn("copy", F.explode(F.sequence("first", last)))
+            .select("doc_id", "size", "text_crc32",
+                    F.pmod(hashed, F.lit(slots)).cast("int").alias("virtual_slot")))
 
 
 def shard_records(df: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text",

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from beaconry.llm.common import arrow_schema, keyed_texts, map_rows
+from beaconry.llm.common import arrow_schema, keyed_texts, map_rows, unused
 from beaconry.llm.components import components
 from beaconry.llm.embedding_dedup import _runs
 from beaconry.session import shared_root
@@ -473,9 +473,11 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     word shingles have a Jaccard similarity of ``least`` or more, estimated from the
     smallest SKETCH hashes. Only texts of equal fingerprint and shingle set are one
     group unchecked. The row with the smallest id stays (null ids last, then by text
-    hash). Texts without words are one group; an empty table gives no rows.
+    hash). Texts without words are one group; an empty table gives no rows. Columns
+    of any name and type pass through.
     """
     shared_root(df.sparkSession)
+    names = own, hashed_text, _, _, turn = unused(df, "own", "hashed", "first_id", "first_key", "turn")
     text = F.col(f"`{text_col}`").cast("string")
     keyed = df.select(F.xxhash64(text).alias("text_key"), F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                       text.alias("text"))
@@ -492,10 +494,9 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     roots = components(similar_links(classes, distance, least))
     kept = (classes.join(roots, "node", "left")
             .groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
-            .select(F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key")))
+            .select(F.col("first.doc_id").alias(names[2]), F.col("first.text_key").alias(names[3])))
     # A repeated row has the same id and text as the one that stays: number them.
-    turn = W.partitionBy("_own", "_hash").orderBy("_own")
-    numbered = (df.withColumns({"_own": F.col(f"`{id_col}`").cast("long"), "_hash": F.xxhash64(text)})
-                .join(kept, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_key")))
-                .withColumn("_turn", F.row_number().over(turn)))
-    return numbered.filter("_turn = 1").select(*[F.col(f"`{c}`") for c in df.columns])
+    numbered = (df.withColumns({own: F.col(f"`{id_col}`").cast("long"), hashed_text: F.xxhash64(text)})
+                .join(kept, F.col(own).eqNullSafe(F.col(names[2])) & (F.col(hashed_text) == F.col(names[3])))
+                .withColumn(turn, F.row_number().over(W.partitionBy(own, hashed_text).orderBy(own))))
+    return numbered.filter(F.col(turn) == 1).select(*[F.col(f"`{c}`") for c in df.columns])

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 LONG = "alpha beta gamma delta " * 9000
 ROWS = [
@@ -17,7 +18,8 @@ ROWS = [
 ]
 #: Names that operators use themselves, as further columns of the input.
 CLASHES = ("node", "root", "ids", "fp", "key", "a", "b", "size", "shard", "slot", "text_key", "bucket",
-           "virtual_slot", "id", "spans", "offset", "label", "word", "tail", "sketch")
+           "virtual_slot", "id", "spans", "offset", "label", "word", "tail", "sketch", "_id", "_own", "_text", "_key",
+           "_hash", "_turn", "own", "hashed", "turn", "Turn_", "cuts", "first_id", "two words", "copy", "copies")
 
 
 @pytest.fixture(scope="session")
@@ -25,9 +27,11 @@ def odd(spark):
     """Nulls, empty and long texts, ties, repeated rows and clashing column names."""
     rows = [(i, t, lang, source, len(t) if t is not None else None, *range(len(CLASHES)))
             for i, t, lang, source in ROWS]
-    names = ", ".join(f"{c} int" for c in CLASHES)
-    return spark.createDataFrame(
-        rows, f"doc_id long, text string, lang string, source string, n_chars long, {names}").repartition(3)
+    names = ", ".join(f"`{c}` int" for c in CLASHES)
+    return (spark.createDataFrame(
+        rows, f"doc_id long, text string, lang string, source string, n_chars long, {names}")
+            .withColumns({"day": F.lit("2024-02-29").cast("date"), "seen": F.lit("2024-02-29 12:30:00").cast("timestamp"),
+                          "cost": F.lit("1.25").cast("decimal(9,2)"), "list": F.array(F.lit(1.5))}).repartition(3))
 
 
 @pytest.fixture(scope="session")

@@ -47,6 +47,43 @@ def test_brute_force(spark, monkeypatch):
     assert right >= 0.97 and 0.98 <= links <= 1
 
 
+@pytest.mark.parametrize("common", [0.0, 0.5, 0.8])
+def test_recall_in_a_cone(spark, common):
+    """Vectors around one direction, mean cosine ``common``; planted pairs just above the threshold."""
+    rng, dim, n, planted = np.random.default_rng(17), 64, 6000, 200
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=-1, keepdims=True)
+
+    axis = unit(rng.normal(size=dim))
+
+    def apart(x):  # unit vectors at right angles to the axis
+        return unit(x - np.outer(x @ axis, axis))
+
+    side = apart(rng.normal(size=(n, dim)))
+    inner = (0.935 - common) / (1 - common)
+    other = apart(rng.normal(size=(planted, dim)))
+    other = unit(other - side[:planted] * np.sum(other * side[:planted], axis=1, keepdims=True))
+    near = inner * side[:planted] + np.sqrt(1 - inner**2) * other
+    x = np.sqrt(common) * axis + np.sqrt(1 - common) * np.concatenate((side, near))
+    rows = [(i, v.tolist(), 1, 1, 2, 3) for i, v in enumerate(x)]
+    want = brute(rows, 0.93)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"])
+           for r in e.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()}
+    links = sum(v[0] for v in want.values())
+    assert links >= 2 * planted and all(got[k][0] <= want[k][0] for k in want)
+    assert sum(v[0] for v in got.values()) >= 0.99 * links
+    assert sum(got[k] == want[k] for k in want) >= 0.995 * len(want)
+
+
+def test_threshold_judged_alike():
+    rng = np.random.default_rng(4)
+    x, y = rng.normal(size=(300, 64)), rng.normal(size=(200, 64))
+    at = float(e.row_cosines(x[7:8], y[9:10])[0])
+    want = np.array([e.row_cosines(np.repeat(x[i:i + 1], len(y), 0), y) >= at for i in range(len(x))])
+    assert (e.block_near(x, y, at) == want).all()
+
+
 def test_odd_vectors(spark):
     inf, nan = float("inf"), float("nan")
     vectors = [(1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, None, 1), (4, [0.0, 0.0], 1), (5, [1.0, None], 1),

@@ -55,6 +55,23 @@ def test_stages(spark, table, tmp_path):
     assert sorted(model.decode(r["token_ids"]).decode() for r in coded) == whole
 
 
+def test_odd_columns_pass_every_stage(spark, odd, none, tmp_path):
+    """Columns of other types and of names that stages use themselves come through unchanged."""
+    docs, more = odd, [c for c in odd.columns if c not in ("doc_id", "text", "n_chars")]
+    want = {r["doc_id"]: tuple(r[c] for c in more) for r in odd.collect() if r["text"]}
+    for name, stage in p.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        assert out.dtypes == odd.dtypes
+        assert stage(spark, none, "").count() == 0
+        out.write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        rows = docs.collect()
+        skip = more.index("source"), more.index("lang")
+        assert rows and all([v for i, v in enumerate(tuple(r[c] for c in more)) if i not in skip]
+                            == [v for i, v in enumerate(want[r["doc_id"]]) if i not in skip] for r in rows)
+    assert p.STAGES[-1][1](spark, docs, "").count() == len(rows)
+
+
 def test_run_and_empty(spark, table, tmp_path):
     table.write.parquet(str(tmp_path / "documents.parquet"))
     rows = p.run(spark, str(tmp_path)).collect()

@@ -28,6 +28,14 @@ def test_shards(spark, data, odd, none):
     assert s.shard_records(none, 4).count() == 0
 
 
+def test_repeated_rows_spread(spark, monkeypatch):
+    """600 equal rows beside 1,000 others: the law of equal bytes holds all the same."""
+    for run in (4096, 100):
+        monkeypatch.setattr(s, "RUN", run)
+        rows = [(7, "copy " * 20)] * 600 + [(i, "x" * (i % 90)) for i in range(1000)] + [(None, None)] * 50
+        check(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 24, 60)
+
+
 def test_map_versions(spark, tmp_path):
     folder = str(tmp_path / "maps")
     s.shard_records(docs(spark, ["word " * (i % 9) for i in range(500)]), 5, slots=64, folder=folder).count()
