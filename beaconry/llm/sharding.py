@@ -113,11 +113,13 @@ def slot_records(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Copies have nothing to tell them apart: they are counted per task before the
     shuffle and dealt out again in runs of RUN, so that no task holds a hot row's copies.
     """
+    shared_root(df.sparkSession)
     text = F.encode(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), "UTF-8")
     counted = (df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("_bytes"))
                .select("doc_id", (F.octet_length("_bytes") + F.lit(8)).cast("long").alias("size"),
                        F.crc32("_bytes").alias("text_crc32"))
-               .groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("copies")))
+               .groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("copies"))
+               .checkpoint())  # both parts below read it; the texts are read once
     rare = counted.filter(F.col("copies") <= RUN).withColumn("first", F.lit(0).cast("long"))
     often = (counted.filter(F.col("copies") > RUN)
              .withColumn("first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(RUN).cast("long"))))
