@@ -4,13 +4,34 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from beaconry.functions.safe import rate
 
 
+def _cells(rows: DataFrame, metric: str, label: str, dims: list[str]) -> DataFrame:
+    """Sums of both groups per full dimension combination."""
+    test = F.col(label)
+    return rows.groupBy(*dims).agg(
+        F.coalesce(F.sum(F.when(~test, F.col(metric))), F.lit(0)).alias("_control"),
+        F.coalesce(F.sum(F.when(test, F.col(metric))), F.lit(0)).alias("_test"))
+
+
+def _finished(segments: DataFrame, cells: DataFrame, name: Column) -> DataFrame:
+    """Shares of the change from the sums of each segment and of all cells."""
+    control, seen = F.col("metric_control"), F.col("metric_test")
+    return (segments
+            .withColumn("_c", cells.agg(F.sum("_control")).scalar())
+            .withColumn("_t", cells.agg(F.sum("_test")).scalar())
+            .select(name.alias("segment"), "metric_control", "metric_test",
+                    (seen - control).alias("contribution"),
+                    rate(seen - control, F.col("_t") - F.col("_c")).alias("relative_contribution"),
+                    rate(seen - control, control).alias("growth_rate"),
+                    (seen - control * rate(F.col("_t"), F.col("_c"))).alias("surprise")))
+
+
 def key_drivers(rows: DataFrame, metric: str, label: str, dims: list[str],
                 max_depth: int | None = None) -> DataFrame:
     """Every segment of the dimensions, up to ``max_depth`` of them (default: all),
@@ -24,27 +45,15 @@ def key_drivers(rows: DataFrame, metric: str, label: str, dims: list[str],
     moved beyond the overall change. A NULL value of a dimension is a value of
     its own, written ``dimension=NULL``.
     """
-    test = F.col(label)
-    cells = rows.groupBy(*dims).agg(
-        F.coalesce(F.sum(F.when(~test, F.col(metric))), F.lit(0)).alias("_control"),
-        F.coalesce(F.sum(F.when(test, F.col(metric))), F.lit(0)).alias("_test"))
+    cells = _cells(rows, metric, label, dims)
     sets = [list(c) for n in range(1, (max_depth or len(dims)) + 1) for c in combinations(dims, n)]
     segments = cells.groupingSets([[F.col(d) for d in s] for s in sets], *dims).agg(
         F.sum("_control").alias("metric_control"), F.sum("_test").alias("metric_test"),
         *[F.grouping(d).alias(f"_out_{d}") for d in dims])
-    control_all = cells.agg(F.sum("_control")).scalar()
-    test_all = cells.agg(F.sum("_test")).scalar()
     name = F.concat_ws(" & ", *[
         F.when(F.col(f"_out_{d}") == 0, F.concat(F.lit(f"{d}="), F.coalesce(F.col(d).cast("string"), F.lit("NULL"))))
         for d in dims])
-    control, seen = F.col("metric_control"), F.col("metric_test")
-    return (segments
-            .withColumn("_c", control_all).withColumn("_t", test_all)
-            .select(name.alias("segment"), "metric_control", "metric_test",
-                    (seen - control).alias("contribution"),
-                    rate(seen - control, F.col("_t") - F.col("_c")).alias("relative_contribution"),
-                    rate(seen - control, control).alias("growth_rate"),
-                    (seen - control * rate(F.col("_t"), F.col("_c"))).alias("surprise")))
+    return _finished(segments, cells, name)
 
 
 def ranked_drivers(drivers: DataFrame, n: int, digits: int = 0) -> DataFrame:
@@ -52,3 +61,58 @@ def ranked_drivers(drivers: DataFrame, n: int, digits: int = 0) -> DataFrame:
     size = F.round(F.abs("surprise"), digits)
     top = drivers.withColumn("_size", size).orderBy(F.desc("_size"), "segment").limit(n)
     return top.withColumn("rank", F.row_number().over(W.orderBy(F.desc("_size"), "segment"))).drop("_size")
+
+
+def top_drivers(rows: DataFrame, metric: str, label: str, dims: list[str], n: int, digits: int = 0) -> DataFrame:
+    """The rows of ``ranked_drivers(key_drivers(...), n, digits)`` without expanding every grouping set.
+
+    A segment's surprise is the sum of its cells' surprises, so no part of it can move more
+    than the sum of its positive or of its negative cells. The lattice is searched level by
+    level: segments grow by one later dimension, and one whose bound lies below the n-th best
+    found so far is not grown. The result is exact; where no bound excludes anything, every
+    segment is visited, as in ``key_drivers``. Cells, segments of a level and the cells below
+    the living segments stay in Spark; the driver reads one threshold a level.
+
+    Without a control total the surprise is NULL and segments are ranked by name.
+    """
+    if not 0 < len(dims) < 63:
+        raise ValueError("between 1 and 62 dimensions")
+    named = rows.select(*[F.col(d).alias(f"_d{i}") for i, d in enumerate(dims)], metric, label)
+    parts = [f"_d{i}" for i in range(len(dims))]
+    cells = _cells(named, metric, label, parts).checkpoint()
+    ratio = cells.agg(rate(F.sum("_test"), F.sum("_control")).cast("double").alias("r")).first()["r"]
+    if ratio is None:
+        return ranked_drivers(key_drivers(rows, metric, label, dims), n, digits)
+
+    inside = [F.col("_m").bitwiseAND(F.lit(1 << i)) != 0 for i in range(len(dims))]
+    keys = [F.when(inside[i], F.col(d)).alias(f"_k{i}") for i, d in enumerate(parts)]
+    held = [f"_k{i}" for i in range(len(dims))]
+    name = F.concat_ws(" & ", *[
+        F.when(inside[i], F.concat(F.lit(f"{d}="), F.coalesce(F.col(held[i]).cast("string"), F.lit("NULL"))))
+        for i, d in enumerate(dims)])
+    moved = F.col("_test").cast("double") - F.col("_control").cast("double") * ratio
+    bits = F.array(*[F.lit(1 << i).cast("long") for i in range(len(dims))])
+    later = F.transform(F.filter(bits, lambda b: b > F.col("_m")), lambda b: b.bitwiseOR(F.col("_m")))
+
+    front, best, bar = cells.withColumn("_m", F.lit(0).cast("long")), None, 0.0
+    for _ in dims:
+        grown = front.select(*parts, "_control", "_test", F.explode(later).alias("_m")).select("*", *keys)
+        level = grown.groupBy("_m", *held).agg(
+            F.sum("_control").alias("metric_control"), F.sum("_test").alias("metric_test"),
+            F.sum(F.greatest(moved, F.lit(0.0))).alias("_up"),
+            F.sum(F.greatest(-moved, F.lit(0.0))).alias("_down")).checkpoint()
+        found = ranked_drivers(_finished(level, cells, name), n, digits)
+        best = (found if best is None else ranked_drivers(best.unionByName(found).drop("rank"), n, digits)).checkpoint()
+        got = best.agg(F.count("*").alias("n"), F.min(F.round(F.abs("surprise"), digits)).alias("least")).first()
+        bar = float(got["least"]) if got["n"] == n else 0.0
+        # The slack covers rounding of the ranks and of sums in floating point.
+        reach = F.greatest("_up", "_down") * (1 + 1e-9) + 10.0 ** -digits
+        alive = level.filter(reach >= bar).select(F.col("_m").alias("_mask"), *[F.col(k).alias(f"{k}_") for k in held])
+        same = F.col("_m") == F.col("_mask")
+        for k in held:
+            same = same & F.col(k).eqNullSafe(F.col(f"{k}_"))
+        open_end = F.col("_m") < (1 << (len(dims) - 1))  # a later dimension is left
+        front = grown.filter(open_end).join(alive, same, "leftsemi").select(*parts, "_control", "_test", "_m").checkpoint()
+        if front.isEmpty():
+            break
+    return best

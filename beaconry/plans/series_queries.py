@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from beaconry.functions.dates import add_months, bucket, ntz, sunday_zero_weekday
 from beaconry.operators import monitor as mon
-from beaconry.operators.drivers import key_drivers, ranked_drivers
+from beaconry.operators.drivers import key_drivers, ranked_drivers, top_drivers
 from beaconry.operators.series import detect_anomalies, forecast
 from beaconry.plans import models as md
 from beaconry.plans.feature_queries import BASE_SQL, training
@@ -179,6 +179,23 @@ def driver_top_ranked(t):
     return rounded(ranked_drivers(return_drivers(t), 25).select("segment", "surprise", "rank"), {"surprise": 0})
 
 
+WIDE_DIMS = [*DRIVER_DIMS, "p_size", "p_name"]
+WIDE_SQL = (RETURNS_SQL.replace("p_type, p_brand, n_name", "p_type, p_brand, p_size, p_name, n_name")
+            .replace("'p_brand=' || p_brand)", "'p_brand=' || p_brand, 'p_size=' || p_size, 'p_name=' || p_name)")
+            .replace("(region, metro, store, p_type, p_brand)", "(region, metro, store, p_type, p_brand, p_size, p_name)")
+            .replace("< 31", "< 127"))
+
+
+@query("driver_search_wide", "M13 G2", f"""
+WITH {WIDE_SQL} SELECT segment, round(surprise, 0) AS surprise,
+ row_number() OVER (ORDER BY round(abs(surprise), 0) DESC, segment)::INT AS rank FROM drv
+ORDER BY round(abs(surprise), 0) DESC, segment LIMIT 25""")
+def driver_search_wide(t):
+    sizes = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_size", "p_name")
+    found = top_drivers(return_rows(t).join(sizes, "l_partkey"), "metric", "label", WIDE_DIMS, 25)
+    return rounded(found.select("segment", F.col("surprise").cast("double").alias("surprise"), "rank"), {"surprise": 0})
+
+
 @query("driver_lapse_rate", "M13", f"""
 WITH {BASE_SQL}, b AS (SELECT *, tenure_days < 1500 AS label FROM base),
  s AS (SELECT concat_ws(' & ', 'region=' || region, 'donor_segment=' || donor_segment) AS segment,

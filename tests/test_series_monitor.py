@@ -6,7 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from beaconry.operators import monitor as mon
-from beaconry.operators.drivers import key_drivers, ranked_drivers
+from beaconry.operators.drivers import key_drivers, ranked_drivers, top_drivers
 from beaconry.operators.series import detect_anomalies, forecast, z_value
 
 
@@ -62,6 +62,47 @@ def test_drivers_equal_brute_force(spark):
     assert sorted(r["rank"] for r in top) == [1, 2, 3]
 
 
+def wide_rows(spark, dims, n, values):
+    rng = random.Random(5)
+    data = []
+    for i in range(n):
+        row = [rng.choice([None, *"abcd"[:values]]) for _ in range(dims)]
+        base = 900.0 if row[0] == "a" and row[2] == "b" and i % 2 else 0.0
+        data.append((*row, float(rng.randrange(10)) + base, i % 2 == 0))
+    names = [f"d{k}" for k in range(dims)]
+    return spark.createDataFrame(data, ", ".join(f"{d} string" for d in names) + ", m double, label boolean"), names
+
+
+def test_search_equals_the_full_lattice(spark):
+    df, names = wide_rows(spark, 5, 400, 2)
+    full = ranked_drivers(key_drivers(df, "m", "label", names), 12, 2).collect()
+    found = top_drivers(df, "m", "label", names, 12, 2).orderBy("rank").collect()
+    assert [(r["segment"], r["rank"]) for r in found] == [(r["segment"], r["rank"]) for r in full]
+    assert all(abs(a["surprise"] - b["surprise"]) < 1e-6 for a, b in zip(found, full))
+
+
+def test_search_prunes_fifteen_dimensions(spark):
+    df, names = wide_rows(spark, 15, 60, 4)
+    found = top_drivers(df, "m", "label", names, 3, 2).orderBy("rank").collect()
+    values = [r.asDict() for r in df.collect()]
+    control = sum(r["m"] for r in values if not r["label"])
+    ratio = sum(r["m"] for r in values if r["label"]) / control
+    assert len(found) == 3
+    for row in found:
+        want = dict(p.split("=") for p in row["segment"].split(" & "))
+        inside = [r for r in values if all(str(r[d] or "NULL") == v for d, v in want.items())]
+        moved = sum(r["m"] if r["label"] else -r["m"] * ratio for r in inside)
+        assert abs(row["surprise"] - moved) < 1e-6
+    single = ranked_drivers(key_drivers(df, "m", "label", names, max_depth=1), 1, 2).first()
+    assert abs(found[0]["surprise"]) >= abs(single["surprise"]) - 0.01
+
+
+def test_search_of_nothing_and_without_control(spark):
+    df, names = wide_rows(spark, 3, 10, 2)
+    assert top_drivers(df.limit(0), "m", "label", names, 5).count() == 0
+    assert top_drivers(df.filter("label"), "m", "label", names, 5).count() == 5
+
+
 def test_driver_values_may_be_null(spark):
     data = [("a", None, True, 3), ("a", "x", False, 2), (None, "x", True, 5), (None, None, False, 1)]
     df = spark.createDataFrame(data, "d1 string, d2 string, label boolean, m int")
