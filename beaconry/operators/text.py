@@ -66,11 +66,16 @@ def aspect_sentiment(texts: DataFrame, key: str, text: str, aspects: dict[str, l
     about = F.array(*[F.struct(
         F.lit(a).alias("aspect"), F.when(F.arrays_overlap("_w", term_array(terms)), F.col("_w")).alias("found"))
         for a, terms in aspects.items()])
-    # A sentence without the aspect leaves one NULL word, so every aspect keeps its row.
-    rows = words.select(key, F.inline(about)).select(key, "aspect", F.explode_outer("found").alias("token"))
-    return (rows.join(lexicon, "token", "left").groupBy(key, "aspect").agg(
-        F.count("token").alias("words"), F.count_if(F.col("polarity") == 1).alias("pos"),
-        F.count_if(F.col("polarity") == -1).alias("neg"))
+    rows = words.select(key, F.inline(about))
+    zero = F.lit(0).cast("long")
+    counted = rows.select(key, "aspect", F.greatest(F.coalesce(F.size("found"), F.lit(0)), F.lit(0)).cast("long").alias("words"),
+                          zero.alias("pos"), zero.alias("neg"))
+    # Only words of mentioning sentences meet the lexicon; rows without any keep their zeros.
+    hits = (rows.select(key, "aspect", F.explode("found").alias("token")).join(lexicon, "token")
+            .select(key, "aspect", zero.alias("words"), (F.col("polarity") == 1).cast("long").alias("pos"),
+                    (F.col("polarity") == -1).cast("long").alias("neg")))
+    return (counted.unionByName(hits).groupBy(key, "aspect").agg(
+        F.sum("words").alias("words"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
         .withColumn("sentiment", sentiment_label(F.col("pos"), F.col("neg"), F.col("words"))))
 
 

@@ -13,9 +13,10 @@ from beaconry.functions import sampling as sp
 from beaconry.functions.dates import bucket, ntz, sunday_zero_weekday
 from beaconry.functions.safe import clamp, div0, parse_score, rate
 from beaconry.operators.ordering import global_row_number, top_per_group
+from beaconry.operators.sketches import error_bound, merged_counts, read_day_sketches, write_day_sketches
 from beaconry.plans import models as md
 from beaconry.plans.registry import query
-from beaconry.session import latest
+from beaconry.session import latest, scratch_path
 
 
 def md5_bucket(key: str, salt: str, n: int = 100) -> str:
@@ -305,6 +306,23 @@ def aggregate_distinct_approx(t):
     return t.lineitem.groupBy("l_returnflag").agg(F.approx_count_distinct("l_orderkey").alias("orders"))
 
 
+@query("distinct_users_by_week", "E3 O1 E12", """
+WITH w AS (SELECT event_type, date_trunc('week', ts)::DATE AS week, count(DISTINCT user_id) AS users, count(*) AS n_rows FROM events GROUP BY ALL)
+SELECT event_type, week, users, n_rows::BIGINT AS n_rows, true AS within_bound FROM w""")
+def distinct_users_by_week(t):
+    """Weeks merged from daily sketches, each held against the exact count and the stated bound."""
+    path = scratch_path(t.spark, "day-sketches")
+    write_day_sketches(t.events, path, "ts", ["event_type"], "user_id")
+    by = ["event_type", F.date_trunc("week", "day").cast("date").alias("week")]
+    merged = merged_counts(read_day_sketches(t.spark, path), by)
+    exact = t.events.groupBy("event_type", F.date_trunc("week", "ts").cast("date").alias("week")).agg(
+        F.count_distinct("user_id").alias("users"))
+    off = F.abs(F.col("distinct_estimate") - F.col("users"))
+    held = off <= F.greatest(F.lit(1.0), F.col("users") * error_bound(12))
+    return exact.join(merged, ["event_type", "week"]).select(
+        "event_type", "week", "users", "n_rows", held.alias("within_bound"))
+
+
 @query("having_group_and_global", "E4", """
 SELECT o_custkey::VARCHAR AS who, count(*) AS n FROM orders GROUP BY 1 HAVING count(*) > 18
 UNION ALL SELECT 'all', count(*) FROM orders HAVING sum(o_totalprice) > 1000""")
