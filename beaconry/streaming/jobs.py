@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from beaconry.functions.dates import bucket
 from beaconry.operators.search import build_index, lengths
-from beaconry.streaming.sinks import batch_folders, latest_per_key, run_available
+from beaconry.streaming.sinks import all_windows, batch_folders, closing_windows, run_available, start_windows
 
 LATENESS = "1 hour"
 
@@ -80,12 +80,12 @@ def append_events(spark: SparkSession, inbox: str, schema: StructType, key: str,
 
 def daily_spend(spark: SparkSession, inbox: str, schema: StructType, user: str, ts: str, amount: str,
                 table: str, checkpoint: str) -> DataFrame:
-    """Running spend per user and day; a day leaves the state once the watermark passes it."""
+    """Running spend per user and day; a day is final once the watermark has passed it."""
     rows = event_time(file_stream(spark, inbox, schema), ts)
     spend = (rows.groupBy(user, F.window("event_time", "1 day").alias("w")).agg(F.sum(amount).alias("spend"))
              .select(user, window_day("w").alias("day"), "spend"))
-    run_available(ready(spend, table), batch_folders(table), checkpoint, "update")
-    return latest_per_key(spark, table, [user, "day"], ["spend"])
+    run_available(start_windows(spend, table), closing_windows(table, [user, "day"], "day"), checkpoint, "update")
+    return all_windows(spark, table, "day")
 
 
 def limit_status(daily: DataFrame, user: str, monthly_limit: float, daily_limit: float) -> DataFrame:
@@ -103,8 +103,8 @@ def window_means(spark: SparkSession, inbox: str, schema: StructType, ts: str, v
     means = (rows.groupBy(F.window("event_time", "1 day").alias("w")).agg(
         F.avg(value).alias("mean_value"), F.count("*").alias("n"))
         .select(window_day("w").alias("window_start"), "mean_value", "n"))
-    run_available(ready(means, table), batch_folders(table), checkpoint, "update")
-    return latest_per_key(spark, table, ["window_start"], ["mean_value", "n"])
+    run_available(start_windows(means, table), closing_windows(table, ["window_start"], "window_start"), checkpoint, "update")
+    return all_windows(spark, table, "window_start")
 
 
 def refresh_findings(spark: SparkSession, inbox: str, schema: StructType, rollup: Callable[[DataFrame], DataFrame],

@@ -1,5 +1,5 @@
 import os
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from conftest import rows
@@ -243,3 +243,25 @@ def test_rows_without_a_time_arrive(spark):
     df = spark.createDataFrame([(1, day), (2, None), (3, day.replace(day=9))], "i int, ts timestamp_ntz")
     for rows_, n in ((df, 3), (df.filter("i = 2"), 1), (df.limit(0), 0)):
         assert arrivals(t, rows_, "ts", lambda inbox: spark.read.schema(df.schema).parquet(inbox)).count() == n
+
+
+def test_closed_days_are_stored_once_and_batches_may_run_again(spark, tmp_path):
+    from beaconry.streaming.sinks import all_windows, closing_windows, start_windows
+
+    path = str(tmp_path / "windows")
+    schema = "user_id long, day date, spend double"
+    start_windows(spark.createDataFrame([], schema), path)
+    step = closing_windows(path, ["user_id", "day"], "day")
+    state, day = {}, datetime(2024, 1, 1).date()
+    for batch in range(12):
+        today = day + timedelta(days=batch)
+        updates = [(1, today, float(batch)), (None, today, 1.0), (1, today - timedelta(days=1), 100.0 + batch)]
+        state |= {u[:2]: u[2] for u in updates}
+        for _ in range(2):  # each batch is retried
+            step(spark.createDataFrame(updates, schema), batch)
+        got = {(r["user_id"], r["day"]): r["spend"] for r in all_windows(spark, path, "day").collect()}
+        assert got == state
+    assert spark.read.parquet(f"{path}/final").count() == sum(d < today - timedelta(days=1) for _, d in state)
+    assert spark.read.parquet(f"{path}/open").count() <= 14
+    step(spark.createDataFrame([], schema), 12)
+    assert all_windows(spark, path, "day").count() == len(state)
