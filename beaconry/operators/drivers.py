@@ -9,6 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from beaconry.functions.safe import rate
+from beaconry.session import scratch_path
+from beaconry.sources.tables import replace_table
 
 
 def _cells(rows: DataFrame, metric: str, label: str, dims: list[str]) -> DataFrame:
@@ -69,50 +71,86 @@ def top_drivers(rows: DataFrame, metric: str, label: str, dims: list[str], n: in
     A segment's surprise is the sum of its cells' surprises, so no part of it can move more
     than the sum of its positive or of its negative cells. The lattice is searched level by
     level: segments grow by one later dimension, and one whose bound lies below the n-th best
-    found so far is not grown. The result is exact; where no bound excludes anything, every
-    segment is visited, as in ``key_drivers``. Cells, segments of a level and the cells below
-    the living segments stay in Spark; the driver reads one threshold a level.
+    found so far is not grown. A value whose own segment is excluded is forgotten, as is a
+    dimension that a branch no longer adds, and cells that then agree become one: a level
+    holds sums per living segment and what it may still grow by, not copies of the cells.
+    The result is exact; where no bound excludes anything, every segment is visited, as in
+    ``key_drivers``. All of it stays in Spark, stored narrow and compressed; the driver reads
+    one threshold a level.
 
     Without a control total the surprise is NULL and segments are ranked by name.
     """
     if not 0 < len(dims) < 63:
         raise ValueError("between 1 and 62 dimensions")
+    spark = rows.sparkSession
+
+    def stored(df: DataFrame) -> DataFrame:
+        return replace_table(df, scratch_path(spark, "drivers"))
+
     named = rows.select(*[F.col(d).alias(f"_d{i}") for i, d in enumerate(dims)], metric, label)
     parts = [f"_d{i}" for i in range(len(dims))]
-    cells = _cells(named, metric, label, parts).checkpoint()
+    cells = stored(_cells(named, metric, label, parts))
     ratio = cells.agg(rate(F.sum("_test"), F.sum("_control")).cast("double").alias("r")).first()["r"]
     if ratio is None:
         return ranked_drivers(key_drivers(rows, metric, label, dims), n, digits)
 
-    inside = [F.col("_m").bitwiseAND(F.lit(1 << i)) != 0 for i in range(len(dims))]
-    keys = [F.when(inside[i], F.col(d)).alias(f"_k{i}") for i, d in enumerate(parts)]
+    def has(mask: str, i: int) -> Column:
+        return F.col(mask).bitwiseAND(F.lit(1 << i).cast("long")) != 0
+
     held = [f"_k{i}" for i in range(len(dims))]
     name = F.concat_ws(" & ", *[
-        F.when(inside[i], F.concat(F.lit(f"{d}="), F.coalesce(F.col(held[i]).cast("string"), F.lit("NULL"))))
+        F.when(has("_m", i), F.concat(F.lit(f"{d}="), F.coalesce(F.col(held[i]).cast("string"), F.lit("NULL"))))
         for i, d in enumerate(dims)])
+    kinds = cells.agg(F.sum("_control").alias("_control"), F.sum("_test").alias("_test")).schema
+
+    def total(c: str) -> Column:  # of one type at every level, however often summed
+        return F.sum(c).cast(kinds[c].dataType)
+
     moved = F.col("_test").cast("double") - F.col("_control").cast("double") * ratio
-    bits = F.array(*[F.lit(1 << i).cast("long") for i in range(len(dims))])
-    later = F.transform(F.filter(bits, lambda b: b > F.col("_m")), lambda b: b.bitwiseOR(F.col("_m")))
-
-    front, best, bar = cells.withColumn("_m", F.lit(0).cast("long")), None, 0.0
-    for _ in dims:
-        grown = front.select(*parts, "_control", "_test", F.explode(later).alias("_m")).select("*", *keys)
-        level = grown.groupBy("_m", *held).agg(
-            F.sum("_control").alias("metric_control"), F.sum("_test").alias("metric_test"),
-            F.sum(F.greatest(moved, F.lit(0.0))).alias("_up"),
-            F.sum(F.greatest(-moved, F.lit(0.0))).alias("_down")).checkpoint()
+    best = None
+
+    def measured(grown: DataFrame) -> DataFrame:
+        """Sums and bounds of each segment (``_m``, its values) of rows still to grow."""
+        return stored(grown.groupBy("_m", *[F.when(has("_m", i), F.col(d)).alias(held[i]) for i, d in enumerate(parts)]).agg(
+            total("_control").alias("metric_control"), total("_test").alias("metric_test"),
+            F.sum(F.greatest(moved, F.lit(0.0))).alias("_up"), F.sum(F.greatest(-moved, F.lit(0.0))).alias("_down")))
+
+    def living(level: DataFrame) -> DataFrame:
+        """Segments that may still hold one of the ``n`` best, after those of this level are ranked."""
+        nonlocal best
         found = ranked_drivers(_finished(level, cells, name), n, digits)
-        best = (found if best is None else ranked_drivers(best.unionByName(found).drop("rank"), n, digits)).checkpoint()
+        best = stored(found if best is None else ranked_drivers(best.unionByName(found).drop("rank"), n, digits))
         got = best.agg(F.count("*").alias("n"), F.min(F.round(F.abs("surprise"), digits)).alias("least")).first()
         bar = float(got["least"]) if got["n"] == n else 0.0
         # The slack covers rounding of the ranks and of sums in floating point.
         reach = F.greatest("_up", "_down") * (1 + 1e-9) + 10.0 ** -digits
-        alive = level.filter(reach >= bar).select(F.col("_m").alias("_mask"), *[F.col(k).alias(f"{k}_") for k in held])
-        same = F.col("_m") == F.col("_mask")
-        for k in held:
-            same = same & F.col(k).eqNullSafe(F.col(f"{k}_"))
-        open_end = F.col("_m") < (1 << (len(dims) - 1))  # a later dimension is left
-        front = grown.filter(open_end).join(alive, same, "leftsemi").select(*parts, "_control", "_test", "_m").checkpoint()
+        return stored(level.filter(reach >= bar).select("_m", *held))
+
+    bits = F.array(*[F.lit(1 << i).cast("long") for i in range(len(dims))])
+    alive = living(measured(cells.select("*", F.explode(bits).alias("_m"))))
+    # A value whose own segment can't reach the best is in no segment that can: it is forgotten,
+    # and cells that differ in such values only become one.
+    front = cells.withColumn("_l", F.lit(0).cast("long"))
+    for i, d in enumerate(parts):
+        own = alive.filter(F.col("_m") == (1 << i)).select(F.col(held[i]).alias("_v"), F.lit(1 << i).cast("long").alias("_bit"))
+        front = (front.join(own, F.col(d).eqNullSafe(F.col("_v")), "left")
+                 .withColumns({"_l": F.col("_l") + F.coalesce("_bit", F.lit(0)), d: F.when(F.col("_bit").isNotNull(), F.col(d))})
+                 .drop("_v", "_bit"))
+    front = front.withColumn("_m", F.lit(0).cast("long"))
+    for depth in range(len(dims)):
+        # ``_l``: dimensions still to add. Others that the segment does not hold are dropped.
+        step = F.explode(F.filter(bits, lambda b: b.bitwiseAND(F.col("_l")) != 0)).alias("_bit")
+        grown = (front.select("*", step)
+                 .withColumns({"_m": F.col("_m").bitwiseOR(F.col("_bit")), "_l": F.col("_l").bitwiseAND(-2 * F.col("_bit"))}))
+        grown = stored(grown.groupBy("_m", "_l", *[F.when(has("_m", i) | has("_l", i), F.col(d)).alias(d) for i, d in enumerate(parts)])
+                       .agg(total("_control").alias("_control"), total("_test").alias("_test")))
+        if depth:  # segments of one value are known
+            alive = living(measured(grown))
+            same = F.col("_m") == F.col("_m_")
+            for i, (d, k) in enumerate(zip(parts, held)):
+                same = same & F.when(has("_m", i), F.col(d)).eqNullSafe(F.col(f"{k}_"))
+            grown = grown.join(alive.select(*[F.col(c).alias(f"{c}_") for c in alive.columns]), same, "leftsemi")
+        front = grown.filter("_l != 0")
         if front.isEmpty():
             break
     return best
