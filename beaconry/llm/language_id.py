@@ -173,9 +173,9 @@ def _labelled(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
             .filter("lang IS NOT NULL AND text IS NOT NULL"))
 
 
-def _fit(rows: DataFrame) -> Model | None:
-    """A model without limits from the counts of all (lang, text) rows."""
-    grams = _counted(rows).groupBy("lang", "gram").agg(F.sum("n").alias("n")).checkpoint()
+def _fit(rows: DataFrame) -> tuple[Model | None, DataFrame]:
+    """A model without limits from the counts of all (lang, text) rows, and those counts."""
+    counted = grams = _counted(rows).groupBy("lang", "gram").agg(F.sum("n").alias("n")).checkpoint()
     tables = []
     for k in range(ORDER, 0, -1):
         tables.insert(0, _folded(grams, k).toPandas())
@@ -184,29 +184,101 @@ def _fit(rows: DataFrame) -> Model | None:
             grams = (grams.select("lang", F.col("gram").bitwiseAND(F.lit(mask)).alias("gram"))
                      .groupBy("lang", "gram").agg(F.count("*").alias("n")))
     if not len(tables[0]):
-        return None
+        return None, counted
     languages = sorted(tables[0]["lang"].unique())
-    return estimate(tables, languages, tables[0]["h"].nunique() + 1)
+    return estimate(tables, languages, tables[0]["h"].nunique() + 1), counted
+
+
+def _shuffled_costs(model: Model, counted: DataFrame) -> np.ndarray:
+    """Bits per character of each language's texts with all their letters in random places,
+    by the model that likes them most: an expectation over every row, without any draw.
 
+    Words keep their lengths, letters are independent with their share of the language's
+    letters. The logarithm of a probability is that of the next lower order, plus the
+    back-off of a known context, plus what a seen gram changes; so its mean is a sum over
+    known contexts and seen grams, each weighted by its chance. Terms are whole numbers of
+    2**-40 bits, so the sum does not depend on its order.
+    """
+    column = {name: i for i, name in enumerate(model.languages)}
+    size = len(column)
+
+    def char(i: int) -> Column:
+        return F.shiftright("gram", 16 * i).bitwiseAND(F.lit(0xFFFF))
+
+    gaps = sum([F.when(char(i) == 32, 1 << i).otherwise(0) for i in range(1, ORDER)], F.when(char(0) == 32, 1).otherwise(0))
+    patterns, letters = np.zeros((size, 1 << ORDER)), np.zeros((size, 1 << 16))
+    for lang, gap, n in counted.groupBy("lang", gaps.alias("gap")).agg(F.sum("n")).collect():
+        patterns[column[lang], gap] = n
+    for lang, c, n in counted.groupBy("lang", char(0).alias("c")).agg(F.sum("n")).collect():
+        letters[column[lang], c] = n
+    patterns /= patterns.sum(axis=1, keepdims=True)
+    letters[:, 32] = 0
+    letters /= np.maximum(letters.sum(axis=1, keepdims=True), 1)
+    letters[:, 32] = 1  # where spaces are is part of the pattern
+    shared = counted.sparkSession.sparkContext.broadcast((model, patterns, letters))  # at most 2**22 rows per order
+    schema = "k long, m long, bits long"
+    out = arrow_schema(schema)
 
-def _limits(model: Model, rows: DataFrame, real: DataFrame, calibration_rows: int, quantile: float) -> np.ndarray:
+    def found(keys, values, h):
+        return values[np.minimum(np.searchsorted(keys, h), len(keys) - 1)]
+
+    def terms(k, first, gram):
+        """Chance by language, and change in bits by model, of grams (``first`` 0) or contexts (1) of an order."""
+        m, patterns, letters = shared.value
+        chars = [(gram >> np.uint64(16 * i)) & np.uint64(0xFFFF) for i in range(first, k)]
+        gap = sum((c == 32).astype(np.int64) << i for i, c in enumerate(chars, first))
+        kept = ((1 << k) - 1) & ~first
+        chance = np.zeros((size, 1 << ORDER))
+        for p in range(1 << ORDER):
+            chance[:, p & kept] += patterns[:, p]
+        weight = chance[:, gap]
+        for c in chars:
+            weight = weight * letters[:, c.astype(np.int64)]
+        if k == 1:
+            return weight, np.log2(np.maximum(found(m.grams[0], m.chances[0], fold(gram, 1)), 1e-30))
+        back = found(m.contexts[k - 1], m.backoff[k - 1], fold(gram >> np.uint64(16), k - 1))
+        if first:
+            return weight, np.log2(np.maximum(back, 1e-30))
+        whole = found(m.grams[k - 1], m.chances[k - 1], fold(gram, k))
+        under = found(m.grams[k - 2], m.chances[k - 2], fold(gram, k - 1))
+        return weight, np.log2(np.maximum(whole, 1e-30)) - np.log2(np.maximum(back * under, 1e-30))
+
+    def run(batches):
+        total, at_once = np.zeros((size, size), np.int64), max(1, (1 << 18) // size ** 2)
+        for batch in batches:
+            order, first = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            grams = batch.column(2).to_numpy().view(np.uint64)
+            for k, f in sorted(set(zip(order.tolist(), first.tolist()))):
+                some = grams[(order == k) & (first == f)]
+                for i in range(0, len(some), at_once):
+                    weight, bits = terms(k, f, some[i:i + at_once])
+                    total += np.rint(weight[:, None, :] * bits.T[None, :, :] * 2.0 ** 40).astype(np.int64).sum(axis=2)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(v.ravel()) for v in (*np.indices(total.shape), total)], schema=out)
+
+    places = [(k, f) for k in range(1, ORDER + 1) for f in ((0, 1) if k > 1 else (0,))]
+    every = counted.select(F.inline(F.array(*[F.struct(
+        F.lit(k).cast("long").alias("k"), F.lit(f).cast("long").alias("first"),
+        F.col("gram").bitwiseAND(F.lit(((1 << 16 * k) - 1 if k < ORDER else -1) & ~(0xFFFF * f))).alias("gram"))
+        for k, f in places]))).distinct()
+    total = np.zeros((size, size))
+    for lang, other, bits in every.mapInArrow(run, schema).groupBy("k", "m").agg(F.sum("bits")).collect():
+        total[lang, other] = -bits / 2.0 ** 40
+    return total.min(axis=1)
+
+
+def _limits(model: Model, counted: DataFrame, real: DataFrame, quantile: float) -> np.ndarray:
     """Rejection limit of each language; ``real`` has ``lang_pred, cost`` of the labelled rows
     that went to their own language."""
     # Null: rows of all languages, for one that none of its own rows went to.
     real = real.rollup("lang_pred").agg(F.percentile_approx("cost", quantile, 10_000).alias("q"))
     most = {r["lang_pred"]: r["q"] for r in real.collect()}
-    share = max(1, calibration_rows // len(model.languages))
-    every = [v for r in rows.groupBy("lang").count().collect()
-             for v in (F.lit(r["lang"]), F.lit(max(1, r["count"] // share)))]
-    some = (rows.filter(F.pmod(F.xxhash64("text"), F.create_map(*every)[F.col("lang")]) == 0)
-            .select("lang", "text").distinct())
-    noise = _scored(map_rows(some, _letters_shuffled, "lang string, text string"), model)
-    apart = noise.agg(F.percentile_approx("cost", 0.5, 10_000).alias("q")).first()["q"]
 
-    def limit(q):
-        return np.inf if q is None else (q + max(apart if apart is not None else q, q)) / 2
+    def limit(name, apart):
+        q = most.get(name, most.get(None))
+        return np.inf if q is None else (q + max(apart, q)) / 2
 
-    return np.array([limit(most.get(name, most.get(None))) for name in model.languages])
+    return np.array([limit(*pair) for pair in zip(model.languages, _shuffled_costs(model, counted).tolist())])
 
 
 def learn(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
@@ -214,20 +286,19 @@ def learn(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     """A model from all rows with a text and a language; None without any.
 
     Counts cover every row. The rejection limit of a language lies half way between
-    the ``quantile`` of cross-entropy of all its rows and the median of texts with
-    their letters shuffled: about ``calibration_rows`` distinct ones, an equal share of
-    each language chosen by a hash, and all of a language that has fewer.
+    the ``quantile`` of cross-entropy of all its rows and the mean of its texts with
+    their letters shuffled, which follows from the counts of all rows too. Nothing is
+    sampled; ``calibration_rows`` is kept for callers and bounds nothing.
     """
     rows = _labelled(df, text_col, lang_col)
-    model = _fit(rows)
+    model, counted = _fit(rows)
     if model is not None:
         real = _scored(rows.select("lang", "text"), model).filter("lang_pred = id")
-        model.limits = _limits(model, rows, real, calibration_rows, quantile)
+        model.limits = _limits(model, counted, real, quantile)
     return model
 
 
-def _scored_once(df: DataFrame, learns: Column, text_col: str, lang_col: str, calibration_rows: int,
-                 quantile: float) -> tuple[DataFrame, dict[str, Column], Column] | None:
+def _scored_once(df: DataFrame, learns: Column, text_col: str, lang_col: str, quantile: float) -> tuple[DataFrame, dict[str, Column], Column] | None:
     """All rows with their scores, stored, after learning from those where ``learns`` holds.
 
     Each text is scored once: the limits come from the same scores that they are
@@ -236,7 +307,7 @@ def _scored_once(df: DataFrame, learns: Column, text_col: str, lang_col: str, ca
     """
     spark, path = df.sparkSession, scratch_path(df.sparkSession, "scored")
     rows = _labelled(df.filter(learns), text_col, lang_col)
-    model = _fit(rows)
+    model, counted = _fit(rows)
     if model is None:
         return None
     clear = "_" * (1 + max(map(len, df.columns)))
@@ -265,7 +336,7 @@ def _scored_once(df: DataFrame, learns: Column, text_col: str, lang_col: str, ca
     score = {n: F.col(c) for n, c in added.items()}
     own = score["learns"] & (score["lang"] == score["lang_pred"])
     real = stored.filter(own).select(score["lang_pred"].alias("lang_pred"), score["cost"].alias("cost"))
-    limits = _limits(model, rows, real, calibration_rows, quantile)
+    limits = _limits(model, counted, real, quantile)
     limit = F.create_map(*[F.lit(v) for pair in zip(model.languages, limits.tolist()) for v in pair])
     return stored, score, F.coalesce(score["cost"] <= limit[score["lang_pred"]], F.lit(False))
 
@@ -276,7 +347,7 @@ def learn_and_identify(df: DataFrame, learns: Column, id_col: str = "doc_id", te
     holds, each text scored once."""
     rows = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"),
                      F.col(f"`{lang_col}`").alias("lang"), learns.alias("from"))
-    got = _scored_once(rows, F.col("from"), "text", "lang", calibration_rows, quantile)
+    got = _scored_once(rows, F.col("from"), "text", "lang", quantile)
     if got is None:
         return identify(rows, None, "id")
     stored, score, accepted_row = got
@@ -296,7 +367,7 @@ def learn_and_accept(df: DataFrame, text_col: str = "text", lang_col: str = "lan
     text = F.col(f"`{text_col}`").cast("string")
     digest = F.unhex(F.sha2(text.cast("binary"), 256))
     rows = df.select(digest.alias("digest"), text.alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
-    got = _scored_once(rows, F.lit(True), "text", "lang", calibration_rows, quantile)
+    got = _scored_once(rows, F.lit(True), "text", "lang", quantile)
     if got is None:
         return accepted(df, None)
     stored, _, accepted_row = got
@@ -306,18 +377,6 @@ def learn_and_accept(df: DataFrame, text_col: str = "text", lang_col: str = "lan
             .join(refused, F.col(clear) == F.col(clear + "_of"), "left_anti").drop(clear))
 
 
-def _letters_shuffled(langs, texts):
-    """The same texts with the letters of each in random places: no language at all."""
-    out = []
-    for text in texts:
-        letters = [i for i, c in enumerate(text) if c.isalpha()]
-        mixed, chars = np.random.default_rng(len(text)).permutation(letters), list(text)
-        for to, of in zip(letters, mixed.tolist()):
-            chars[to] = text[of]
-        out.append("".join(chars))
-    return langs, out
-
-
 class Scorer:
     """Scores whole texts with a model; token sums are remembered up to a fixed number."""
 
