@@ -12,6 +12,9 @@ from beaconry.functions.safe import rate
 from beaconry.session import scratch_path
 from beaconry.sources.tables import replace_table
 
+#: Cells that a task of ``key_drivers`` expands into grouping sets, about.
+CELLS_OF_TASK = 100_000
+
 
 def _cells(rows: DataFrame, metric: str, label: str, dims: list[str]) -> DataFrame:
     """Sums of both groups per full dimension combination."""
@@ -41,15 +44,17 @@ def key_drivers(rows: DataFrame, metric: str, label: str, dims: list[str],
 
     ``label`` is true for the test group. Rows are first summed per full
     dimension combination; only those sums are expanded into grouping sets, so
-    the data itself is shuffled once and never multiplied.
+    the data itself is shuffled once and never multiplied. The sums are stored first.
 
     surprise = test − control × (total test / total control): what the segment
     moved beyond the overall change. A NULL value of a dimension is a value of
     its own, written ``dimension=NULL``.
     """
-    cells = _cells(rows, metric, label, dims)
+    cells = replace_table(_cells(rows, metric, label, dims), scratch_path(rows.sparkSession, "cells"))
+    # A task holds the sums of all sets over its cells, so the cells of one are bounded.
+    spread = cells.repartition(1 + cells.count() // CELLS_OF_TASK)
     sets = [list(c) for n in range(1, (max_depth or len(dims)) + 1) for c in combinations(dims, n)]
-    segments = cells.groupingSets([[F.col(d) for d in s] for s in sets], *dims).agg(
+    segments = spread.groupingSets([[F.col(d) for d in s] for s in sets], *dims).agg(
         F.sum("_control").alias("metric_control"), F.sum("_test").alias("metric_test"),
         *[F.grouping(d).alias(f"_out_{d}") for d in dims])
     name = F.concat_ws(" & ", *[
