@@ -94,11 +94,22 @@ def keyword_search(docs: DataFrame, key: str, text: str, query: str, k: int, col
     return best.select(key, *columns, "keyword_score")
 
 
-def build_index(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Inverted index: term, document, term frequency, document length."""
-    rows = once(docs.select(key, text), "_w", tokens(F.col(text))).select(
-        key, F.size("_w").alias("doc_len"), F.explode("_w").alias("term"))
-    return rows.groupBy("term", key, "doc_len").agg(F.count("*").cast("int").alias("tf"))
+def build_index(docs: DataFrame, key: str, text: str, by_term: bool = False) -> DataFrame:
+    """Inverted index: term, document, term frequency, document length.
+
+    Words are counted in the row that holds them: the sorted words change where a run
+    starts, so what is shuffled, once, is one row per document and distinct word.
+    ``by_term`` deals the postings out by term alone, for a store clustered by term.
+    """
+    rows = once(docs.select(key, text), "_w", F.sort_array(tokens(F.col(text)))).filter(F.size("_w") > 0)
+    changed = F.filter(F.sequence(F.lit(0), F.size("_w") - 1),
+                       lambda i: (i == 0) | (F.get("_w", i) != F.get("_w", F.greatest(i - 1, F.lit(0)))))
+    runs = once(rows.select(key, "_w"), "_starts", changed).select(
+        key, "_w", "_starts", F.size("_w").alias("doc_len"), F.posexplode("_starts").alias("_run", "_start"))
+    ends = F.coalesce(F.get("_starts", F.col("_run") + 1), F.col("doc_len"))
+    counts = runs.select(F.get("_w", F.col("_start")).alias("term"), key, "doc_len", (ends - F.col("_start")).alias("_tf"))
+    counts = counts.repartition("term") if by_term else counts
+    return counts.groupBy("term", key, "doc_len").agg(F.sum("_tf").cast("int").alias("tf"))
 
 
 def lengths(docs: DataFrame, key: str, text: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from beaconry.functions.dates import bucket
 from beaconry.operators.search import build_index, lengths
+from beaconry.sources.tables import replace_table
 from beaconry.streaming.sinks import all_windows, batch_folders, closing_windows, run_available, start_windows
 
 LATENESS = "1 hour"
@@ -149,14 +150,17 @@ def refresh_index(spark: SparkSession, inbox: str, schema: StructType, key: str,
     """
     def step(batch: DataFrame, batch_id: int) -> None:
         known = F.col(key).isNotNull()
-        fresh = (batch.filter(known).groupBy(key).agg(F.max(text).alias(text))
-                 .unionByName(batch.filter(~known).select(key, text)))
+        # Texts are grouped for the keys that come several times in this batch, others stay where they are.
+        repeated = replace_table(batch.filter(known).groupBy(key).agg(F.count("*").alias("_n")).filter("_n > 1").select(key),
+                                 f"{root}/repeated/batch={batch_id}")
+        fresh = (batch.select(key, text).join(repeated, key, "left_anti")
+                 .unionByName(batch.join(repeated, key, "left_semi").groupBy(key).agg(F.max(text).alias(text))))
         earlier = spark.read.parquet(f"{root}/lengths").filter(F.col("batch") < batch_id)
         newest = earlier.filter(known).groupBy(key).agg(F.max_by("doc_len", "batch").alias("doc_len"))
         gone = newest.join(fresh.filter(known).select(key), key)
         batch_folders(f"{root}/tombstones")(gone, batch_id)
         batch_folders(f"{root}/lengths", lambda b: lengths(b, key, text))(fresh, batch_id)
-        batch_folders(f"{root}/postings", lambda b: build_index(b, key, text).repartition("term").sortWithinPartitions("term"))(fresh, batch_id)
+        batch_folders(f"{root}/postings", lambda b: build_index(b, key, text, by_term=True).sortWithinPartitions("term"))(fresh, batch_id)
 
     rows = file_stream(spark, inbox, schema)
     none = spark.createDataFrame([], schema)

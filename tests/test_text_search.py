@@ -1,5 +1,6 @@
 import math
 import random
+from collections import Counter
 
 import pytest
 from conftest import rows
@@ -231,3 +232,14 @@ def test_bitmaps_are_filters(spark):
     assert bitmaps.size_of(bitmaps.matching(stored, {"x": ["z"]})).first()[0] == 0
     plan = bitmaps.matching(stored, {"x": ["a"]})._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "PushedFilters: [" in plan
+
+
+def test_postings_are_shuffled_once(spark):
+    data = [(1, "red owl Red"), (1, "owl red red"), (2, ""), (3, None), (None, "b a"), (None, "a c"), (4, "x")]
+    df = spark.createDataFrame(data, "id long, t string").repartition(3)
+    want = Counter((w, i, len(t.split())) for i, t in data if t for w in t.lower().split())
+    for by_term in (False, True):
+        index = se.build_index(df, "id", "t", by_term)
+        assert {(r["term"], r["id"], r["doc_len"]): r["tf"] for r in index.collect()} == want
+    plan = index.sortWithinPartitions("term")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == 1
