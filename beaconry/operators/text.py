@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from beaconry.functions.text import once, term_array, term_hits, token_set, tokens
 from beaconry.operators.ordering import top_per_group
+from beaconry.session import shared_root
 
 
 def learn_polarity(docs: DataFrame, labels: DataFrame, key: str, text: str, negative: str,
@@ -94,18 +95,19 @@ def labels_above(scores: dict[str, Column], threshold: int) -> Column:
 def theme_weights(texts: DataFrame, group: str | None, text: str, min_chars: int = 1) -> DataFrame:
     """tf · ln(N / df) of every word, per group or for the whole corpus (None).
 
-    The text is split and exploded once: each word of a row gives one count of its
-    use, each distinct word one of the row, summed together before the shuffle.
+    The text is split and exploded once: sorted, a word's first place in a row counts the
+    row, each place its use. Counts are summed together before the shuffle; per group
+    they are checkpointed, as the groups' and the whole corpus's numbers both need them.
     """
     keys = [group] if group else []
-    rows = once(texts.select(*keys, text), "_w", tokens(F.col(text)))
-
-    def counted(words: Column, tf: int, df: int) -> Column:
-        return F.transform(words, lambda w: F.struct(w.alias("token"), F.lit(tf).alias("tf"), F.lit(df).alias("df")))
-
-    both = F.concat(counted(F.col("_w"), 1, 0), counted(F.array_distinct("_w"), 0, 1))
-    per = (rows.select(*keys, F.inline(both)).filter(F.char_length("token") >= min_chars)
-           .groupBy(*keys, "token").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df")))
+    rows = once(texts.select(*keys, text), "_w", F.sort_array(tokens(F.col(text))))
+    used = rows.select(*keys, "_w", F.posexplode("_w").alias("_at", "token")).filter(F.char_length("token") >= min_chars)
+    first = (F.col("_at") == 0) | (F.col("token") != F.get("_w", F.greatest(F.col("_at") - 1, F.lit(0))))
+    per = (used.select(*keys, "token", first.cast("int").alias("_first")).groupBy(*keys, "token")
+           .agg(F.count("*").alias("tf"), F.sum("_first").alias("df")))
+    if group:
+        shared_root(texts.sparkSession)
+        per = per.checkpoint()
     size = texts.agg(F.count("*")).scalar()
     if group:
         whole = per.groupBy("token").agg(F.sum("df").alias("_df"))

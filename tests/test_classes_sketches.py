@@ -87,3 +87,19 @@ def test_aspects_keep_rows_without_words(spark):
     assert got[1, "food"] == got[1, "company"] == (3, 1, 0, "positive")
     assert got[None, "company"] == (2, 0, 1, "negative")
     assert got[3, "food"] == (0, 0, 0, "unknown")
+
+
+def test_themes_count_a_text_once(spark):
+    data = [("a", "Red red owl"), ("a", None), ("b", "owl b"), (None, "red x x x"), ("b", ""), ("a", "owl-red")]
+    df = spark.createDataFrame(data, "g string, t string")
+    for group, least in (("g", 2), (None, 1)):
+        want = Counter()
+        words = [(g, [w for w in (t or "").lower().replace("-", " ").split() if len(w) >= least]) for g, t in data]
+        spread = Counter(w for _, ws in words for w in set(ws))
+        for g, ws in words:
+            want.update((g, w) if group else (w,) for w in ws)
+        out = tx.theme_weights(df, group, "t", least)
+        assert {tuple(r)[:-3]: (r["tf"], r["df"], r["weight"]) for r in out.collect()} == {
+            k: (n, spread[k[-1]], round(n * math.log(len(data) / spread[k[-1]]), 4)) for k, n in want.items()}
+        # Groups and the whole corpus take their numbers from stored counts, not from the texts again.
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("Generate") == (0 if group else 2)
