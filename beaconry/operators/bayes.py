@@ -15,15 +15,22 @@ from pyspark.sql import functions as F
 from beaconry.functions.text import tokens
 
 UNIT = 1_000_000
+#: Most words whose weights are broadcast.
+COMMON = 1 << 17
 
 
 @dataclass
 class WordModel:
-    """One row per word with an array of weights, one per class, and each class's prior."""
+    """One row per word with an array of weights, one per class, and each class's prior.
+
+    ``common`` holds the words that make up at least one in ``COMMON`` of all words
+    learnt from, hence at most ``COMMON`` rows; ``words`` holds all.
+    """
 
     classes: list[str]
     words: DataFrame
     priors: list[int]
+    common: DataFrame
 
 
 def _log(value: Column) -> Column:
@@ -57,28 +64,34 @@ def learn_classes(docs: DataFrame, text: str, classes: dict[str, Column], rivals
         own = _log((F.col(n) + 1) / (F.col("_n") + 1))
         return own if rivals else own - _log((F.col("_n") - F.col(n) + 1) / (F.col("_n") + 1))
 
-    table = counts.select("token", F.array(*[weight(n) for n in names]).alias("weights"))
-    return WordModel(list(classes), table, list(docs_of.select(*[prior(n).alias(n) for n in names]).first()))
+    table = counts.select("token", "_n", F.array(*[weight(n) for n in names]).alias("weights"))
+    common = table.filter(F.col("_n") * COMMON >= words["_n"]).drop("_n")
+    return WordModel(list(classes), table.drop("_n"), list(docs_of.select(*[prior(n).alias(n) for n in names]).first()), common)
 
 
-def class_scores(docs: DataFrame, keys: list[str], text: str, model: WordModel, salts: int = 16) -> DataFrame:
+def class_scores(docs: DataFrame, keys: list[str], text: str, model: WordModel, salts: int = 4) -> DataFrame:
     """``keys`` and ``scores`` (array of long, one per class), one row per combination of
     keys, NULLs included; rows of equal keys are scored as one text.
 
     Words that the model does not know count nothing; a NULL or empty text scores the
-    priors. Each word of the model is held ``salts`` times and documents are dealt over
-    them, so that a word in every document is no single task; what is shuffled is one row
-    per document and distinct word.
+    priors. Weights of the common words (at most ``COMMON``, ``WordModel.common``) are
+    broadcast and summed in the task that reads the text. All other words of the model are
+    joined: each is held ``salts`` times and documents are dealt over them, so that a
+    word in every document is no single task; what is shuffled is one row per document and
+    distinct word that is not common.
     """
-    pairs = (docs.select(*keys, F.explode(tokens(F.col(text))).alias("token"))
+    slots = range(len(model.classes))
+    words = docs.select(*keys, F.explode(tokens(F.col(text))).alias("token"))
+    weighed = words.join(F.broadcast(model.common), "token").groupBy(*keys).agg(
+        *[F.sum(F.col("weights")[i]).alias(f"_s{i}") for i in slots])
+    pairs = (words.join(F.broadcast(model.common.select("token")), "token", "left_anti")
              .groupBy(*keys, "token").agg(F.count("*").alias("_times"))
              .withColumn("_salt", F.pmod(F.xxhash64(*keys), F.lit(salts)).cast("int")))
     table = model.words.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    slots = range(len(model.classes))
     hits = pairs.join(table, ["token", "_salt"]).select(
         *keys, *[(F.col("weights")[i] * F.col("_times")).alias(f"_s{i}") for i in slots])
     zeros = docs.select(*keys, *[F.lit(0).cast("long").alias(f"_s{i}") for i in slots])
-    return (zeros.unionByName(hits).groupBy(*keys).agg(*[F.sum(f"_s{i}").alias(f"_s{i}") for i in slots])
+    return (zeros.unionByName(weighed).unionByName(hits).groupBy(*keys).agg(*[F.sum(f"_s{i}").alias(f"_s{i}") for i in slots])
             .select(*keys, F.array(*[F.col(f"_s{i}") + model.priors[i] for i in slots]).alias("scores")))
 
 

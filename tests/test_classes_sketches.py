@@ -89,6 +89,19 @@ def test_aspects_keep_rows_without_words(spark):
     assert got[3, "food"] == (0, 0, 0, "unknown")
 
 
+def test_scores_are_alike_however_many_words_are_broadcast(spark, monkeypatch):
+    _, df = labelled(spark)
+    classes = {k: F.col("kind") == k for k in ("pay", "ship")}
+    got, held = [], []
+    for most in (1, 8, 1 << 17):
+        monkeypatch.setattr(bayes, "COMMON", most)
+        model = bayes.learn_classes(df, "text", classes, rivals=False)
+        held.append(model.common.count())
+        got.append(sorted(map(str, bayes.class_scores(df, ["id", "kind"], "text", model).collect())))
+    assert held[0] == 0 < held[1] < held[2] == model.words.count() and held[1] <= 8
+    assert got[0] == got[1] == got[2]
+
+
 def test_themes_count_a_text_once(spark):
     data = [("a", "Red red owl"), ("a", None), ("b", "owl b"), (None, "red x x x"), ("b", ""), ("a", "owl-red")]
     df = spark.createDataFrame(data, "g string, t string")
